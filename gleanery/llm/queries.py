@@ -6,6 +6,7 @@ from gleanery.llm.mixing import OP3_SQL, op3_mix
 from gleanery.llm.packing import op5_pack
 from gleanery.llm.rules import OP6_SQL, op6_rules
 from gleanery.llm.simhash import op7_simhash
+from gleanery.llm.weak_quality import op8_weak_quality
 
-QUERIES = {"op3_mix": op3_mix, "op5_pack": op5_pack, "op6_rules": op6_rules, "op7_simhash": op7_simhash}
+QUERIES = {"op3_mix": op3_mix, "op5_pack": op5_pack, "op6_rules": op6_rules, "op7_simhash": op7_simhash, "op8_weak_quality": op8_weak_quality}
 ORACLES = {"op3_mix": OP3_SQL, "op6_rules": OP6_SQL}

@@ -57,7 +57,7 @@ POLICIES = {
 }
 
 
-def _repeat_words(ids: np.ndarray, distinct: int) -> int:
+def repeat_words(ids: np.ndarray, distinct: int) -> int:
     """Words in 3-word windows that are found twice or more."""
     if len(ids) < 4 or distinct == len(ids):
         return 0
@@ -76,7 +76,7 @@ def _repeat_words(ids: np.ndarray, distinct: int) -> int:
     return int(cover.sum())
 
 
-def _word_ids(text: str) -> tuple[np.ndarray, dict, int]:
+def word_ids(text: str) -> tuple[np.ndarray, dict, int]:
     """Ids of the words in order, the ids by word, and the words in capitals; block by block, so that of a very long text only the distinct words are held."""
     from gleanery.llm.simhash import word_blocks
 
@@ -90,10 +90,10 @@ def _word_ids(text: str) -> tuple[np.ndarray, dict, int]:
 def measure(text: str | None) -> tuple[int, ...]:
     """The MEASURES of a text; a null text has no words and no lines."""
     text = text or ""
-    ids, seen, upper = _word_ids(text)
+    ids, seen, upper = word_ids(text)
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
     chars = len(text) - sum(map(text.count, _SPACES))
-    return len(ids), chars, sum(map(text.count, "#*$%&|<>")), len(lines) - len(set(lines)), _repeat_words(ids, len(seen)), len(lines), upper, sum(map(text.count, "0123456789")), text.count("!")
+    return len(ids), chars, sum(map(text.count, "#*$%&|<>")), len(lines) - len(set(lines)), repeat_words(ids, len(seen)), len(lines), upper, sum(map(text.count, "0123456789")), text.count("!")
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
