@@ -24,6 +24,7 @@ TRAIN_ROWS = 3000
 TRAIN_WORDS = 3000
 DIMENSIONS = 1 << 16
 _SHAPE = bytes.maketrans(bytes(range(256)), bytes(88 if 65 <= c <= 90 else 120 if 97 <= c <= 122 or c > 127 else 57 if 48 <= c <= 57 else c for c in range(256)))
+_PLAIN = re.compile(rb"[\"'(\[]?(?:[A-Za-z0-9'-]|[\x80-\xff])+[\"')\]]?[.,;:?!]?")
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 _SPACES = " \t\n\x0b\x0c\r"
 
@@ -33,6 +34,7 @@ class Text:
     """What labellers see of a text."""
 
     n: int
+    plain: int
     distinct: int
     repeated: int
     symbols: int
@@ -48,26 +50,28 @@ def _vote(bad: bool, good: bool) -> int:
     return BAD if bad else GOOD if good else NONE
 
 
+#: A vote says good where the labeller finds nothing against a text, and nothing where the text is too short to tell.
 LABELLERS: dict[str, Callable[[Text], int]] = {
     "symbols": lambda x: _vote(10 * x.symbols > 3 * x.n, 50 * x.symbols < x.n),
-    "capitals": lambda x: _vote(2 * x.upper > x.n and x.n >= 5, 10 * x.upper < x.n),
-    "repeats": lambda x: NONE if x.n < 50 else _vote(2 * x.repeated > x.n, 5 * x.repeated < x.n),
-    "vocabulary": lambda x: NONE if x.n < 50 else _vote(10 * x.distinct < x.n, 5 * x.distinct > x.n),
-    "sentences": lambda x: NONE if x.n < 30 else _vote(x.stops == 0 or 2 * x.stops > x.n, 100 * x.stops > x.n and 4 * x.stops < x.n),
-    "exclamations": lambda x: _vote(2 * x.exclamations > x.n, 20 * x.exclamations < x.n),
-    "lines": lambda x: NONE if x.lines < 5 else _vote(2 * x.dup_lines > x.lines, 10 * x.dup_lines < x.lines),
-    "word_length": lambda x: _vote(x.chars < 2 * x.n or x.chars > 25 * x.n, 3 * x.n <= x.chars <= 12 * x.n),
+    "plain_words": lambda x: _vote(3 * x.plain < 2 * x.n, 5 * x.plain > 4 * x.n),
+    "capitals": lambda x: _vote(2 * x.upper > x.n and x.n >= 5, 5 * x.upper < x.n),
+    "exclamations": lambda x: _vote(2 * x.exclamations > x.n, 10 * x.exclamations < x.n),
+    "repeats": lambda x: NONE if x.n < 50 else _vote(2 * x.repeated > x.n, 5 * x.repeated < 2 * x.n),
+    "vocabulary": lambda x: NONE if x.n < 50 else _vote(10 * x.distinct < x.n, 6 * x.distinct > x.n),
+    "sentences": lambda x: NONE if x.n < 50 else _vote(200 * x.stops < x.n or 2 * x.stops > x.n, 100 * x.stops > x.n and 4 * x.stops < x.n),
+    "lines": lambda x: NONE if x.lines < 5 else _vote(2 * x.dup_lines > x.lines, 5 * x.dup_lines < x.lines),
 }
 
-
 def seen(text: str) -> tuple[Text, dict, np.ndarray]:
     """The measurements of a text with its distinct words and how often each occurs."""
     ids, words, upper = word_ids(text)
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
     stops = sum(map(text.count, (". ", ".\n", "! ", "? "))) + text.endswith((".", "!", "?"))
     chars = len(text) - sum(map(text.count, _SPACES))
-    found = Text(len(ids), len(words), repeat_words(ids, len(words)), sum(map(text.count, "#*$%&|<>")), upper, text.count("!"), stops, len(lines), len(lines) - len(set(lines)), chars)
-    return found, words, np.bincount(ids, minlength=len(words))
+    times = np.bincount(ids, minlength=len(words))
+    plain = int(times @ np.array([_PLAIN.fullmatch(w) is not None for w in words], bool)) if words else 0
+    found = Text(len(ids), plain, len(words), repeat_words(ids, len(words)), sum(map(text.count, "#*$%&|<>")), upper, text.count("!"), stops, len(lines), len(lines) - len(set(lines)), chars)
+    return found, words, times
 
 
 def pattern(found: Text) -> int:
@@ -85,36 +89,41 @@ def features(found: Text, words: dict, times: np.ndarray) -> tuple[np.ndarray, n
     """Hashed features: the shares of word shapes and of words, and the tenths of the measurements."""
     n = max(found.n, 1)
     idx = np.array([_word_features(w) for w in words], np.int64).reshape(-1, 2)
-    tenths = [min(10, 10 * v // n) for v in (found.distinct, found.repeated, found.symbols, found.upper, found.exclamations, found.stops)] + [10 * found.dup_lines // max(found.lines, 1)]
+    tenths = [min(10, 10 * v // n) for v in (found.plain, found.distinct, found.repeated, found.symbols, found.upper, found.exclamations, found.stops)] + [10 * found.dup_lines // max(found.lines, 1)]
     more = [crc32(b"m%d=%d" % (i, v)) % DIMENSIONS for i, v in enumerate(tenths)]
     share = times / n
     return np.concatenate([idx[:, 0], idx[:, 1], more]), np.concatenate([share, share, np.full(len(more), 0.5)])
 
 
-def fit_votes(counts: dict[int, int], rounds: int = 50) -> tuple[float, np.ndarray, dict[int, float]]:
+def fit_votes(counts: dict[int, int], rounds: int = 60) -> tuple[float, np.ndarray, dict[int, float]]:
     """(share of good documents, accuracy of each labeller on bad and on good ones, posterior by pattern).
 
-    counts has all documents; there are at most 3 ** labellers patterns. A labeller that abstains tells nothing. The
-    prior holds each accuracy near 0.8 with the weight of a hundredth of the documents, so that good stays good.
+    counts has all documents; there are at most 3 ** labellers patterns. A labeller that abstains tells nothing. Bad
+    documents differ in kind, and no labeller sees all kinds: so beside the good documents there is one kind of bad
+    ones for each labeller, to which that labeller objects in most cases and any other as often as the data say. The
+    priors weigh as much as a hundredth of the documents, which keeps good documents good.
     """
     m = len(LABELLERS)
     keys = np.array(sorted(counts), np.int64)
     n = np.array([counts[int(k)] for k in keys], float)
     votes = keys[:, None] // 3 ** np.arange(m) % 3
-    voted, good_vote = votes != NONE, votes == GOOD
-    prior, weight = 0.8, max(1.0, n.sum() / 100)
-    share, accuracy = 0.8, np.full((2, m), prior)
-    post = np.full(len(keys), share)
+    voted, objects = votes != NONE, votes == BAD
+    weight = max(1.0, n.sum() / 100) * np.array([1.0, *[1 / m] * m])
+    share_prior = np.array([0.8, *[0.2 / m] * m])
+    prior = np.vstack([np.full(m, 0.02), 0.25 + 0.6 * np.eye(m)])  # how often each labeller objects to the good, and to each kind
+    least = np.vstack([np.zeros(m), 0.5 * np.eye(m)])
+    share, rate, kinds = share_prior.copy(), prior.copy(), np.zeros((len(keys), m + 1))
     for _ in range(rounds):
-        good = np.where(good_vote, np.log(accuracy[1]), np.log(1 - accuracy[1])) * voted
-        bad = np.where(good_vote, np.log(1 - accuracy[0]), np.log(accuracy[0])) * voted
-        odds = np.log(share / (1 - share)) + good.sum(1) - bad.sum(1)
-        post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        share = float(np.clip((n @ post + 0.8 * weight) / (n.sum() + weight), 0.01, 0.99))
-        for c, p in ((0, 1 - post), (1, post)):
-            right = good_vote if c else ~good_vote
-            accuracy[c] = np.clip((((n * p)[:, None] * (voted & right)).sum(0) + prior * weight) / (((n * p)[:, None] * voted).sum(0) + weight), 0.05, 0.99)
-    return share, accuracy, {int(k): float(p) for k, p in zip(keys, post)}
+        odds = np.log(share) + (objects & voted) @ np.log(rate).T + (~objects & voted) @ np.log(1 - rate).T
+        kinds = np.exp(odds - odds.max(1, keepdims=True)) if len(keys) else kinds
+        kinds /= np.maximum(kinds.sum(1, keepdims=True), 1e-300)
+        mass = n[:, None] * kinds
+        share = (mass.sum(0) + share_prior * weight[0]) / (n.sum() + weight[0])
+        rate = (mass.T @ (objects & voted) + prior * weight[:, None]) / (mass.T @ voted + weight[:, None])
+        rate = np.clip(np.maximum(rate, least), 0.001, 0.999)
+        rate[0] = np.minimum(rate[0], 0.3)
+    accuracy = np.vstack([share[1:] @ rate[1:] / share[1:].sum(), 1 - rate[0]])
+    return float(share[0]), accuracy, {int(k): float(p) for k, p in zip(keys, kinds[:, 0])}
 
 
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -187,7 +196,8 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_words: int = TRAIN_
     rows = [(np.array(r["i"]), np.array(r["v"]), r["posterior"]) for r in texts.limit(2 * train_rows).mapInArrow(run, "i array<long>, v array<double>, posterior double").collect()]
     scratch.drop(cast, chosen)
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tolist()))
-    return Model(share, accuracy, posterior, *fit_scorer(rows))
+    weights, constant = fit_scorer(rows)
+    return Model(share, accuracy, posterior, weights, constant + float(np.log(share / (1 - share))))  # it was trained on either side alike
 
 
 def classify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
