@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from gleanery.llm.language_id import op9_language_id
+from gleanery.llm.line_dedup import op2_line_dedup
 from gleanery.llm.mixing import OP3_SQL, op3_mix
 from gleanery.llm.packing import op5_pack
 from gleanery.llm.rules import OP6_SQL, op6_rules
 from gleanery.llm.simhash import op7_simhash
 from gleanery.llm.weak_quality import op8_weak_quality
 
-QUERIES = {"op3_mix": op3_mix, "op5_pack": op5_pack, "op6_rules": op6_rules, "op7_simhash": op7_simhash, "op8_weak_quality": op8_weak_quality}
+QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_mix": op3_mix,
+    "op5_pack": op5_pack,
+    "op6_rules": op6_rules,
+    "op7_simhash": op7_simhash,
+    "op8_weak_quality": op8_weak_quality,
+    "op9_language_id": op9_language_id,
+}
 ORACLES = {"op3_mix": OP3_SQL, "op6_rules": OP6_SQL}
