@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections import Counter
 from itertools import islice
+from struct import pack as packed
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,13 @@ NUMBERED = 250_000
 _BLOCK = 1 << 20
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable bytes themselves, the others from U+0100 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    more = iter(range(256, 512))
+    return {b: chr(b if b in own else next(more)) for b in range(256)}
+
+
 class WordTokens(dict):
     """Little-endian 32-bit ids by word, for tokenizers whose tokens never reach over white space."""
 
@@ -38,16 +46,29 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.alphabet = _byte_alphabet()
+        self.plain = all(self.whole(w) == self.lower_letters(w) for w in ("a", "the", "straße", "éàü", "extraordinarily", "ÿžłđ".lower()))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def lower_letters(self, word: str) -> bytes:
+        """The same for one run of lower-case Latin letters, which a byte-level tokenizer neither changes nor parts: its model alone."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(word)]
+        return packed("<%dI" % len(ids), *ids)
 
     def __missing__(self, word: str) -> bytes:
         if not word:
             return b""
         if len(word) > 1 and word[-1] in ".,!?;:" and word[-2].isalpha():
             ids = self[word[:-1]] + self[word[-1]]
-        elif word.isalpha() and word.isascii() and not word.islower():
-            ids = self[word.lower()]
+        elif self.plain and word.isalpha() and max(word) < "\u0180":
+            ids = self.lower_letters(word) if word.islower() else self[word.lower()] if max(word) < "\u0100" and word.lower() != word else self.whole(word)
         else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self.whole(word)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:  # the frequent words came first
                 for k in list(islice(reversed(self), CACHE_WORDS // 2)):
