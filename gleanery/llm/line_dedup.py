@@ -24,6 +24,8 @@ from gleanery.llm.common import Scratch, prepare, table, word_count
 #: A repeated run counts from so many words on.
 MIN_WORDS = 50
 LAST = (1 << 63) - 1
+#: The numbers of the lines that go are sent to all executors up to so many bytes, which spares the texts a shuffle.
+BROADCAST_BYTES = 16 << 20
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -142,6 +144,9 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     they are. Rows equal in doc_id and text are one document and lose the same lines; an empty table stays empty.
     """
     gone = repeated_lines(docs.select("doc_id", "text"), min_words).withColumnRenamed("gone", "__gone")
+    size = gone.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("__gone")), F.lit(0)).alias("lines")).first()
+    if 48 * size["rows"] + 4 * size["lines"] <= BROADCAST_BYTES:  # else the texts are shuffled
+        gone = F.broadcast(gone)
     keyed = _keyed(docs)
     out = keyed.join(gone, (keyed["__o"] == gone["o"]) & (keyed["__t"] == gone["t"]), "left").drop("o", "t", "__o", "__t")
     return out.withColumn("text", _without(F.col("text"), F.col("__gone")))
