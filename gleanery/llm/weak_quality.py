@@ -7,7 +7,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -24,8 +23,9 @@ TRAIN_ROWS = 3000
 TRAIN_WORDS = 3000
 DIMENSIONS = 1 << 16
 _SHAPE = bytes.maketrans(bytes(range(256)), bytes(88 if 65 <= c <= 90 else 120 if 97 <= c <= 122 or c > 127 else 57 if 48 <= c <= 57 else c for c in range(256)))
-_PLAIN = re.compile(rb"[\"'(\[]?(?:[A-Za-z0-9'-]|[\x80-\xff])+[\"')\]]?[.,;:?!]?")
-_RUN = re.compile(rb"(.)\1+", re.DOTALL)
+#: Shapes of plain words: letters and digits, perhaps in quotes or brackets, with one mark at the end.
+_PLAIN = re.compile(rb"[\"'(\[]?[Xx9'-]+[\"')\]]?[.,;:?!]?")
+_RUNS = [(re.compile(c + b"{2,}"), c) for c in (b"x", b"X", b"9")]
 _SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -62,16 +62,37 @@ LABELLERS: dict[str, Callable[[Text], int]] = {
     "lines": lambda x: NONE if x.lines < 5 else _vote(2 * x.dup_lines > x.lines, 5 * x.dup_lines < x.lines),
 }
 
-def seen(text: str) -> tuple[Text, dict, np.ndarray]:
-    """The measurements of a text with its distinct words and how often each occurs."""
+class _Shapes(dict):
+    """(feature, whether it is a plain word) of each word shape seen so far."""
+
+    def __missing__(self, shape: bytes) -> tuple[int, bool]:
+        found = crc32(b"s" + shape[:64]) % DIMENSIONS, _PLAIN.fullmatch(shape) is not None
+        if len(self) < 200_000:
+            self[shape] = found
+        return found
+
+
+_shapes = _Shapes()
+
+
+def shapes_of(words: list[bytes]) -> list[bytes]:
+    """X, x and 9 for runs of capitals, other letters and digits; other characters as they are."""
+    joined = b" ".join(words).translate(_SHAPE)
+    for run, one in _RUNS:
+        joined = run.sub(one, joined)
+    return joined.split(b" ")
+
+
+def seen(text: str) -> tuple[Text, np.ndarray, np.ndarray]:
+    """The measurements of a text, the shape features of its distinct words, and how often each word occurs."""
     ids, words, upper = word_ids(text)
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
     stops = sum(map(text.count, (". ", ".\n", "! ", "? "))) + text.endswith((".", "!", "?"))
     chars = len(text) - sum(map(text.count, _SPACES))
     times = np.bincount(ids, minlength=len(words))
-    plain = int(times @ np.array([_PLAIN.fullmatch(w) is not None for w in words], bool)) if words else 0
-    found = Text(len(ids), plain, len(words), repeat_words(ids, len(words)), sum(map(text.count, "#*$%&|<>")), upper, text.count("!"), stops, len(lines), len(lines) - len(set(lines)), chars)
-    return found, words, times
+    shapes = np.array(list(map(_shapes.__getitem__, shapes_of(list(words)))) if words else [], np.int64).reshape(-1, 2)
+    found = Text(len(ids), int(times @ shapes[:, 1]), len(words), repeat_words(ids, len(words)), sum(map(text.count, "#*$%&|<>")), upper, text.count("!"), stops, len(lines), len(lines) - len(set(lines)), chars)
+    return found, shapes[:, 0], times
 
 
 def pattern(found: Text) -> int:
@@ -79,20 +100,12 @@ def pattern(found: Text) -> int:
     return sum(vote(found) * 3**i for i, vote in enumerate(LABELLERS.values()))
 
 
-@lru_cache(200_000)
-def _word_features(word: bytes) -> tuple[int, int]:
-    shape = _RUN.sub(rb"\1", word[:64].translate(_SHAPE))
-    return crc32(b"s" + shape) % DIMENSIONS, crc32(b"w" + word.lower()) % DIMENSIONS
-
-
-def features(found: Text, words: dict, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: the shares of word shapes and of words, and the tenths of the measurements."""
+def features(found: Text, shapes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features: the shares of word shapes, and the tenths of the measurements."""
     n = max(found.n, 1)
-    idx = np.array([_word_features(w) for w in words], np.int64).reshape(-1, 2)
     tenths = [min(10, 10 * v // n) for v in (found.plain, found.distinct, found.repeated, found.symbols, found.upper, found.exclamations, found.stops)] + [10 * found.dup_lines // max(found.lines, 1)]
     more = [crc32(b"m%d=%d" % (i, v)) % DIMENSIONS for i, v in enumerate(tenths)]
-    share = times / n
-    return np.concatenate([idx[:, 0], idx[:, 1], more]), np.concatenate([share, share, np.full(len(more), 0.5)])
+    return np.concatenate([shapes, np.array(more, np.int64)]), np.concatenate([times / n, np.full(len(more), 0.5)])
 
 
 def fit_votes(counts: dict[int, int], rounds: int = 60) -> tuple[float, np.ndarray, dict[int, float]]:
@@ -169,10 +182,10 @@ class Model:
 
     def score(self, text: str | None) -> float:
         """The chance that a text is good; 0 without a word."""
-        found, words, times = seen(text or "")
+        found, shapes, times = seen(text or "")
         if not found.n:
             return 0.0
-        idx, val = features(found, words, times)
+        idx, val = features(found, shapes, times)
         return float(1 / (1 + np.exp(-np.clip(self.weights[idx] @ val + self.constant, -30, 30))))
 
 
