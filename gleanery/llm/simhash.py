@@ -131,22 +131,35 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     gives an empty result; other columns are ignored. Copies share a fingerprint and meet as one node, so a large
     group of copies costs one node, not its pairs.
     """
-    scratch = Scratch(docs.sparkSession)
+    found = _grouped(docs, radius, id_col, text_col, width, Scratch(docs.sparkSession))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, width: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, fp, root, component_id): root is the smallest fingerprint of the component."""
     fps = scratch.keep(fingerprints(docs, id_col, text_col, width), "fingerprints")
     classes = scratch.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = components(links(classes.select("fp"), scratch, radius), scratch)
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs without the near-duplicates of a document with a smaller doc_id; of rows that share a doc_id one stays. Rows without doc_id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), radius)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.unionAll(docs.where("doc_id is null")).select(docs.columns)
+def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
+    """docs without the near-duplicates of a document with a smaller doc_id; of near-duplicates that share a doc_id one stays. Rows without doc_id stay. Texts are shuffled only where the ids to drop are too many to broadcast, and for rows that share an id."""
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.keep(_grouped(docs, radius, "doc_id", "text", width, scratch).where("doc_id IS NOT NULL"), "found")
+    gone = scratch.keep(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    more = scratch.keep(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "more")
+    n_more, columns = more.count(), docs.columns
+    if not n_more:
+        return docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
+    shared = bounded(more, n_more)
+    once = docs.join(shared, "doc_id", "left_anti").join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
+    fp = F.pandas_udf(lambda texts: texts.map(lambda t: fingerprint(t, width)).astype("int64"), "long")
+    roots = found.join(more, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("__fp"), F.col("root").alias("__root"), "component_id").distinct().where("doc_id = component_id").drop("component_id")
+    several = docs.join(shared, "doc_id", "left_semi").withColumn("__fp", fp("text")).join(roots, ["doc_id", "__fp"]).dropDuplicates(["doc_id", "__root"])
+    return once.unionAll(several.select(columns))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
