@@ -2,13 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from gleanery.plans import fields, pairs, reports, retrieve, text  # noqa: F401  they register themselves
+from gleanery.plans.registry import ORACLES, QUERIES
 
-
-def redaction_summary(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count("*").alias("n"))
-
-
-QUERIES = {"redaction_summary": redaction_summary}
-ORACLES = {"redaction_summary": "SELECT lang, count(*) AS n FROM documents GROUP BY lang"}
+__all__ = ["ORACLES", "QUERIES"]
