@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.llm.common import Scratch, prepare, table
+from gleanery.llm.common import Scratch, most_frequent, prepare, table
 
 ALLOW, BLOCK = "allow", "block"
 #: (verdict, host and path): a rule fits its host and all subdomains, if the path starts with the rule's; the longest wins.
@@ -132,7 +132,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     prepare(spark)
     words = scratch.keep(word_counts(pages, html_col), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    split = Segmenter({r["word"]: r["n"] for r in words.orderBy(F.desc("n"), "word").limit(WORDS).collect()}, total)
+    split = Segmenter({r["word"]: r["n"] for r in most_frequent(words, "n", WORDS).collect()}, total)
     scratch.drop(words)
 
     def tokens(batches):
@@ -147,7 +147,9 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     judged = cut.where("verdict IS NOT NULL")
     n_pages = {r["verdict"]: r["count"] for r in judged.groupBy("verdict").count().collect()}
     counts = judged.select("verdict", F.explode("tokens").alias("token")).groupBy("token").agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in (ALLOW, BLOCK)])
-    learned = counts.orderBy(F.desc(F.col(ALLOW) + F.col(BLOCK)), "token").limit(TOKENS).collect()
+    counts = scratch.keep(counts.withColumn("n", F.col(ALLOW) + F.col(BLOCK)), "counts")
+    learned = most_frequent(counts, "n", TOKENS).collect()
+    scratch.drop(counts)
     model = Bayes(n_pages, {(r["token"], v): r[v] for r in learned for v in (ALLOW, BLOCK)})
 
     def score(batches):
