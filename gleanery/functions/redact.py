@@ -38,11 +38,15 @@ EXTRA = (
 )
 # Instructions to a model that are struck out of source texts.
 INJECTIONS = (
-    r"(?i)ignore (all |any )?(previous|prior|above) instructions",
-    r"(?i)disregard (all |any )?(previous|prior|above)",
-    r"(?i)you are now",
-    r"(?i)system prompt",
-    r"(?i)act as (an?|the) ",
+    r"\[INST\]",
+    r"\[/INST\]",
+    r"</s>",
+    r"<s>",
+    r"(?i)\bignore\s+(all\s+)?(previous|prior|above)\s+instructions?\b",
+    r"(?i)\bforget\s+(everything|all|your)\b",
+    r"(?i)\byou\s+are\s+now\b",
+    r"(?i)\bact\s+as\s+(a|an)\b",
+    r"(?i)\bnew\s+persona\b",
 )
 
 

@@ -186,7 +186,7 @@ def citation_key(c: Column) -> Column:
 
 def slug_section(c: Column) -> Column:
     """`§Q12(b)` from `q12b`, `§Part Ii Q3` from `part_ii_q3`; null for other slugs."""
-    slug, pattern = F.lower(strip(c)), r"^(?:(part_[a-z]+)_)?q_?(\d+)_?([a-z]?)$"
+    slug, pattern = F.lower(strip(c)), r"^(?:(part_[ivx]+)_)?q(\d+)([a-z]?)$"
     part, num, letter = (F.regexp_extract(slug, pattern, n) for n in (1, 2, 3))
     body = F.concat(F.lit("Q"), num, F.when(letter != "", F.concat(F.lit("("), letter, F.lit(")"))).otherwise(""))
     return F.when(slug.rlike(pattern), F.concat(F.lit("§"), F.when(part != "", F.concat(title_label(part), F.lit(" "))).otherwise(""), body))

@@ -47,7 +47,7 @@ def token_sorted(c: Column) -> Column:
     return F.array_join(F.array_sort(F.split(F.trim(c), r"\s+")), " ")
 
 
-def proposals(labels: DataFrame, aliases: DataFrame, rejected: DataFrame, label: str = "label", auto: float = 0.92, floor: float = 0.75, weight: float = 0.9) -> DataFrame:
+def proposals(labels: DataFrame, aliases: DataFrame, rejected: DataFrame, label: str = "label", auto: float = 0.90, floor: float = 0.75, weight: float = 0.80) -> DataFrame:
     """(label, canonical, variant, score, effective, bucket): the nearest variant of each distinct label, scored by the better of the plain and the word-sorted similarity, from `floor` on; the first variant by name wins ties. Rejected pairs (label, canonical) are for manual review; a proposal never renames a field."""
     names = alias_map(aliases).agg(F.collect_list(F.struct("variant", "canonical")).alias("__a"))
     score = lambda x: F.greatest(similarity(F.col("__l"), x), similarity(token_sorted(F.col("__l")), token_sorted(x)) * 0.95)
@@ -156,3 +156,16 @@ def coverage(log: DataFrame) -> DataFrame:
 def version_health(changes: DataFrame) -> DataFrame:
     """(versions, rollbacks, largest, drops) from changes(version, action, added, precision_before, precision_after)."""
     return changes.agg(F.count("*").alias("versions"), F.count_if(F.col("action") == "rollback").alias("rollbacks"), F.max_by("version", F.struct("added", F.negative(F.monotonically_increasing_id()))).alias("largest"), F.count_if(F.col("precision_after") < F.col("precision_before")).alias("drops"))
+
+
+def decided(log: DataFrame, decisions: DataFrame) -> DataFrame:
+    """A suggestion log with the latest of decisions(label, canonical, decision, reviewer, at) for each label: status, canonical and reviewer."""
+    last = decisions.groupBy(F.lower(F.trim("label")).alias("label")).agg(F.max_by(F.struct("canonical", "decision", "reviewer"), "at").alias("d"))
+    out = log.join(last, "label", "left")
+    return out.withColumn("status", F.coalesce("d.decision", "status")).withColumn("canonical", F.col("d.canonical")).withColumn("reviewer", F.col("d.reviewer")).drop("d")
+
+
+def pending_proposals(found: DataFrame, pending: DataFrame, exact: list[str], patterns: list[str]) -> DataFrame:
+    """Proposals (label, canonical, ...) to be queued: not blocked, each label and field once, not pending yet."""
+    fresh = found.where(~is_blocked(F.lower(F.trim("label")), exact, patterns)).withColumn("__l", F.lower(F.trim("label"))).dropDuplicates(["__l", "canonical"])
+    return fresh.join(pending.select(F.lower(F.trim("label")).alias("__l"), "canonical"), ["__l", "canonical"], "left_anti").drop("__l")

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 DISAGREEMENT = 0.8
 LOW = 0.70
 # Types of fields whose values a model must not invent.
-NOT_FROM_MODEL = ("numeric", "currency", "date", "identifier", "percentage")
+NOT_FROM_MODEL = ("numeric", "date", "id")
 
 
 def violations(field_type: Column, value: Column, confidence: Column, sources: Column, method: Column) -> Column:
     """Names of the broken rules of a fact: a value needs a source, numbers and dates must not come from a model, confidence lies in 0 to 1."""
     checks = [
         F.when(value.isNotNull() & (F.coalesce(F.size(sources), F.lit(0)) == 0), "no_source"),
-        F.when(field_type.isin(*NOT_FROM_MODEL) & F.coalesce(method.startswith("llm"), F.lit(False)) & value.isNotNull(), "model_value"),
+        F.when(field_type.isin(*NOT_FROM_MODEL) & F.coalesce(method == "llm_extraction", F.lit(False)) & value.isNotNull(), "model_value"),
         F.when(confidence.isNull() | F.isnan(confidence) | (confidence < 0) | (confidence > 1), "confidence"),
     ]
     return F.array_compact(F.array(*checks))

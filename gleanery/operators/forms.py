@@ -94,3 +94,25 @@ def marks(c: Column) -> Column:
 def first_rows(rows: DataFrame, key: str, order: str, n: int) -> DataFrame:
     w = Window.partitionBy(key).orderBy(order)
     return rows.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= n).drop("__n")
+
+
+def merged_hints(found: Column, given: Column) -> Column:
+    """Answers read from a document, with given ones in their place where they aren't empty."""
+    filled = F.map_filter(given, lambda _, v: F.coalesce(v, F.lit("")) != "")
+    return F.map_concat(F.map_filter(found, lambda k, _: ~F.map_contains_key(filled, k)), filled)
+
+
+# What each kind of answer must hold.
+REQUIRED = {
+    "risk_classification": ("risk_level", "risk_factors", "recommendation"),
+    "compliance_check": ("compliant", "recommendation"),
+    "finding_documentation": ("criteria", "condition", "cause", "effect", "recommendation"),
+    "summarization": ("summary", "workpaper_type"),
+    "ner_extraction": ("entities", "entity_types_found", "pii_detected"),
+}
+
+
+def missing_required(task: Column, answer: Column) -> Column:
+    """Names of the required parts that an answer (a map of text) lacks."""
+    need = F.create_map(*[x for k, v in REQUIRED.items() for x in (F.lit(k), F.array(*[F.lit(i) for i in v]))])
+    return F.filter(F.try_element_at(need, task), lambda f: F.coalesce(F.try_element_at(answer, f), F.lit("")) == "")

@@ -9,8 +9,9 @@ from gleanery.functions.text import has_mark, short_question, strip
 from gleanery.operators.aliases import alias_map
 
 # Labels that are headings of a form, not fields.
-NOISE = ("note", "notes", "page", "section", "total", "comments", "reference")
-EMBEDDED = r"\s+[A-Z][A-Za-z ]{2,40}:\s"
+NOISE = ("instructions", "practical consideration", "comments", "yes", "no", "n/a", "date", "transaction_date")
+LABEL = r"^[A-Za-z][A-Za-z0-9 /&\-.()]{1,60}:\s*.+$"
+EMBEDDED = r"\s+[A-Z][A-Za-z0-9 /&\-.()]{1,60}:\s+"
 # Categories by words of a file name, the first that fits; and by words of the text.
 NAME_PATTERNS = (
     (r"npo[-_]cx|gov[-_]cx|nfp[-_]cx|trb[-_]cx", "engagement_form"),
@@ -82,7 +83,7 @@ def document_type(name: Column) -> Column:
 
 def line_fields(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, label, value): the last value of each `label: value` line; a value ends at ` | ` and where another label begins in it; noise labels and overlong parts don't count."""
-    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.instr("line", ":") > 0)
+    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(key, "pos", strip(F.col("line")).alias("line")).where(F.col("line").rlike(LABEL))
     label = strip(F.substring_index("line", ":", 1))
     value = strip(F.regexp_replace(strip(F.substring_index(F.expr("substring(line, instr(line, ':') + 1)"), " | ", 1)), "^:+", ""))
     value = strip(F.when(value.rlike(EMBEDDED), F.regexp_replace(value, rf"(?s){EMBEDDED}.*\z", "")).otherwise(value))
@@ -214,3 +215,53 @@ def located(page: Column, value: Column, around: int = 7) -> Column:
     tail = F.slice(words(after), 1, around)
     quote = F.concat_ws(" ", F.array_join(F.slice(head, F.greatest(F.size(head) - around + 1, F.lit(1)), around), " "), value, F.array_join(tail, " "))
     return F.struct(F.when(at > 0, at - 1).alias("char_start"), F.when(at > 0, at - 1 + F.length(value)).alias("char_end"), F.when(at > 0, F.trim(quote)).otherwise(value).alias("quote"))
+
+
+# Phrases that tell a scope or a framework in running text.
+PROSE = {
+    "includes_gagas": ("government auditing standards", "yellow book", "gagas", "gao standards"),
+    "includes_single_audit": ("uniform guidance", "single audit", "2 cfr", "a-133", "federal awards", "major federal program"),
+    "includes_gaas_audit": ("generally accepted auditing standards", "gaas", "aicpa", "au-c", "public company accounting"),
+    "reporting_framework": ("accounting principles generally accepted in the united states", "u.s. generally accepted accounting principles", "gaap", "gasb", "special purpose framework", "cash basis", "tax basis"),
+}
+
+
+def prose_flags(text: Column) -> Column:
+    """Map of flag -> confidence, by how many of its phrases a text holds."""
+    from gleanery.operators.scoring import prose_confidence
+
+    low, entries = F.lower(text), []
+    for name, phrases in PROSE.items():
+        hits = sum(((F.instr(low, p) > 0).cast("int") for p in phrases), F.lit(0))
+        entries.append(F.struct(F.lit(name).alias("flag"), prose_confidence(hits).alias("confidence")))
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["confidence"] > 0))
+
+
+def framework(text: Column) -> Column:
+    low = F.lower(text)
+    return F.when(F.instr(low, "gasb") > 0, "GASB").when((F.instr(low, "special purpose") > 0) | (F.instr(low, "cash basis") > 0), "Special Purpose Framework").otherwise("GAAP")
+
+
+def looks_like_value(cell: Column, labels: Column) -> Column:
+    """Whether a cell may be a value: filled, no known label (an array of lower-cased ones), no colon at its end, no mark."""
+    t = strip(cell)
+    return (t != "") & ~F.array_contains(labels, F.lower(t)) & ~t.endswith(":") & ~F.lower(t).isin("true", "false")
+
+
+def heading(text: Column) -> Column:
+    """A page's first line, if it is in capitals."""
+    first = F.trim(F.substring_index(F.trim(text), "\n", 1))
+    return F.when(first.rlike(r"^[A-Z][A-Z\s,.&'()-]{3,79}$"), first)
+
+
+def note_sections(pages: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, section, heading, content): pages split where a line opens a numbered note."""
+    lines = pages.select(key, "page", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    blocks = lines.select(key, F.struct("page", "line").alias("pos"), "text", F.col("text").rlike(r"(?i)^\s*note\s+\d+\b").alias("is_heading"))
+    return sections(blocks, key)
+
+
+def cleaned_table(rows: Column) -> Column:
+    """Rows without empty ones; null for a table of one cell, which is noise."""
+    filled = F.filter(rows, lambda r: F.exists(r, lambda c: strip(F.coalesce(c, F.lit(""))) != ""))
+    return F.when(~((F.size(filled) <= 1) & (F.coalesce(F.size(F.try_element_at(filled, F.lit(1))), F.lit(0)) <= 1)), filled)

@@ -106,3 +106,10 @@ def rates(reviews: DataFrame, *keys: str) -> DataFrame:
 def rolling_rates(events: DataFrame, at: str, days: int = 7, slide: int = 1) -> DataFrame:
     """(start, n, mean) of events(at, value) over sliding windows of days."""
     return events.groupBy(F.window(at, f"{days} days", f"{slide} days").alias("w")).agg(F.count("*").alias("n"), F.avg("value").alias("mean")).select(F.col("w.start").alias("start"), "n", "mean")
+
+
+def monthly_confusion(results: DataFrame, engagements: DataFrame, key: str = "engagement_id", at: str = "at") -> DataFrame:
+    """(month, n, confused) of results(key, at, framework): how many name a framework that isn't the engagement's."""
+    e = engagements.select(key, F.col("framework").alias("__f"))
+    joined = results.join(e, key)
+    return joined.groupBy(F.date_format(F.date_trunc("month", at), "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.count_if(F.col("framework") != F.col("__f")).alias("confused"))

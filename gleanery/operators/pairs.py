@@ -217,3 +217,57 @@ def findings(scores: DataFrame, tiers: DataFrame, risks: DataFrame, key: str = "
 def latest(rows: DataFrame, key: str, at: str, pos: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.desc(at), F.desc(pos))
     return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
+def instruction(prompt: Column, completion: Column) -> tuple[Column, Column]:
+    """(prompt, completion) in the envelope of instruction training."""
+    return F.concat(F.lit("<s>[INST] "), prompt, F.lit(" [/INST]")), F.concat(completion, F.lit("</s>"))
+
+
+def ordered_json(fields: Column) -> Column:
+    """A map as JSON with its keys sorted."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(fields))))
+
+
+def parsed_answer(raw: Column) -> Column:
+    """A model's answer as a map of text, null values empty; null where it isn't a JSON object."""
+    from gleanery.functions.text import json_payload
+
+    fields = F.from_json(json_payload(raw), "map<string,string>")
+    return F.when(F.try_parse_json(json_payload(raw)).isNotNull(), F.transform_values(fields, lambda _, v: F.trim(F.coalesce(v, F.lit("")))))
+
+
+def parsed_field(answer: Column, field: str) -> Column:
+    """struct<value, found, confident, hint> of one field, given as {value, confident, source_hint} or as a plain value."""
+    raw = F.try_element_at(answer, F.lit(field))
+    inner = F.from_json(raw, "struct<value:string,confident:string,source_hint:string>")
+    structured = raw.startswith("{")
+    value = F.coalesce(F.trim(F.when(structured, inner["value"]).otherwise(raw)), F.lit(""))
+    return F.struct(value.alias("value"), (value != "").alias("found"), F.coalesce(structured & (F.lower(inner["confident"]) == "true"), F.lit(False)).alias("confident"), F.when(structured, F.left(F.coalesce(inner["source_hint"], F.lit("")), F.lit(200))).otherwise("").alias("hint"))
+
+
+def procedure_map(tiers: DataFrame, classes: DataFrame) -> DataFrame:
+    """(field, section, severity, label) of the fields that may be found deficient: tiers(field, tier, reason) with the first of classes(field, slug, class, severity, label, pos) each; a field without a class takes its section from the reason."""
+    from gleanery.functions.text import severity, slug_section, title_label
+
+    first = classes.groupBy("field").agg(F.min_by(F.struct("slug", "class", "severity", "label"), "pos").alias("c"))
+    out = tiers.join(F.broadcast(first), "field", "left").where("c IS NULL OR c.class = 'deficiency_eligible'")
+    cited = F.regexp_extract("reason", r"§\s*([\w.()-]+)", 1)
+    section = F.when(F.col("c").isNotNull(), slug_section(F.col("c.slug"))).when(cited != "", F.concat(F.lit("§"), cited))
+    return out.select("field", section.alias("section"), severity(F.col("c.severity"), F.col("tier")).alias("severity"), F.coalesce("c.label", title_label(F.col("field"))).alias("label"))
+
+
+def rendered_findings(absent: DataFrame, table: DataFrame, key: str = "pair_id") -> DataFrame:
+    """(key, n, findings): numbered lines for the absent fields of absent(key, pos, field) that the table has, in order."""
+    found = absent.join(F.broadcast(table), "field").withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("pos")))
+    cited = F.when(F.col("section").isNotNull(), F.concat(F.lit(" ("), "section", F.lit(")"))).otherwise("")
+    line = F.concat(F.col("n").cast("string"), F.lit(". "), "label", cited, F.lit("\n   Severity: "), "severity")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", line.alias("l")))), lambda x: x["l"]), "\n\n")
+    return found.groupBy(key).agg(F.count("*").alias("n"), text.alias("findings"))
+
+
+def numbered_findings(completion: DataFrame, key: str = "pair_id", text: str = "text") -> DataFrame:
+    """(key, idx, text) of the numbered lines between FINDINGS: and RECOMMENDATION:, or of the whole text where there are no such marks."""
+    body = F.coalesce(F.nullif(F.regexp_extract(text, r"(?is)FINDINGS:\s*\n(.*?)(?=\nRECOMMENDATION:|\z)", 1), F.lit("")), F.col(text))
+    lines = completion.select(key, F.posexplode(F.regexp_extract_all(body, F.lit(r"(?m)^\s*(\d+\.\s+.+)$"), F.lit(1))).alias("pos", "l"))
+    return lines.select(key, F.regexp_extract("l", r"^(\d+)", 1).cast("int").alias("idx"), F.trim(F.regexp_extract("l", r"^\d+\.\s+(.+)$", 1)).alias("text"))

@@ -16,7 +16,11 @@ WORKFLOWS = {
     "analytical procedure": "analytical_procedure",
     "engagement acceptance": "engagement_acceptance",
     "single audit": "single_audit",
+    "compliance": "compliance",
+    "internal control": "internal_control",
 }
+# What a source of these years counts; older ones .1.
+YEAR_WEIGHTS = ((2024, 2026, 1.0), (2022, 2023, 0.85), (2020, 2021, 0.7), (2018, 2019, 0.5), (2015, 2017, 0.3))
 # Size of a window of tokens and its overlap with the next.
 CHUNK, OVERLAP = 400, 50
 
@@ -103,15 +107,35 @@ def best_by_hint(hints: DataFrame, chunks_: DataFrame, hint: str = "hint", text:
     return scored.groupBy(hint).agg(best.alias("b")).select(hint, f"b.{chunk}", "b.score")
 
 
-def drift_weight(year: Column, current: int, sensitive: Column, timeless: Column) -> Column:
-    """How much a source of a year still counts: 1, .85, .7, .5, .3, .1 by age; half for sensitive topics, whole for timeless ones."""
-    age = F.lit(current) - year
+def drift_weight(year: Column, sensitive: Column, timeless: Column) -> Column:
+    """How much a source of a year still counts; half for sensitive topics, whole for timeless ones."""
     w = F.lit(0.1)
-    for most, value in reversed(((0, 1.0), (1, 0.85), (2, 0.7), (3, 0.5), (5, 0.3))):
-        w = F.when(age <= most, value).otherwise(w)
+    for first, last, value in YEAR_WEIGHTS:
+        w = F.when(year.between(first, last), value).otherwise(w)
     return F.when(timeless, 1.0).when(sensitive, F.round(w * 0.5, 2)).otherwise(w)
 
 
+def known_workflow(c: Column, table: dict[str, str]) -> Column:
+    """The workflow of a form's type; an unknown type is an error."""
+    mapping = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    return F.coalesce(F.try_element_at(mapping, c), F.raise_error(F.concat(F.lit("unknown form type: "), c)))
+
+
+def best_above(texts: DataFrame, descriptions: DataFrame, floor: float = 0.45, key: str = "text_id", name: str = "field", vec: str = "vec") -> DataFrame:
+    """(key, name, score): the description nearest to each text, from a cosine of `floor` on; the first by name among equals. descriptions is a dimension table: broadcast."""
+    d = descriptions.select(F.col(name).alias("__n"), F.col(vec).alias("__v"))
+    scored = texts.join(F.broadcast(d)).withColumn("score", cosine(F.col(vec), F.col("__v"))).where(F.col("score") >= floor)
+    best = F.min_by(F.struct(F.col("__n").alias(name), "score"), F.struct(F.negative("score").alias("s"), "__n"))
+    return scored.groupBy(key).agg(best.alias("b")).select(key, f"b.{name}", F.round("b.score", 4).alias("score"))
+
+
+def in_force(cited: DataFrame, regulations: DataFrame, key: str = "doc_id") -> DataFrame:
+    """cited(key, fiscal_year, regulation) with `valid`: a regulation that is known and in force by the end of that year."""
+    r = regulations.select("regulation", F.col("effective_from").alias("__e"))
+    out = cited.join(F.broadcast(r), "regulation", "left")
+    return out.withColumn("valid", F.coalesce(F.col("__e") <= F.make_date("fiscal_year", F.lit(12), F.lit(31)), F.lit(False))).select(key, "fiscal_year", "regulation", "valid")
+
+
 def reranked(hits: DataFrame, k: int, query: str = "query_id", item: str = "item_id", floor: float = 0.65) -> DataFrame:
     """The k hits of each query with the highest score times weight, from those of a score of `floor` on."""
     w = Window.partitionBy(query).orderBy(F.desc("weighted"), item)

@@ -102,8 +102,9 @@ def prose_confidence(hits: Column) -> Column:
 
 # What a completion's rubric weighs, and the sections that it must have.
 RUBRIC = {"sections": 0.30, "citations": 0.20, "severity": 0.20, "client": 0.20, "clean": 0.10}
-SECTIONS = ("SUMMARY:", "FINDINGS:", "RECOMMENDATION:")
-PLACEHOLDERS = r"(?i)\[(insert|todo|tbd|placeholder)[^\]]*\]|lorem ipsum|xxx+"
+SECTIONS = ("ENGAGEMENT TYPE:", "FINDINGS:", "RECOMMENDATION:")
+PLACEHOLDERS = r"(?i)§X\.X|\[Finding label\]|REQUIRES MANUAL COMPLETION|\[add more findings|field X missing|ensure field completed"
+CITATION = r"(?i)(?:SOP[\w-]*\s+)?§\s*[A-Za-z0-9]+(?:[.\-][A-Za-z0-9]+)*(?:\([^)]*\))?"
 
 
 def rubric(completion: Column, findings: Column, client_type: Column) -> Column:
@@ -113,7 +114,7 @@ def rubric(completion: Column, findings: Column, client_type: Column) -> Column:
     share = lambda n: F.when(lines > 0, F.least(n / lines, F.lit(1.0))).when(findings == 0, 1.0).otherwise(0.0)
     advice = F.trim(F.regexp_extract(completion, r"(?is)RECOMMENDATION:\s*(.+)\z", 1))
     client = F.when((client_type != "") & (F.instr(F.lower(advice), F.lower(client_type)) > 0), 1.0).when(advice != "", 0.5).otherwise(0.0)
-    total = RUBRIC["sections"] * sections / len(SECTIONS) + RUBRIC["citations"] * share(F.regexp_count(completion, F.lit(r"(?i)SOP[^§\n]{0,12}§\s*[\w.()-]+")))
+    total = RUBRIC["sections"] * sections / len(SECTIONS) + RUBRIC["citations"] * share(F.regexp_count(completion, F.lit(CITATION)))
     total = total + RUBRIC["severity"] * share(F.regexp_count(completion, F.lit(r"(?i)Severity:\s*(High|Medium|Low|Informational)"))) + RUBRIC["client"] * client
     total = total + F.when(completion.rlike(PLACEHOLDERS), 0.0).otherwise(RUBRIC["clean"])
     return F.round(F.least(total, F.lit(1.0)), 4)
@@ -142,3 +143,27 @@ def rated(ratings: DataFrame) -> DataFrame:
     po, pe = F.col("same") / F.col("n"), F.col("chance") / (F.col("n") * F.col("n"))
     kappa = F.when(pe < 1, (po - pe) / (1 - pe)).otherwise(1.0)
     return base.join(F.broadcast(chance)).join(F.broadcast(ratings.agg(F.corr("a", "b").alias("pearson")))).select("n", F.round(po, 4).alias("agreement"), F.round(kappa, 4).alias("kappa"), F.round("pearson", 4).alias("pearson"))
+
+
+def ocr_confidence(words: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, words, confidence, status): the mean of words(key, confidence 0 to 100) with a confidence above 0, as a share; success from .70, partial from .40."""
+    mean = F.avg(F.when(F.col("confidence") > 0, F.col("confidence"))) / 100
+    out = words.groupBy(key).agg(F.count_if(F.col("confidence") > 0).alias("words"), F.round(F.coalesce(mean, F.lit(0.0)), 4).alias("confidence"))
+    return out.withColumn("status", F.when(F.col("confidence") >= 0.70, "success").when(F.col("confidence") >= 0.40, "partial").otherwise("failed"))
+
+
+def audit_type(given: Column, gagas: Column, gaas: Column, single: Column) -> Column:
+    """The given type, or one made from the scopes that are ticked; null without any."""
+    yes = lambda c: F.lower(c).isin("yes", "true")
+    parts = F.array_compact(F.array(F.when(yes(gagas), "GAGAS Audit").when(yes(gaas), "Financial Statement Audit"), F.when(yes(single), F.lit("Single Audit"))))
+    return F.coalesce(F.when(given != "", given), F.when(F.size(parts) > 0, F.array_join(parts, " / ")))
+
+
+def extraction_method(secondary: Column, tiebreaker: Column, fallback: Column, primary: Column) -> Column:
+    return F.when(fallback, F.when(secondary | tiebreaker, "hybrid").otherwise("llm_fallback")).when(tiebreaker, "llm").otherwise(primary)
+
+
+def benchmark_summary(results: DataFrame, extraction: float = 0.65, review: float = 0.75) -> DataFrame:
+    """(n, extraction_passed, review_passed, extraction_mean, review_mean) of results(extraction, review) against targets."""
+    e, r = F.col("extraction"), F.col("review")
+    return results.agg(F.count("*").alias("n"), F.count_if(e >= extraction).alias("extraction_passed"), F.count_if(r >= review).alias("review_passed"), F.round(F.avg(e), 4).alias("extraction_mean"), F.round(F.avg(r), 4).alias("review_mean"))

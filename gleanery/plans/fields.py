@@ -106,9 +106,9 @@ def completion_scores(t):
     """Rubric and final scores of completions."""
     k = F.col("k")
     texts = (
-        "SUMMARY: x\nFINDINGS:\n1. a SOP §3.1 Severity: High\n2. b SOP §4 Severity: Low\nRECOMMENDATION: the NPO should act",
-        "SUMMARY: x\nFINDINGS:\n1. a Severity: High\n2. b [TODO] SOP §1 Severity: low\nRECOMMENDATION: act",
-        "Nothing to say but lorem ipsum. RECOMMENDATION: npo",
+        "ENGAGEMENT TYPE: x\nFINDINGS:\n1. a SOP §3.1 Severity: High\n2. b SOP §4 Severity: Low\nRECOMMENDATION: the NPO should act",
+        "ENGAGEMENT TYPE: x\nFINDINGS:\n1. a Severity: High\n2. b [Finding label] SOP §1 Severity: low\nRECOMMENDATION: act",
+        "Nothing to say but ensure field completed. RECOMMENDATION: npo",
     )
     text = F.element_at(F.array(*[F.lit(x) for x in texts]), (k % 3 + 1).cast("int"))
     rows = t.orders.select(F.col("o_orderkey").alias("k")).withColumn("rubric", scoring.rubric(text, F.when(F.col("k") % 3 == 2, 1).otherwise(2), F.lit("NPO")))
@@ -167,7 +167,7 @@ WITH m AS (SELECT lower(trim(variant)) AS v, arg_max(canonical, pos) AS c FROM {
 l AS (SELECT DISTINCT lower(n_name) || ['', 'x', 's y'][n_nationkey % 3 + 1] AS label FROM nation),
 s AS (SELECT label, v, c, greatest(1 - levenshtein(label, v) / greatest(length(label), length(v)), (1 - levenshtein(array_to_string(list_sort(string_split(label, ' ')), ' '), array_to_string(list_sort(string_split(v, ' ')), ' ')) / greatest(length(label), length(v))) * 0.95::DOUBLE) AS score FROM l, m),
 b AS (SELECT label, arg_max(c, (score, reverse(v))) AS canonical, arg_max(v, (score, reverse(v))) AS variant, max(score) AS score FROM s GROUP BY label HAVING max(score) >= 0.75)
-SELECT label, canonical, variant, round(score, 4) AS score, round(score * 0.9::DOUBLE, 4) AS effective, CASE WHEN canonical = 'NATION_3' THEN 'manual_review' WHEN score >= 0.92 THEN 'high_confidence' ELSE 'quick_confirm' END AS bucket FROM b
+SELECT label, canonical, variant, round(score, 4) AS score, round(score * 0.8::DOUBLE, 4) AS effective, CASE WHEN canonical = 'NATION_3' THEN 'manual_review' WHEN score >= 0.9 THEN 'high_confidence' ELSE 'quick_confirm' END AS bucket FROM b
 """
 )
 def alias_proposals(t):
@@ -289,7 +289,7 @@ def fact_violations(t):
     """Rules that facts break."""
     n = F.col("l_linenumber")
     sources = F.when(n == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("s")))
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.array_join(X.violations(F.lit("date"), F.col("l_linestatus"), F.col("l_quantity") / 25, sources, F.when(n % 2 == 0, "llm").otherwise("regex")), ",").alias("broken"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", F.array_join(X.violations(F.lit("date"), F.col("l_linestatus"), F.col("l_quantity") / 25, sources, F.when(n % 2 == 0, "llm_extraction").otherwise("regex")), ",").alias("broken"))
 
 
 def _classes(t):

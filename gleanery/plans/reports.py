@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleanery.operators import observe
+from gleanery.operators import finance, forms, mining, observe, pairs, scoring
 from gleanery.plans.registry import query
 
 
@@ -110,3 +110,84 @@ def rolling_7d_rate(t):
 def distribution_delta(t):
     counts = t.documents.groupBy(F.col("lang").alias("value")).agg(F.count("*").alias("n"))
     return observe.distribution_delta(counts, t.rows("value string, share double", *[(x, 0.25) for x in ("en", "fr", "de", "es")]))
+
+
+@query("WITH w AS (SELECT o_orderkey % 300 AS doc_id, CASE WHEN o_orderkey % 4 = 0 THEN -1 ELSE o_orderkey % 101 END AS c FROM orders), a AS (SELECT doc_id, count(*) FILTER (WHERE c > 0) AS words, round(coalesce(avg(c) FILTER (WHERE c > 0), 0) / 100, 4) AS confidence FROM w GROUP BY 1) SELECT *, CASE WHEN confidence >= 0.7 THEN 'success' WHEN confidence >= 0.4 THEN 'partial' ELSE 'failed' END AS status FROM a")
+def ocr_confidence(t):
+    k = F.col("o_orderkey")
+    return scoring.ocr_confidence(t.orders.select((k % 300).alias("doc_id"), F.when(k % 4 == 0, -1).otherwise(k % 101).alias("confidence")))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'Given' WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 = 0 THEN 'GAGAS Audit / Single Audit' WHEN o_orderkey % 2 = 0 THEN 'GAGAS Audit' WHEN o_orderkey % 3 = 0 THEN 'Financial Statement Audit / Single Audit' ELSE 'Financial Statement Audit' END AS audit_type, CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN 'hybrid' ELSE 'llm_fallback' END WHEN o_orderkey % 5 = 0 THEN 'llm' ELSE 'pdf' END AS method, round(0.6::DOUBLE * (o_orderkey % 10) / 10 + 0.4::DOUBLE * (o_orderkey % 7) / 7, 4) AS blend FROM orders")
+def record_labels(t):
+    """Synthesised audit types, extraction methods and blended confidences."""
+    k = F.col("o_orderkey")
+    kind = scoring.audit_type(F.when(k % 5 == 0, "Given").otherwise(""), F.when(k % 2 == 0, "Yes").otherwise("no"), F.lit("TRUE"), F.when(k % 3 == 0, "true"))
+    method = scoring.extraction_method(k % 3 == 0, k % 5 == 0, k % 2 == 0, F.lit("pdf"))
+    return t.orders.select("o_orderkey", kind.alias("audit_type"), method.alias("method"), scoring.ocr_blend(k % 10 / 10, k % 7 / 7).alias("blend"))
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE p_size / 50 >= 0.65) AS extraction_passed, count(*) FILTER (WHERE p_partkey % 100 / 100 >= 0.75) AS review_passed, round(avg(p_size / 50), 4) AS extraction_mean, round(avg(p_partkey % 100 / 100), 4) AS review_mean FROM part")
+def benchmark_summary(t):
+    return scoring.benchmark_summary(t.part.select((F.col("p_size") / 50).alias("extraction"), (F.col("p_partkey") % 100 / 100).alias("review")))
+
+
+@query("SELECT l_orderkey, l_linenumber, [1234.5, -45000, 750000, 2500000, NULL][(l_linenumber % 5) + 1]::DOUBLE AS amount, CASE WHEN l_linenumber % 7 = 0 THEN 'subtotal' WHEN l_linenumber % 3 = 1 THEN 'opening' WHEN l_quantity > 25 THEN 'addition' ELSE 'deduction' END AS kind, greatest(750000.0::DOUBLE, l_extendedprice * 1000 * 0.03::DOUBLE) AS type_a, least(abs(l_quantity - 25) / 10, 1.0) AS anomaly, CASE WHEN l_extendedprice > 10000 THEN 'ctr' WHEN l_extendedprice >= 5000 THEN 'sar' END AS report FROM lineitem")
+def amounts_and_thresholds(t):
+    """Amounts, kinds of rows, thresholds and anomaly scores."""
+    n = F.col("l_linenumber")
+    raw = F.element_at(F.array(*[F.lit(x) for x in ("$1,234.50", "(45,000)", "$750K", "2.5m", "n/a")]), (n % 5 + 1).cast("int"))
+    kind = finance.row_kind(F.when(n % 3 == 1, " Balance per Bank 6/30").otherwise("Fees"), F.col("l_quantity") - 25.5, n % 7 == 0)
+    return t.lineitem.select("l_orderkey", "l_linenumber", finance.amount(raw).alias("amount"), kind.alias("kind"), finance.type_a_threshold(F.col("l_extendedprice") * 1000).alias("type_a"), finance.anomaly(F.col("l_quantity") - 25, F.lit(10.0)).alias("anomaly"), finance.reportable(F.col("l_extendedprice")).alias("report"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 0.9 WHEN doc_id % 3 = 1 THEN 0.7 ELSE 0.0 END::DOUBLE AS gagas, CASE WHEN doc_id % 3 = 2 THEN 0.8 ELSE 0.0 END::DOUBLE AS single_audit, CASE WHEN doc_id % 3 = 1 THEN 'GASB' WHEN doc_id % 3 = 2 THEN 'Special Purpose Framework' ELSE 'GAAP' END AS framework FROM documents")
+def prose_flags(t):
+    """Scopes and frameworks told in running text."""
+    lead = F.element_at(F.array(*[F.lit(x) for x in ("GAGAS, the Yellow Book: Government Auditing Standards. ", "yellow book and GASB. ", "Uniform Guidance for federal awards, cash basis. ")]), (F.col("doc_id") % 3 + 1).cast("int"))
+    flags = mining.prose_flags(F.concat(lead, "text"))
+    get = lambda k: F.coalesce(F.try_element_at("f", F.lit(k)), F.lit(0.0))
+    return t.documents.select("doc_id", flags.alias("f"), mining.framework(F.concat(lead, "text")).alias("framework")).select("doc_id", get("includes_gagas").alias("gagas"), get("includes_single_audit").alias("single_audit"), "framework")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE '5' END AS plain, CASE WHEN event_id % 3 = 1 THEN 'Acme' ELSE '' END AS value, event_id % 3 = 1 AS found, event_id % 3 = 1 AS confident FROM events")
+def model_answers(t):
+    """Answers of a model: fenced, structured or broken."""
+    raw = F.element_at(F.array(*[F.lit(x) for x in ("sorry {no", '```json\n{"n": 5, "client": {"value": " Acme", "confident": true, "source_hint": "p1"}}\n```', 'Here: {"n": "5", "client": null} ok')]), (F.col("event_id") % 3 + 1).cast("int"))
+    a = t.events.select("event_id", pairs.parsed_answer(raw).alias("a")).select("event_id", F.try_element_at("a", F.lit("n")).alias("plain"), pairs.parsed_field(F.col("a"), "client").alias("c"))
+    return a.select("event_id", "plain", "c.value", "c.found", "c.confident")
+
+
+@query("SELECT l_orderkey AS pair_id, count(*) AS n, string_agg(n || '. ' || label || sec || chr(10) || '   Severity: ' || sev, chr(10) || chr(10) ORDER BY n) AS findings FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY f) AS n, ['Ein Number', 'Opinion', 'Date Signed'][f + 1] AS label, ['', ' (§Q4(b))', ' (§3.1)'][f + 1] AS sec, ['High', 'Low', 'Medium'][f + 1] AS sev FROM (SELECT DISTINCT l_orderkey, l_partkey % 5 AS f FROM lineitem) WHERE f < 3) GROUP BY 1")
+def rendered_findings(t):
+    """Numbered findings for absent fields with their sections."""
+    tiers = t.rows("field string, tier string, reason string", ("ein_number", "tier1", "no section"), ("opinion", "tier1", "x"), ("date_signed", "tier2", "per SOP §3.1"), ("fixed", "tier1", ""))
+    classes = t.rows("field string, slug string, class string, severity string, label string, pos int", ("opinion", "q4b", "deficiency_eligible", "low", None, 1), ("opinion", "q9", "informational_only", None, None, 2), ("fixed", "q1", "fixed_administrative", None, None, 3))
+    names = F.element_at(F.array(*[F.lit(x) for x in ("ein_number", "opinion", "date_signed", "fixed", "other")]), (F.col("f") + 1).cast("int"))
+    absent = t.lineitem.select(F.col("l_orderkey").alias("pair_id"), (F.col("l_partkey") % 5).alias("f")).distinct().select("pair_id", F.col("f").alias("pos"), names.alias("field"))
+    return pairs.rendered_findings(absent, pairs.procedure_map(tiers, classes))
+
+
+@query("SELECT o_orderkey AS pair_id, i AS idx, 'item ' || i || ' of ' || o_orderkey AS text FROM orders, range(1, 3) r(i)")
+def numbered_findings(t):
+    """The numbered lines of completions."""
+    k = F.col("o_orderkey").cast("string")
+    line = lambda i: F.concat(F.lit(f"{i}. item {i} of "), k)
+    body = F.concat_ws("\n", line(1), F.lit("   Severity: Low"), line(2))
+    marked = F.concat(F.lit("0. intro\nFINDINGS: \n"), body, F.lit("\nRECOMMENDATION:\n3. act"))
+    return pairs.numbered_findings(t.orders.select(F.col("o_orderkey").alias("pair_id"), F.when(F.col("o_orderkey") % 2 == 0, marked).otherwise(body).alias("text"))).withColumn("idx", F.col("idx").cast("long"))
+
+
+@query("SELECT month, n, confused FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 <> c_nationkey % 3) AS confused FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)")
+def framework_confusion(t):
+    """Results by month that name another framework than the engagement's."""
+    results = t.orders.select(F.col("o_custkey").alias("engagement_id"), F.col("o_orderdate").alias("at"), (F.col("o_orderkey") % 3).cast("string").alias("framework"))
+    return observe.monthly_confusion(results, t.customer.select(F.col("c_custkey").alias("engagement_id"), (F.col("c_nationkey") % 3).cast("string").alias("framework")))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'recommendation' ELSE 'condition,cause,effect' END AS missing FROM part")
+def required_parts(t):
+    """What answers lack."""
+    even = F.col("p_partkey") % 2 == 0
+    answer = F.when(even, F.create_map(F.lit("compliant"), F.lit("true"))).otherwise(F.create_map(F.lit("criteria"), F.lit("c"), F.lit("recommendation"), F.lit("r"), F.lit("cause"), F.lit("")))
+    return t.part.select("p_partkey", F.array_join(forms.missing_required(F.when(even, "compliance_check").otherwise("finding_documentation"), answer), ",").alias("missing"))
