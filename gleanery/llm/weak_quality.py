@@ -197,7 +197,8 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_words: int = TRAIN_
     share, accuracy, posterior = fit_votes(counts)
     sure = docs.sparkSession.createDataFrame(sorted(posterior.items()), "votes long, posterior double")
     pool = cast.where(f"n_words BETWEEN 1 AND {int(train_words)} AND doc_id IS NOT NULL").join(F.broadcast(sure), "votes")
-    half = [pool.where(side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows // 2).select("doc_id", "posterior") for side in ("posterior < 0.5", "posterior >= 0.5")]
+    few = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(min(1.0, 20 * train_rows / max(1, sum(counts.values()))) * (1 << 30))
+    half = [pool.where(side).where(few).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows // 2).select("doc_id", "posterior") for side in ("posterior < 0.5", "posterior >= 0.5")]
     chosen = scratch.keep(half[0].unionAll(half[1]).dropDuplicates(["doc_id"]), "chosen")
 
     def run(batches):
