@@ -22,8 +22,9 @@ from gleanery.llm.common import Scratch, bounded, prepare, table
 
 CAPACITY = 4096
 END_ID = 1
-#: Tokens of so many words are remembered by a worker.
-CACHE_WORDS = 600_000
+#: Tokens of so many words are remembered by a worker, from their second occurrence on; that a word has occurred is a bit of its hash.
+CACHE_WORDS = 300_000
+_SEEN = 1 << 22
 #: Pieces of one length that one task numbers.
 NUMBERED = 250_000
 _BLOCK = 1 << 20
@@ -46,7 +47,7 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.model, self.seen, self.marked = self.tokenizer.model, bytearray(_SEEN), 0
         self.alphabet = _byte_alphabet()
         self.plain = all(self.whole(w) == self.lower_letters(w) for w in ("a", "the", "straße", "éàü", "extraordinarily", "ÿžłđ".lower()))
 
@@ -69,9 +70,14 @@ class WordTokens(dict):
             ids = self.lower_letters(word) if word.islower() else self[word.lower()] if max(word) < "\u0100" and word.lower() != word else self.whole(word)
         else:
             ids = self.whole(word)
-        if len(word) <= 64:
+        at = hash(word) % _SEEN
+        if not self.seen[at]:
+            if self.marked >= _SEEN // 2:
+                self.seen, self.marked = bytearray(_SEEN), 0
+            self.seen[at], self.marked = 1, self.marked + 1
+        elif len(word) <= 64:
             if len(self) >= CACHE_WORDS:  # the frequent words came first
-                for k in list(islice(reversed(self), CACHE_WORDS // 2)):
+                for k in list(islice(reversed(self), CACHE_WORDS // 4)):
                     del self[k]
             self[word] = ids
         return ids
