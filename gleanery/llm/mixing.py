@@ -109,8 +109,8 @@ def mixed_documents(docs: DataFrame, weight: Column | None = None, **how) -> Dat
     whole = scratch.keep(whole.select("p.source", "epochs", "cut_step", "l.__last"), "cuts")
     scratch.drop(thin, plan)
     here = F.struct("__key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("i"), "__size")
-    more = F.coalesce((F.col("__step") < F.col("cut_step")) | ((F.col("__step") == F.col("cut_step")) & (here <= F.col("__last"))), F.lit(False)).cast("int")
-    rows = _with_cut(sized(docs, weight), whole.select("source", F.col("epochs").alias("__epochs"), "cut_step", "__last"), n)
+    more = F.coalesce((F.col("__step") < F.col("__cut_step")) | ((F.col("__step") == F.col("__cut_step")) & (here <= F.col("__last"))), F.lit(False)).cast("int")
+    rows = _with_cut(sized(docs, weight), whole.select("source", F.col("epochs").alias("__epochs"), F.col("cut_step").alias("__cut_step"), "__last"), n)
     times = (F.col("__epochs") + more).cast("int")
     return rows.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 

@@ -1,6 +1,6 @@
 import random
 
-from gleanery.llm.line_dedup import deduplicated
+from gleanery.llm.line_dedup import deduplicated, deduplicated_documents
 
 WORDS = 12
 
@@ -56,3 +56,9 @@ def test_empty_and_repeated_rows(spark):
     text = " ".join(map(str, range(60)))
     rows = deduplicated(spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["text"] == text) for r in rows) == [(1, True), (1, True), (2, False)]
+
+
+def test_clashing_columns_stay(spark):
+    df = spark.createDataFrame([(1, "x " * 60, "a", 1, 2), (2, "x " * 60, "b", 3, 4)], "doc_id long, text string, o string, t int, gone int")
+    out = deduplicated_documents(df)
+    assert out.columns == df.columns and sorted((r["doc_id"], r["text"], r["o"], r["t"], r["gone"]) for r in out.collect()) == [(1, "x " * 60, "a", 1, 2), (2, "", "b", 3, 4)]

@@ -78,6 +78,8 @@ def test_mix(spark):
 
 def test_mixed_documents_are_the_mix(spark):
     df = spark.createDataFrame(ROWS, "doc_id long, text string, source string")
+    clashing = df.withColumn("cut_step", F.lit("mine")).withColumn("epochs", F.lit(9)).withColumn("size", F.lit("x"))
+    assert mixing.mixed_documents(clashing).columns == clashing.columns and {r["cut_step"] for r in mixing.mixed_documents(clashing).collect()} == {"mine"}
     counts = Counter(r["doc_id"] for r in mixing.mixed_documents(df).collect())
     want = Counter()
     for r in mixing.mix(df).collect():
