@@ -136,20 +136,20 @@ def _without(text, gone):
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with the text of each row less the lines that an earlier document or place has, all other columns as they are, and __gone, the numbers of those lines (null: none).
+    """docs with the text of each row less the lines that an earlier document or place has, all other columns as they are, with __gone, the numbers of those lines (null: none), and __lines, how many there were.
 
     A line goes if it lies in a run of consecutive lines, of min_words words or more together, that also begins at an
     earlier line; earlier is in the order of (doc_id, null last; line). Runs may overlap. Lines without a word play no
     part: they don't part a run, and they stay. So every run's first copy stays whole. Null and empty texts stay as
     they are. Rows equal in doc_id and text are one document and lose the same lines; an empty table stays empty.
     """
-    gone = repeated_lines(docs.select("doc_id", "text"), min_words).withColumnRenamed("gone", "__gone")
+    gone = repeated_lines(docs.select("doc_id", "text"), min_words).select(F.col("o").alias("__go"), F.col("t").alias("__gt"), F.col("gone").alias("__gone"))
     size = gone.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("__gone")), F.lit(0)).alias("lines")).first()
     if 48 * size["rows"] + 4 * size["lines"] <= BROADCAST_BYTES:  # else the texts are shuffled
         gone = F.broadcast(gone)
     keyed = _keyed(docs)
-    out = keyed.join(gone, (keyed["__o"] == gone["o"]) & (keyed["__t"] == gone["t"]), "left").drop("o", "t", "__o", "__t")
-    return out.withColumn("text", _without(F.col("text"), F.col("__gone")))
+    out = keyed.join(gone, (F.col("__o") == F.col("__go")) & (F.col("__t") == F.col("__gt")), "left").drop("__go", "__gt", "__o", "__t")
+    return out.withColumn("__lines", F.size(F.split("text", "\n", -1))).withColumn("text", _without(F.col("text"), F.col("__gone")))
 
 
 def deduplicated_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -160,4 +160,4 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n_lines, lines_removed, words_kept, text_sha256) of every document; the hash is that of the text that is left."""
     out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.coalesce(F.size("__gone"), F.lit(0))
-    return out.select("doc_id", (F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)) + removed).cast("long").alias("n_lines"), removed.cast("long").alias("lines_removed"), word_count("text").alias("words_kept"), F.sha2("text", 256).alias("text_sha256"))
+    return out.select("doc_id", F.coalesce("__lines", F.lit(0)).cast("long").alias("n_lines"), removed.cast("long").alias("lines_removed"), word_count("text").alias("words_kept"), F.sha2("text", 256).alias("text_sha256"))
