@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows that go to Python at once; texts can be long, so fewer than Spark's default.
+#: Rows and bytes that go to Python at once; texts can be long, so fewer than Spark's defaults.
 ROWS_PER_BATCH = 2000
+BYTES_PER_BATCH = 8 << 20
 #: A side of a join is broadcast up to so many rows of a few dozen bytes (some MB), and shuffled beyond.
 BROADCAST_ROWS = 100_000
 
@@ -21,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds what one Arrow batch holds, however long the texts are."""
+    """Bounds what one Arrow batch holds, in rows and in bytes, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def shared_dir(spark: SparkSession) -> str:
