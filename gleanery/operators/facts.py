@@ -42,14 +42,14 @@ def merged(facts: DataFrame, *keys: str) -> DataFrame:
 
     A single fact stays as it is. Values that agree: the highest confidence, all sources in order. Values that differ:
     the value, method and sources of the most confident fact, the first among equals, its confidence times .8. Without
-    any value: the first fact. `distinct_values` and `outcome` (single, agree, conflict, empty) say which.
+    any value: the first fact. `outcome` (single, agree, conflict, empty) says which.
     """
     present = F.col("value").isNotNull()
     row = F.struct("value", "confidence", "sources", "method")
     best = F.max_by(F.when(present, row), F.when(present, F.struct("confidence", F.negative("pos").alias("p"))))
     in_order = F.transform(F.array_sort(F.collect_list(F.when(present, F.struct("pos", "sources")))), lambda x: x["sources"])
-    out = facts.groupBy(*keys, "field").agg(F.count("*").alias("n"), F.count("value").alias("n_present"), F.count_distinct("value").alias("distinct_values"), best.alias("best"), F.min_by(row, "pos").alias("first"), F.max(F.when(present, F.col("confidence"))).alias("top"), F.flatten(in_order).alias("all_sources"))
-    outcome = F.when(F.col("n") == 1, "single").when(F.col("n_present") == 0, "empty").when(F.col("distinct_values") == 1, "agree").otherwise("conflict")
+    out = facts.groupBy(*keys, "field").agg(F.count("*").alias("n"), F.count("value").alias("n_present"), F.min("value").alias("least"), F.max("value").alias("most"), best.alias("best"), F.min_by(row, "pos").alias("first"), F.max(F.when(present, F.col("confidence"))).alias("top"), F.flatten(in_order).alias("all_sources"))
+    outcome = F.when(F.col("n") == 1, "single").when(F.col("n_present") == 0, "empty").when(F.col("least") == F.col("most"), "agree").otherwise("conflict")
     out = out.withColumn("outcome", outcome)
     pick = lambda single, agree, conflict: F.when(F.col("outcome").isin("single", "empty"), single).when(F.col("outcome") == "agree", agree).otherwise(conflict)
     return out.select(
@@ -59,7 +59,6 @@ def merged(facts: DataFrame, *keys: str) -> DataFrame:
         pick(F.col("first.confidence"), F.least(F.lit(1.0), F.col("top")), F.col("best.confidence") * DISAGREEMENT).alias("confidence"),
         pick(F.col("first.sources"), F.col("all_sources"), F.col("best.sources")).alias("sources"),
         pick(F.col("first.method"), F.lit("multi_extractor_agreement"), F.col("best.method")).alias("method"),
-        "distinct_values",
         "outcome",
     )
 

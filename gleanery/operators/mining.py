@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import has_mark, short_question, strip
+from gleanery.functions.text import has_mark, let, short_question, strip
 from gleanery.operators.aliases import alias_map
 
 # Labels that are headings of a form, not fields.
@@ -97,25 +97,30 @@ def cells(tables: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.select(key, "table", "row", F.posexplode("r").alias("col", "text"))
 
 
-def cell_fields(all_cells: DataFrame, aliases: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, canonical, value, method): values beside known labels, the first of: the row above, the header of a column, the cell to the left. Labels, noise and marks are no values; each field once."""
-    names = F.broadcast(alias_map(aliases))
-    c = all_cells.withColumn("text", strip(F.col("text")))
-    low = F.lower("text")
-    known = c.join(names, low == F.col("variant"), "left").withColumn("value_like", F.col("canonical").isNull() & (F.col("text") != "") & ~F.col("text").endswith(":") & ~low.isin(*NOISE, "true", "false"))
-    first = known.where("text <> ''").groupBy(key, "table", "row").agg(F.min_by(F.struct("text", "canonical", "value_like"), "col").alias("f"))
-    down = Window.partitionBy(key, "table").orderBy("row")
-    above = first.withColumn("before", F.lag("f").over(down)).withColumn("gap", F.col("row") - F.lag("row").over(down)).where("f.canonical IS NOT NULL AND before.value_like AND gap = 1")
-    above = above.select(key, F.col("f.canonical").alias("canonical"), F.col("before.text").alias("value"), F.lit(1).alias("pass"), "table", "row", F.lit(0).alias("col"))
-    heads = known.where("row = 0 AND canonical IS NOT NULL").select(key, "table", "col", "canonical")
-    column = known.where("row = 1 AND value_like").select(key, "table", "col", F.col("text").alias("value")).join(heads, [key, "table", "col"])
-    column = column.select(key, "canonical", "value", F.lit(2).alias("pass"), "table", F.lit(0).alias("row"), "col")
-    across = Window.partitionBy(key, "table", "row").orderBy("col")
-    left = known.withColumn("before", F.lag(F.struct("text", "value_like")).over(across)).where("canonical IS NOT NULL AND before.value_like")
-    left = left.select(key, "canonical", F.col("before.text").alias("value"), F.lit(3).alias("pass"), "table", "row", "col")
+def cell_fields(tables: DataFrame, aliases: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, canonical, value, method) of tables(key, table, headers, rows): values beside known labels, the first of: the row above, the header of a column, the cell to the left. Labels, noise and marks are no values; each field once. Neighbours are looked up within a table's arrays; only what was found is shuffled."""
+    names = alias_map(aliases).agg(F.map_from_entries(F.collect_list(F.struct("variant", "canonical"))).alias("__names"))
+    name = lambda x: F.try_element_at("__names", F.lower(x))
+    is_value = lambda x: name(x).isNull() & (x != "") & ~x.endswith(":") & ~F.lower(x).isin(*NOISE, "true", "false")
+
+    def beside(values, labels, method, row, col_of):
+        """What stands in `labels` with the element of `values` at the same place as its value."""
+        both = F.transform(F.arrays_zip(values.alias("v"), labels.alias("l")), lambda x, i: F.struct(F.lit(method).alias("pass"), row(i).alias("row"), col_of(i).alias("col"), name(F.coalesce(x["l"], F.lit(""))).alias("canonical"), x["v"].alias("value")))
+        return F.filter(both, lambda x: x["canonical"].isNotNull() & F.coalesce(is_value(x["value"]), F.lit(False)))
+
+    def found(all_rows):
+        first = F.transform(all_rows, lambda r: F.coalesce(F.filter(r, lambda x: x != "")[0], F.lit("")))
+        n = F.size(all_rows)
+        above = let(first, lambda f: beside(F.slice(f, 1, F.greatest(n - 1, F.lit(0))), F.slice(f, 2, F.greatest(n - 1, F.lit(0))), 1, lambda i: i + 1, lambda i: F.lit(0)))
+        column = F.when(n > 1, beside(all_rows[1], F.slice(all_rows[0], 1, F.size(all_rows[1])), 2, lambda i: F.lit(0), lambda i: i)).otherwise(F.array())
+        left = F.flatten(F.transform(all_rows, lambda r, j: beside(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))), F.slice(r, 2, F.greatest(F.size(r) - 1, F.lit(0))), 3, lambda i: j, lambda i: i + 1)))
+        return F.concat(above, column, left)
+
+    plain = F.transform(F.concat(F.array("headers"), "rows"), lambda r: F.transform(r, lambda x: strip(F.coalesce(x, F.lit("")))))
+    hits = tables.join(F.broadcast(names)).select(key, "table", F.explode(let(plain, found)).alias("x"))  # names is one row
     method = F.element_at(F.array(F.lit("above"), F.lit("column"), F.lit("left")), F.col("b.pass"))
-    best = F.min_by(F.struct("value", "pass"), F.struct("pass", "table", "row", "col"))
-    return above.unionByName(column).unionByName(left).groupBy(key, "canonical").agg(best.alias("b")).select(key, "canonical", "b.value", method.alias("method"))
+    best = F.min_by(F.struct("x.value", "x.pass"), F.struct("x.pass", "table", "x.row", "x.col"))
+    return hits.groupBy(key, F.col("x.canonical").alias("canonical")).agg(best.alias("b")).select(key, "canonical", "b.value", method.alias("method"))
 
 
 def checkbox_answers(tables: DataFrame, aliases: DataFrame, key: str = "doc_id") -> DataFrame:

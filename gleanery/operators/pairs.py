@@ -202,16 +202,23 @@ def grounding(claims_: DataFrame, missing: DataFrame, key: str = "pair_id") -> D
 
 
 def findings(scores: DataFrame, tiers: DataFrame, risks: DataFrame, key: str = "doc_id", low: float = 0.50) -> DataFrame:
-    """(key, field, tier, status, severity): what a record lacks. scores(key, field, score, deficient, flagged); tiers(field, tier), risks(field, severity); a field without a risk gives none. Of tier 2, missing is Medium at most and low confidence Low; other flagged fields with a score are llm_only."""
-    keys = scores.select(key).distinct()
-    cells = keys.join(F.broadcast(tiers.where("tier IN (1, 2)").join(risks, "field")))  # some dozen fields a record
-    have = scores.select(key, "field", "score", "deficient", "flagged")
-    out = cells.join(have, [key, "field"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    status = F.when(F.coalesce("deficient", F.lit(False)) | (F.col("score") == 0), "missing").when(F.col("score") < low, "low_confidence")
-    severity = F.when((F.col("tier") == 2) & (F.col("status") == "low_confidence"), "Low").when((F.col("tier") == 2) & (F.col("severity") == "High"), "Medium").otherwise(F.col("severity"))
-    found = out.withColumn("status", status).where("status IS NOT NULL").select(key, "field", "tier", "status", severity.alias("severity"))
-    only = have.where(F.col("flagged") & (F.col("score") > 0) & ~F.coalesce("deficient", F.lit(False))).join(found.select(key, "field"), [key, "field"], "left_anti").join(F.broadcast(tiers), "field", "left")
-    return found.unionByName(only.select(key, "field", F.coalesce("tier", F.lit(3)).alias("tier"), F.lit("llm_only").alias("status"), F.lit("Informational").alias("severity")))
+    """(key, field, tier, status, severity): what a record lacks. scores(key, field, score, deficient, flagged), a row for each field; tiers(field, tier), risks(field, severity); a field without a risk gives none. Of tier 2, missing is Medium at most and low confidence Low; other flagged fields with a score are llm_only. One shuffle: a record's scores become a map, which is held against the dimension as an array."""
+    dim = tiers.join(risks, "field", "left").agg(F.collect_list(F.struct("field", "tier", "severity")).alias("__dim"))
+    per = scores.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("score", F.coalesce("deficient", F.lit(False)).alias("deficient"), F.coalesce("flagged", F.lit(False)).alias("flagged")).alias("s")))).alias("__m"))
+
+    def lacking(d):
+        s = F.try_element_at("__m", d["field"])
+        score = F.coalesce(s["score"], F.lit(0.0))
+        status = F.when(F.coalesce(s["deficient"], F.lit(False)) | (score == 0), "missing").when(score < low, "low_confidence")
+        severity = F.when((d["tier"] == 2) & (status == "low_confidence"), "Low").when((d["tier"] == 2) & (d["severity"] == "High"), "Medium").otherwise(d["severity"])
+        return F.struct(d["field"].alias("field"), d["tier"].alias("tier"), status.alias("status"), severity.alias("severity"))
+
+    own = F.filter(F.transform(F.filter("__dim", lambda d: d["tier"].isin(1, 2) & d["severity"].isNotNull()), lacking), lambda x: x["status"].isNotNull())
+    out = per.join(F.broadcast(dim)).withColumn("__own", own)  # dim is one row
+    tier = lambda f: F.coalesce(F.filter("__dim", lambda d: d["field"] == f)[0]["tier"], F.lit(3))
+    only = F.filter(F.map_entries("__m"), lambda e: e["value"]["flagged"] & (e["value"]["score"] > 0) & ~e["value"]["deficient"] & ~F.exists("__own", lambda x: x["field"] == e["key"]))
+    more = F.transform(only, lambda e: F.struct(e["key"].alias("field"), tier(e["key"]).alias("tier"), F.lit("llm_only").alias("status"), F.lit("Informational").alias("severity")))
+    return out.select(key, F.explode(F.concat("__own", more)).alias("x")).select(key, "x.*")
 
 
 def latest(rows: DataFrame, key: str, at: str, pos: str) -> DataFrame:
@@ -271,3 +278,18 @@ def numbered_findings(completion: DataFrame, key: str = "pair_id", text: str = "
     body = F.coalesce(F.nullif(F.regexp_extract(text, r"(?is)FINDINGS:\s*\n(.*?)(?=\nRECOMMENDATION:|\z)", 1), F.lit("")), F.col(text))
     lines = completion.select(key, F.posexplode(F.regexp_extract_all(body, F.lit(r"(?m)^\s*(\d+\.\s+.+)$"), F.lit(1))).alias("pos", "l"))
     return lines.select(key, F.regexp_extract("l", r"^(\d+)", 1).cast("int").alias("idx"), F.trim(F.regexp_extract("l", r"^\d+\.\s+(.+)$", 1)).alias("text"))
+
+
+def without_evidence(text: Column, fields: Column) -> tuple[Column, Column]:
+    """(text, failed) after the evidence of each of fields (array<struct<field, phrases>>, phrases lower-cased) was replaced in order, as redacted() does for one field; failed names the fields of which no line was found."""
+    mark = lambda f: F.concat(F.lit("[NOT DOCUMENTED: "), f["field"], F.lit("]"))
+    hit = lambda line, f: F.exists(f["phrases"], lambda p: F.instr(F.lower(line), p) > 0)
+
+    def step(lines, f):
+        marked = F.transform(lines, lambda x: F.when(hit(x, f), mark(f)).otherwise(x))
+        pairs_ = lambda m: F.transform(m, lambda x, i: F.struct(x.alias("x"), F.when(i > 0, F.element_at(m, F.greatest(i, F.lit(1)))).alias("before")))
+        return let(marked, lambda m: F.transform(F.filter(pairs_(m), lambda s: ~((s["x"] == mark(f)) & F.coalesce(s["before"] == mark(f), F.lit(False)))), lambda s: s["x"]))
+
+    lines = F.split(text, "\n", -1)
+    failed = F.transform(F.filter(fields, lambda f: ~F.exists(lines, lambda x: hit(x, f))), lambda f: f["field"])
+    return F.array_join(F.aggregate(fields, lines, step), "\n"), failed

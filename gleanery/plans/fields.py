@@ -376,7 +376,7 @@ def cell_fields(t):
     base = t.lineitem.select(F.col("l_orderkey").alias("o")).distinct()
     first = base.select(F.col("o").alias("doc_id"), lit(0).alias("table"), F.array(lit("Form"), lit("Year")).alias("headers"), F.when(F.col("o") % 2 == 0, above).otherwise(left).alias("rows"))
     second = base.select(F.col("o").alias("doc_id"), lit(1).alias("table"), F.array(lit("Item"), lit("Total Assets")).alias("headers"), F.array(F.array(lit("x"), (F.col("o") * 7).cast("string"))).alias("rows"))
-    return mining.cell_fields(mining.cells(first.unionByName(second)), names)
+    return mining.cell_fields(first.unionByName(second), names)
 
 
 @query(
