@@ -86,3 +86,21 @@ def test_stream_windows(spark, tmp_path):
     assert q.awaitTermination(60)
     got = {str(r["start"])[:10]: (r["n"], r["mean"]) for r in spark.table("rolled").collect()}
     assert got["2024-01-03"] == (2, 3.0) and got["2024-01-09"] == (1, 4.0) and len(got) == 13
+
+
+def test_last_entries_as_state(spark, tmp_path):
+    src, state = str(tmp_path / "src"), str(tmp_path / "state")
+    rows = lambda *xs: spark.createDataFrame(list(xs), "key string, at string, value string").withColumn("at", F.to_timestamp("at"))
+    first = rows(("a", "2024-01-01", "1"), ("a", "2024-01-03", "3"), ("b", "2024-01-02", "2"), ("a", "2024-01-02", "2"))
+    first.write.parquet(src)
+    got = {}
+
+    def keep(batch, _):
+        for r in batch.collect():
+            got.setdefault(r["key"], []).append(r["value"])
+
+    run = lambda: intake.into_table(intake.last_entries(spark, intake.stream(spark, src, first.schema), "key", "at", 2), keep, state).awaitTermination(60)
+    assert run() and sorted(got["a"]) == ["2", "3"] and got["b"] == ["2"]
+    got.clear()
+    rows(("a", "2024-01-09", "9")).write.mode("append").parquet(src)
+    assert run() and sorted(got["a"]) == ["3", "9"] and "b" not in got
