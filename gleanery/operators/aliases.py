@@ -155,7 +155,7 @@ def coverage(log: DataFrame) -> DataFrame:
 
 def version_health(changes: DataFrame) -> DataFrame:
     """(versions, rollbacks, largest, drops) from changes(version, action, added, precision_before, precision_after)."""
-    return changes.agg(F.count("*").alias("versions"), F.count_if(F.col("action") == "rollback").alias("rollbacks"), F.max_by("version", F.struct("added", F.negative(F.monotonically_increasing_id()))).alias("largest"), F.count_if(F.col("precision_after") < F.col("precision_before")).alias("drops"))
+    return changes.agg(F.count("*").alias("versions"), F.count_if(F.col("action") == "rollback").alias("rollbacks"), F.max_by("version", F.struct(F.col("added"), F.transform(version_key(F.col("version")), lambda x: -x))).alias("largest"), F.count_if(F.col("precision_after") < F.col("precision_before")).alias("drops"))
 
 
 def decided(log: DataFrame, decisions: DataFrame) -> DataFrame:

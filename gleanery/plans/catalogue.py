@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleanery.plans import fields, pairs, reports, retrieve, text  # noqa: F401  they register themselves
+from gleanery.plans import fields, pairs, registries, reports, retrieve, text  # noqa: F401  they register themselves
 from gleanery.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
