@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, prepare, table
+from gleanery.llm.common import Scratch, prepare, table, tidy
 
 SCALE = 1024
 TOP = 10
@@ -171,7 +171,7 @@ def build_index(rows: DataFrame, scratch: Scratch, block_rows: int = BLOCK_ROWS)
         if held:
             yield block(held)
 
-    return scratch.keep(rows.mapInArrow(run, "block long, dims int, bits int, words int, ids binary, slices binary"), "index")
+    return scratch.keep(rows.mapInArrow(tidy(run), "block long, dims int, bits int, words int, ids binary, slices binary"), "index")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, scale: int = SCALE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -216,7 +216,7 @@ def _meet(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 found = block_top(own, np.frombuffer(row_ids, "<i8"), asks, ids, k)
                 yield pa.record_batch([pa.array([f[c] for f in found], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
 
-    return index.repartition("block").mapInArrow(run, "query_id long, vec_id long, score long")
+    return index.repartition("block").mapInArrow(tidy(run), "query_id long, vec_id long, score long")
 
 
 def op4_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:

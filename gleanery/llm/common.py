@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes that go to Python at once; texts can be long, so fewer than Spark's defaults.
-ROWS_PER_BATCH = 2000
-BYTES_PER_BATCH = 8 << 20
+ROWS_PER_BATCH = 1000
+BYTES_PER_BATCH = 4 << 20
 #: A side of a join is broadcast up to so many rows of a few dozen bytes (some MB), and shuffled beyond.
 BROADCAST_ROWS = 100_000
 
@@ -27,6 +27,31 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
+#: What a Python worker remembers between tasks, by the name of the operator.
+CACHES: dict[str, dict] = {}
+
+
+def tidy(run, keep: str | None = None):
+    """run for mapInArrow, in a worker that forgets what other operators remembered and gives freed memory back after each task: a worker outlives the operators that it serves."""
+
+    def tidied(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        for name, cache in CACHES.items():
+            if name != keep:
+                cache.clear()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return tidied
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, prepare, table
+from gleanery.llm.common import Scratch, prepare, table, tidy
 
 #: Training rows: at most so many a language, and so many in all. Whole texts are used.
 PER_LANGUAGE = 400
@@ -232,7 +232,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRA
 
     prepare(docs.sparkSession)
     texts = docs.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang")  # chosen has at most train_rows rows
-    rows = sorted((r["lang"], bytes(r["v"])) for r in texts.limit(train_rows).mapInArrow(run, "v binary, lang string").collect())
+    rows = sorted((r["lang"], bytes(r["v"])) for r in texts.limit(train_rows).mapInArrow(tidy(run), "v binary, lang string").collect())
     scratch.drop(chosen)
     vectors = np.array([np.frombuffer(v, "<f4") for _, v in rows], float).reshape(-1, DIMENSIONS)
     return fit_rows(vectors, [x for x, _ in rows])
@@ -250,7 +250,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.record_batch([b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, prepare, table, word_count
+from gleanery.llm.common import Scratch, prepare, table, tidy, word_count
 
 #: A repeated run counts from so many words on.
 MIN_WORDS = 50
@@ -111,7 +111,7 @@ def _runs(levels: list[DataFrame], min_words: int) -> DataFrame:
                         c.append(v)
             yield pa.record_batch([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in cols], ["o", "t", "i", "m", "k", "a", "b"])
 
-    return grouped.mapInArrow(run, "o long, t long, i long, m long, k long, a long, b long")
+    return grouped.mapInArrow(tidy(run), "o long, t long, i long, m long, k long, a long, b long")
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

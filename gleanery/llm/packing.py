@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, bounded, prepare, table
+from gleanery.llm.common import CACHES, Scratch, bounded, prepare, table, tidy
 
 CAPACITY = 4096
 END_ID = 1
@@ -40,13 +40,14 @@ def _byte_alphabet() -> dict[int, str]:
 class WordTokens(dict):
     """Little-endian 32-bit ids by word, for tokenizers whose tokens never reach over white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.most = CACHE_WORDS if cache_words is None else cache_words
         self.model, self.seen, self.marked = self.tokenizer.model, bytearray(_SEEN), 0
         self.alphabet = _byte_alphabet()
         self.plain = all(self.whole(w) == self.lower_letters(w) for w in ("a", "the", "straße", "éàü", "extraordinarily", "ÿžłđ".lower()))
@@ -76,8 +77,8 @@ class WordTokens(dict):
                 self.seen, self.marked = bytearray(_SEEN), 0
             self.seen[at], self.marked = 1, self.marked + 1
         elif len(word) <= 64:
-            if len(self) >= CACHE_WORDS:  # the frequent words came first
-                for k in list(islice(reversed(self), CACHE_WORDS // 4)):
+            if len(self) >= self.most:  # the frequent words came first
+                for k in list(islice(reversed(self), max(1, len(self) - self.most * 3 // 4))):
                     del self[k]
             self[word] = ids
         return ids
@@ -94,12 +95,13 @@ class WordTokens(dict):
             at = end
 
 
-_tokens: dict[str, WordTokens] = {}
+_tokens = CACHES.setdefault("packing", {})
 
 
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, cache_words: int = CACHE_WORDS) -> WordTokens:
     if path not in _tokens:
         _tokens[path] = WordTokens(path)
+    _tokens[path].most = cache_words
     return _tokens[path]
 
 
@@ -115,14 +117,14 @@ def cut(tokens: WordTokens, text: str | None, capacity: int, end_id: int):
     yield start, bytes(held)
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]) of every piece. tokenizer: the path of its file on every executor. A null text is empty, and so one piece with the end id alone."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text", cache_words: int = CACHE_WORDS) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32[, ids]) of every piece. tokenizer: the path of its file on every executor; cache_words: how many words a worker remembers, some 0.25 KB each. A null text is empty, and so one piece with the end id alone."""
     from zlib import crc32
 
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        tokens = word_tokens(tokenizer)
+        tokens = word_tokens(tokenizer, cache_words)
         for b in batches:
             rows = [(i, n, start, len(ids) // 4, crc32(ids), ids) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for n, (start, ids) in enumerate(cut(tokens, t, capacity, end_id))]
             cols = list(zip(*rows)) or [()] * 6
@@ -130,7 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)][: 5 + with_ids], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
 
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run, "packing"), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 class Lengths:
@@ -225,7 +227,7 @@ def places(patterns: list[tuple[list[int], int]]) -> list[tuple[int, int, int, i
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, cache_words: int = CACHE_WORDS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset) of every piece of every row.
 
     Only documents of more than `capacity` tokens are cut. Null text is empty (one piece with the end id); repeated
@@ -235,7 +237,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    cuts = scratch.keep(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
+    cuts = scratch.keep(pieces(docs, tokenizer, capacity, end_id, with_ids, cache_words=cache_words), "pieces")
     counts = {r["length"]: r["count"] for r in cuts.groupBy("length").count().collect()}  # at most `capacity` rows
     slots = places(plan(counts, capacity))
     parts = [(k, 1 + v // NUMBERED) for k, v in counts.items()]

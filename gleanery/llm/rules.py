@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import prepare, table
+from gleanery.llm.common import prepare, table, tidy
 
 #: name -> condition of failure, over the measurements. The position is the bit; add new rules at the end.
 RULES = {
@@ -106,7 +106,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             yield pa.record_batch([b.column(0), *[pa.array(c, pa.int64()) for c in cols]], ["doc_id", *MEASURES])
 
     prepare(docs.sparkSession)
-    found = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
+    found = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
     failed = " + ".join(f"CASE WHEN {rule} THEN {1 << i}L ELSE 0L END" for i, rule in enumerate(RULES.values()))
     return found.select("doc_id", F.expr(failed).alias("failed"), *MEASURES)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, bounded, prepare, table
+from gleanery.llm.common import Scratch, bounded, prepare, table, tidy
 from gleanery.llm.graph import components
 
 RADIUS = 3
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.record_batch([b.column(0), pa.array([fingerprint(t, width) for t in b.column(1).to_pylist()], pa.int64())], ["doc_id", "fp"])
 
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long")
 
 
 def covering_masks(radius: int, seed: int) -> list[int]:
@@ -120,7 +120,7 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = RADIUS, bucket: int =
             yield pa.record_batch([pa.array([e[0] for e in found], pa.int64()), pa.array([e[1] for e in found], pa.int64())], ["a", "b"])
 
     lists = groups.groupBy("t", "s", "key").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
-    return lists.mapInArrow(run, "a long, b long").distinct()
+    return lists.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
@@ -156,7 +156,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> Dat
         return docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
     shared = bounded(more, n_more)
     once = docs.join(shared, "doc_id", "left_anti").join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
-    fp = F.pandas_udf(lambda texts: texts.map(lambda t: fingerprint(t, width)).astype("int64"), "long")
+    fp = F.arrow_udf(lambda texts: pa.array([fingerprint(t, width) for t in texts.to_pylist()], pa.int64()), "long")
     roots = found.join(more, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("__fp"), F.col("root").alias("__root"), "component_id").distinct().where("doc_id = component_id").drop("component_id")
     several = docs.join(shared, "doc_id", "left_semi").withColumn("__fp", fp("text")).join(roots, ["doc_id", "__fp"]).dropDuplicates(["doc_id", "__root"])
     return once.unionAll(several.select(columns))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.llm.common import Scratch, most_frequent, prepare, table
+from gleanery.llm.common import Scratch, most_frequent, prepare, table, tidy
 
 ALLOW, BLOCK = "allow", "block"
 #: (verdict, host and path): a rule fits its host and all subdomains, if the path starts with the rule's; the longest wins.
@@ -143,7 +143,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     kind = pages.schema[id_col].dataType.simpleString()
     parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    cut = scratch.keep(parsed.mapInArrow(tokens, f"page_id {kind}, host string, path string, tokens array<string>").withColumn("rule", rule).withColumn("verdict", verdict), "tokens")
+    cut = scratch.keep(parsed.mapInArrow(tidy(tokens), f"page_id {kind}, host string, path string, tokens array<string>").withColumn("rule", rule).withColumn("verdict", verdict), "tokens")
     judged = cut.where("verdict IS NOT NULL")
     n_pages = {r["verdict"]: r["count"] for r in judged.groupBy("verdict").count().collect()}
     counts = judged.select("verdict", F.explode("tokens").alias("token")).groupBy("token").agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in (ALLOW, BLOCK)])
@@ -156,7 +156,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
         for b in batches:
             yield pa.record_batch([*b.columns, pa.array([model.block(t) for t in b.column("tokens").to_pylist()], pa.float64())], [*b.schema.names, "p_block"])
 
-    scored = cut.mapInArrow(score, T.StructType([*cut.schema.fields, T.StructField("p_block", T.DoubleType())]))
+    scored = cut.mapInArrow(tidy(score), T.StructType([*cut.schema.fields, T.StructField("p_block", T.DoubleType())]))
     return scored.withColumn("verdict", F.coalesce("verdict", F.when(F.col("p_block") > 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))).select("page_id", "host", "path", "rule", "verdict", "p_block", "tokens")
 
 

@@ -18,7 +18,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, bounded, drop_path, prepare, scratch_path, table
+from gleanery.llm.common import Scratch, bounded, drop_path, prepare, scratch_path, table, tidy
 
 #: Uncompressed bytes after which a task begins another archive.
 ARCHIVE_BYTES = 64 << 20
@@ -177,7 +177,7 @@ def write_archives(pages: DataFrame, folder: str, level: int = LEVEL, archive_by
             yield close()
 
     prepare(pages.sparkSession)
-    return pages.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "path string, records long")
+    return pages.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(tidy(run), "path string, records long")
 
 
 def normalise_archives(archives: DataFrame, source: str, folder: str, level: int = LEVEL) -> DataFrame:
@@ -198,7 +198,7 @@ def normalise_archives(archives: DataFrame, source: str, folder: str, level: int
                         n += 1
                 yield pa.record_batch([pa.array([name], pa.string()), pa.array([n], pa.int64())], ["path", "records"])
 
-    return archives.select("path").mapInArrow(run, "path string, records long")
+    return archives.select("path").mapInArrow(tidy(run), "path string, records long")
 
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
@@ -227,7 +227,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset"])
 
-    return archives.select("path").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long")
+    return archives.select("path").mapInArrow(tidy(run), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long")
 
 
 def _id(urn: str | None) -> int | None:

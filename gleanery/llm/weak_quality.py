@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, prepare, table
+from gleanery.llm.common import Scratch, prepare, table, tidy
 from gleanery.llm.rules import repeat_words, word_ids
 
 GOOD, BAD, NONE = 1, 0, 2
@@ -169,7 +169,7 @@ def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             yield pa.record_batch([b.column(0), pa.array([pattern(x) for x in found], pa.int64()), pa.array([x.n for x in found], pa.int64())], ["doc_id", "votes", "n_words"])
 
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, votes long, n_words long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, votes long, n_words long")
 
 
 @dataclass
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_words: int = TRAIN_
             yield pa.record_batch([pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), b.column(1)], ["i", "v", "posterior"])
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "posterior")  # chosen has at most train_rows rows
-    rows = [(np.array(r["i"]), np.array(r["v"]), r["posterior"]) for r in texts.limit(2 * train_rows).mapInArrow(run, "i array<long>, v array<double>, posterior double").collect()]
+    rows = [(np.array(r["i"]), np.array(r["v"]), r["posterior"]) for r in texts.limit(2 * train_rows).mapInArrow(tidy(run), "i array<long>, v array<double>, posterior double").collect()]
     scratch.drop(cast, chosen)
     rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tolist()))
     weights, constant = fit_scorer(rows)
@@ -225,16 +225,16 @@ def classify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
             yield pa.record_batch([b.column(0), pa.array([model.score(t) for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
 
     prepare(docs.sparkSession)
-    return own.mapInArrow(run, f"doc_id {kind}, score double").withColumn("kept", F.col("score") >= threshold)
+    return own.mapInArrow(tidy(run), f"doc_id {kind}, score double").withColumn("kept", F.col("score") >= threshold)
 
 
 def accepted(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of docs that the classifier keeps, all columns as they are."""
     model = fit(docs.select("doc_id", "text"))
 
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.map(model.score, na_action=None).astype("float64")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
 
     return docs.where(score(F.col("text")) >= threshold)
 
