@@ -122,11 +122,12 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     levels = suffix_ranks(found, min_words.bit_length(), scratch)
     runs = scratch.keep(_runs(levels, min_words), "runs")
     place = F.struct("o", "t", "i")
-    first = runs.groupBy("k", "m", "a", "b").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
+    # written, so that the join has an exchange of its own on either side and a very common run can be split
+    first = scratch.keep(runs.groupBy("k", "m", "a", "b").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times"), "first")
     later = runs.join(first, ["k", "m", "a", "b"]).where(place > F.col("first")).select("o", "t", F.explode(F.sequence("i", F.col("i") + F.col("m") - 1)).alias("i")).distinct()
     gone = later.join(levels[0].select("o", "t", F.col("i").cast("long").alias("i"), "n"), ["o", "t", "i"]).groupBy("o", "t").agg(F.array_sort(F.collect_set("n")).alias("gone"))
     out = scratch.keep(gone, "gone")
-    scratch.drop(runs, *levels)
+    scratch.drop(runs, first, *levels)
     return out
 
 
