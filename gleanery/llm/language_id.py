@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import Scratch, prepare, table, tidy
+from gleanery.llm.common import Scratch, bounded, prepare, table, tidy
 
 #: Training rows: at most so many a language, and so many in all. Whole texts are used.
 PER_LANGUAGE = 400
@@ -221,6 +221,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRA
     """Learns from text and lang of docs(doc_id, text, lang): rows with an id, a language and a letter that aren't held out; of each language those with the smallest hash of the id, at most per_language and train_rows in all."""
     pool = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
     scratch = Scratch(docs.sparkSession)
+    counts = scratch.keep(pool.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    pool = pool.join(bounded(counts, counts.count()), "lang")  # about four times as many rows as are wanted go on, whatever the size of a language
+    pool = pool.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) * F.col("n") < float(4 * per_language * (1 << 30)))
     ranked = pool.withColumn("h", F.xxhash64("doc_id")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= per_language)
     chosen = scratch.keep(ranked.orderBy("r", "lang", "h").limit(train_rows).select("doc_id", "lang").distinct(), "chosen")
 
@@ -233,7 +236,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRA
     prepare(docs.sparkSession)
     texts = docs.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang")  # chosen has at most train_rows rows
     rows = sorted((r["lang"], bytes(r["v"])) for r in texts.limit(train_rows).mapInArrow(tidy(run), "v binary, lang string").collect())
-    scratch.drop(chosen)
+    scratch.drop(chosen, counts)
     vectors = np.array([np.frombuffer(v, "<f4") for _, v in rows], float).reshape(-1, DIMENSIONS)
     return fit_rows(vectors, [x for x, _ in rows])
 
