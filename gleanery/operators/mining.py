@@ -86,7 +86,7 @@ def line_fields(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(key, "pos", strip(F.col("line")).alias("line")).where(F.col("line").rlike(LABEL))
     label = strip(F.substring_index("line", ":", 1))
     value = strip(F.regexp_replace(strip(F.substring_index(F.expr("substring(line, instr(line, ':') + 1)"), " | ", 1)), "^:+", ""))
-    value = strip(F.when(value.rlike(EMBEDDED), F.regexp_replace(value, rf"(?s){EMBEDDED}.*\z", "")).otherwise(value))
+    value = strip(F.regexp_replace(value, rf"(?s){EMBEDDED}.*\z", ""))
     found = lines.select(key, "pos", label.alias("label"), value.alias("value")).where((F.length("label") > 0) & (F.length("label") < 80) & (F.length("value") > 0) & (F.length("value") < 300) & ~F.lower("label").isin(*NOISE))
     return found.groupBy(key, "label").agg(F.max_by("value", "pos").alias("value"))
 
