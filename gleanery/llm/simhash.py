@@ -148,7 +148,12 @@ def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, width: in
 def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
     """docs without the near-duplicates of a document with a smaller doc_id; of near-duplicates that share a doc_id one stays. Rows without doc_id stay. Texts are shuffled only where the ids to drop are too many to broadcast, and for rows that share an id."""
     scratch = Scratch(docs.sparkSession)
-    found = scratch.keep(_grouped(docs, radius, "doc_id", "text", width, scratch).where("doc_id IS NOT NULL"), "found")
+    return one_of_each(docs, _grouped(docs, radius, "doc_id", "text", width, scratch), lambda t: fingerprint(t, width), scratch)
+
+
+def one_of_each(docs: DataFrame, grouped: DataFrame, name, scratch: Scratch) -> DataFrame:
+    """keep_one for any grouped(doc_id, fp, root, component_id), where name gives the fp of a text."""
+    found = scratch.keep(grouped.where("doc_id IS NOT NULL"), "found")
     gone = scratch.keep(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     more = scratch.keep(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "more")
     n_more, columns = more.count(), docs.columns
@@ -156,7 +161,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> Dat
         return docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
     shared = bounded(more, n_more)
     once = docs.join(shared, "doc_id", "left_anti").join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
-    fp = F.arrow_udf(lambda texts: pa.array([fingerprint(t, width) for t in texts.to_pylist()], pa.int64()), "long")
+    fp = F.arrow_udf(lambda texts: pa.array([name(t) for t in texts.to_pylist()], pa.int64()), "long")
     roots = found.join(more, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("__fp"), F.col("root").alias("__root"), "component_id").distinct().where("doc_id = component_id").drop("component_id")
     several = docs.join(shared, "doc_id", "left_semi").withColumn("__fp", fp("text")).join(roots, ["doc_id", "__fp"]).dropDuplicates(["doc_id", "__root"])
     return once.unionAll(several.select(columns))
