@@ -87,8 +87,7 @@ def line_redaction(t):
 @query("SELECT l_orderkey, string_agg(status, ',' ORDER BY l_linenumber, s, status) AS statuses FROM (SELECT l_orderkey, l_linenumber, l_suppkey AS s, CASE WHEN l_linenumber = 1 THEN 'UNANCHORED' WHEN l_partkey % 3 = 0 AND l_suppkey % 2 = 0 THEN 'UNANCHORED' WHEN l_partkey % 3 = 0 THEN 'MISANCHORED' WHEN l_partkey % 3 = 1 AND l_linenumber % 2 = 0 THEN 'HALLUCINATED' WHEN l_partkey % 3 = 1 THEN 'VALID' ELSE 'UNANCHORED' END AS status FROM lineitem WHERE l_orderkey % 10 = 0) GROUP BY l_orderkey")
 def claim_status(t):
     """What each numbered claim of a completion rests on."""
-    li = t.lineitem.where("l_orderkey % 10 = 0")
-    li = li.select(F.col("l_orderkey").alias("pair_id"), F.struct("l_linenumber", "l_suppkey", "l_partkey").alias("idx"), "l_linenumber", "l_partkey", "l_suppkey").dropDuplicates(["pair_id", "idx"])
+    li = t.lineitem.select(F.col("l_orderkey").alias("pair_id"), F.struct("l_linenumber", "l_suppkey", "l_partkey").alias("idx"), "l_linenumber", "l_partkey", "l_suppkey").dropDuplicates(["pair_id", "idx"])
     found = li.select("pair_id", "idx", F.lit("t").alias("text"), F.when(F.col("l_linenumber") % 2 == 0, F.lit(False)).alias("citation_grounded"))
     state = F.element_at(F.array(*[F.lit(x) for x in ("present", "missing", "other")]), (F.col("l_partkey") % 3 + 1).cast("int"))
     anchor = li.where("l_linenumber <> 1").select("pair_id", "idx", F.lit("f").alias("field"), state.alias("state"), (F.col("l_suppkey") % 2 == 0).alias("fixed"))
