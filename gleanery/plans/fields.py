@@ -356,7 +356,7 @@ SELECT doc_id, section::BIGINT AS section, md5(coalesce(max(x) FILTER (WHERE h),
 )
 def heading_sections(t):
     """Lines gathered under the heading before them."""
-    blocks = t.documents.select("doc_id", F.posexplode(F.slice(F.split("text", "\n"), 1, 9)).alias("pos", "text")).withColumn("is_heading", F.col("pos") % 3 == 1)
+    blocks = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text")).withColumn("is_heading", F.col("pos") % 3 == 1)
     return mining.sections(blocks).select("doc_id", "section", F.md5(F.coalesce("heading", F.lit(""))).alias("heading"), F.md5("content").alias("content"))
 
 

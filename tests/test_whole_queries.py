@@ -19,3 +19,17 @@ def test_claim_status_of_every_order(spark, tmp_path):
 
     want = {o: ",".join(status(n, p, s) for k, n, p, s in rows if k == o) for o in range(1, 25)}
     assert {r["l_orderkey"]: r["statuses"] for r in catalogue.QUERIES["claim_status"](spark, str(tmp_path)).collect()} == want
+
+
+def test_heading_sections_of_whole_texts(spark, tmp_path):
+    rows = [(i, "\n".join("" if (i + k) % 5 == 0 else f"line {i} {k}" for k in range(n))) for i, n in enumerate((1, 9, 10, 40))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    md5, want = lambda s: hashlib.md5(s.encode()).hexdigest(), {}
+    for i, text in rows:
+        section, found = 0, {}
+        for k, x in enumerate(text.split("\n")):
+            if x.strip():
+                section += k % 3 == 1
+                found.setdefault(section, [[], []])[k % 3 != 1].append(x)
+        want |= {(i, s): (md5("".join(h)), md5("\n".join(c))) for s, (h, c) in found.items()}
+    assert {(r["doc_id"], r["section"]): (r["heading"], r["content"]) for r in catalogue.QUERIES["heading_sections"](spark, str(tmp_path)).collect()} == want
