@@ -33,3 +33,22 @@ def test_heading_sections_of_whole_texts(spark, tmp_path):
                 found.setdefault(section, [[], []])[k % 3 != 1].append(x)
         want |= {(i, s): (md5("".join(h)), md5("\n".join(c))) for s, (h, c) in found.items()}
     assert {(r["doc_id"], r["section"]): (r["heading"], r["content"]) for r in catalogue.QUERIES["heading_sections"](spark, str(tmp_path)).collect()} == want
+
+
+def vectors(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)], i % 3) for i in range(450)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    return rows
+
+
+def nearest(rows, query, allowed, k=5):
+    a = np.array(query[1])
+    score = lambda r: round(float(a @ np.array(r[1]) / np.linalg.norm(a) / np.linalg.norm(r[1])), 6)
+    return [r[0] for r in sorted((r for r in rows if allowed(r)), key=lambda r: (-score(r), r[0]))[:k]]
+
+
+def test_cosine_topk_of_every_hundredth_row(spark, tmp_path):
+    rows = vectors(spark, tmp_path)
+    want = {(q[0], n + 1): v for q in rows[::100] for n, v in enumerate(nearest(rows, q, lambda r: r[2] == q[2]))}
+    assert {(r["query_id"], r["rank"]): r["vec_id"] for r in catalogue.QUERIES["cosine_topk"](spark, str(tmp_path)).collect()} == want
