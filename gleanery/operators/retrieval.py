@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,16 +82,20 @@ def matches_filter(chunk_workflow: Column, ids: Column, want_workflow: Column, w
 
 
 def nearest(queries: DataFrame, chunks_: DataFrame, k: int, on: str | None = None, query: str = "query_id", item: str = "item_id", vec: str = "vec", most_queries: int = 20_000) -> DataFrame:
-    """(query, item, score, rank): the k chunks of highest cosine for each query, in the same partition value `on` if given; ties to the smaller item. Up to most_queries queries are broadcast; more are shuffled on `on`, and without `on` refused."""
-    q = queries.select(F.col(query).alias("__q"), F.col(vec).alias("__qv"), *([F.col(on).alias("__on")] if on else []))
-    few = q.limit(most_queries + 1).count() <= most_queries
-    if not few and not on:
-        raise ValueError(f"more than {most_queries} queries need a column to be partitioned by")
-    q = F.broadcast(q) if few else q
-    pairs = chunks_.join(q, F.col(on) == F.col("__on")) if on else chunks_.join(q)
-    scored = pairs.select(F.col("__q").alias(query), item, F.round(cosine(F.col("__qv"), F.col(vec)), 6).alias("score")).where("score IS NOT NULL")
+    """(query, item, score, rank): the k chunks of highest cosine for each query, in the same partition value `on` if given; ties to the smaller item. Up to most_queries queries are broadcast; more are shuffled on `on`, and without `on` go in blocks of about most_queries. Spark keeps the top k of each task before it ranks."""
+    q = queries.select(F.col(query).alias("__q"), F.col(vec).alias("__qv"), norm(F.col(vec)).alias("__qn"), *([F.col(on).alias("__on")] if on else []))
+    items = chunks_.withColumn("__n", norm(F.col(vec)))
+    n = q.count()
+    if on:
+        pairs = [items.join(F.broadcast(q) if n <= most_queries else q, F.col(on) == F.col("__on"))]
+    else:
+        blocks = max(1, -(-n // most_queries))
+        pairs = [items.join(F.broadcast(q.where(F.pmod(F.xxhash64("__q"), F.lit(blocks)) == b) if blocks > 1 else q)) for b in range(blocks)]
     w = Window.partitionBy(query).orderBy(F.desc("score"), item)
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    length = F.col("__qn") * F.col("__n")
+    score = F.round(F.when(length > 0, dot(F.col("__qv"), F.col(vec)) / length), 6)
+    top = [p.select(F.col("__q").alias(query), item, score.alias("score")).where("score IS NOT NULL").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) for p in pairs]
+    return reduce(DataFrame.unionByName, top)
 
 
 def with_fallback(queries: DataFrame, filtered: DataFrame, anywhere: DataFrame, query: str = "query_id") -> DataFrame:

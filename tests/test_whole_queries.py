@@ -52,3 +52,21 @@ def test_cosine_topk_of_every_hundredth_row(spark, tmp_path):
     rows = vectors(spark, tmp_path)
     want = {(q[0], n + 1): v for q in rows[::100] for n, v in enumerate(nearest(rows, q, lambda r: r[2] == q[2]))}
     assert {(r["query_id"], r["rank"]): r["vec_id"] for r in catalogue.QUERIES["cosine_topk"](spark, str(tmp_path)).collect()} == want
+
+
+def test_vector_search_with_fallback_of_every_hundredth_row(spark, tmp_path):
+    rows, want = vectors(spark, tmp_path), {}
+    for q in rows[::100]:
+        hits = nearest(rows, q, lambda r: q[0] % 3 and r[2] == q[2] and (r[0] % 4 != 1 or r[0] % 8 == q[0] % 8))
+        want |= {(q[0], n + 1): (v, "filtered" if hits else "fallback") for n, v in enumerate(hits or nearest(rows, q, lambda r: True))}
+    out = catalogue.QUERIES["vector_search_with_fallback"](spark, str(tmp_path)).collect()
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["strategy"]) for r in out} == want
+
+
+def test_nearest_takes_any_number_of_queries(spark):
+    from gleanery.operators import retrieval
+
+    rng = random.Random(7)
+    df = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(30)], "item_id long, vec array<double>")
+    got = [sorted(map(tuple, retrieval.nearest(df.withColumnRenamed("item_id", "query_id"), df, 3, most_queries=n).collect())) for n in (7, 30)]
+    assert got[0] == got[1] and len(got[0]) == 90
