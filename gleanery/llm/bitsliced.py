@@ -5,6 +5,7 @@ bitmap over the rows (a slice), with the sign as the slice of negative weight. A
 sum over bits b of the query's components of 2 ** b times the sum of the components that have b set, all by carry-save
 addition of bitmaps. The k best rows are then selected from the most significant slice downward: rows that have the bit
 come before rows that don't, and where the bound of k falls among rows equal in all slices, the row ids decide.
+Slices are as many as the largest number asks for, so every finite vector takes part.
 """
 
 from __future__ import annotations
@@ -18,18 +19,23 @@ from gleanery.llm.common import Scratch, prepare, table, tidy
 
 SCALE = 1024
 TOP = 10
-#: Rows of a block; queries that are scored together; queries that are sent to the executors at once (of 4 bytes a component).
+#: Rows of a block and its components; queries that are scored together; bytes of queries that are sent to the executors at once.
 BLOCK_ROWS = 8192
+BLOCK_CELLS = 1 << 21
 CHUNK = 8
-QUERY_ROWS = 20_000
-#: Quantised components beyond this many bits would not leave room for exact scores.
-MOST_BITS = 24
+QUERY_BYTES = 32 << 20
+#: A row with a component beyond this goes to a block of its own kind, of fewer rows, as such a block has many slices.
+WIDE = float(1 << 31)
+WIDE_ROWS = 256
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(vec: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component, x as double; null for a vector that is null, or holds a null, a non-finite or a too large component."""
-    good = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float(1 << MOST_BITS)))
-    return F.when(vec.isNotNull() & F.coalesce(good, F.lit(False)), F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("int")))
+    """floor(scale * x) of every component, x as double, as whole numbers in doubles; null for a vector that is null, or holds a null or a non-finite component."""
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float("inf")))
+    # floor() of Spark gives a long; from 2 ** 52 on a double is whole
+    whole = lambda v: F.when(F.abs(v) < float(1 << 52), F.floor(v).cast("double")).otherwise(v)
+    return F.when(vec.isNotNull() & F.coalesce(finite, F.lit(False)), F.transform(vec, lambda x: whole(x.cast("double") * scale)))
 
 
 def pack_bits(flags: np.ndarray) -> np.ndarray:
@@ -38,11 +44,24 @@ def pack_bits(flags: np.ndarray) -> np.ndarray:
     return np.packbits(np.pad(flags, [(0, 0)] * (flags.ndim - 1) + [(0, pad)]), axis=-1, bitorder="little").view(np.uint64)
 
 
+def bits_of(values: np.ndarray) -> int:
+    """The bits that whole numbers in doubles need in two's complement."""
+    return int(np.frexp(np.abs(values).max(initial=1))[1]) + 1
+
+
+def bit(values: np.ndarray, b: int) -> np.ndarray:
+    """Bit b of whole numbers in doubles, in two's complement; scaling by powers of two is exact at any size."""
+    return np.mod(np.floor(np.ldexp(values, -b)), 2).astype(bool)
+
+
 def slices_of(values: np.ndarray) -> np.ndarray:
     """(components, bits, words) of (rows, components), in two's complement: the last slice is the sign."""
-    bits = max(int(np.abs(values).max(initial=0)).bit_length(), 1) + 1
-    cols = np.ascontiguousarray(values.T.astype(np.int64))
-    return np.stack([pack_bits((cols >> b & 1).astype(bool)) for b in range(bits)], axis=1)
+    bits = bits_of(values)
+    cols = np.ascontiguousarray(values.T)
+    if bits < 63:
+        whole = cols.astype(np.int64)
+        return np.stack([pack_bits((whole >> b & 1).astype(bool)) for b in range(bits)], axis=1)
+    return np.stack([pack_bits(bit(cols, b)) for b in range(bits)], axis=1)
 
 
 def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -74,13 +93,15 @@ def sums_of_fours(index: np.ndarray) -> np.ndarray:
 def score_slices(fours: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """(bits, queries, words): the inner products of a block's rows with each query, sign last."""
     groups, words = fours.shape[1] // 16, fours.shape[2]
-    q = np.zeros((len(queries), groups * 4), np.int64)
+    q = np.zeros((len(queries), groups * 4))
     q[:, : queries.shape[1]] = queries
-    q_bits = max(int(np.abs(q).max(initial=0)).bit_length(), 1) + 1
+    q_bits = bits_of(q)
     bits = len(fours) + groups.bit_length() + q_bits + 1
     total = np.zeros((bits, len(q), words), np.uint64)
     for b in range(q_bits):
-        masks = ((q >> b & 1).reshape(len(q), groups, 4) << np.arange(4)).sum(2)
+        masks = (bit(q, b).reshape(len(q), groups, 4) << np.arange(4)).sum(2)
+        if not masks.any() and b < q_bits - 1:
+            continue
         now = fours[:, np.arange(groups)[:, None] * 16 + masks.T]
         while now.shape[1] > 1:
             if now.shape[1] % 2:
@@ -121,102 +142,149 @@ def rows_of(bitmap: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little", count=n))
 
 
-def block_top(index: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query id, row id, score) of each query's k best rows of a block whose ids are sorted, a row of the query's id excepted."""
-    n, fours, out = len(ids), sums_of_fours(index), []
+def scores_at(slices: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The scores of some rows as longs, those beyond a long as the nearest one, and as doubles."""
+    on = (slices[:, rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).astype(np.int64)
+    if len(slices) <= 63:
+        worth = np.left_shift(np.int64(1), np.arange(len(slices)))
+        worth[-1] = -worth[-1]
+        exact = worth @ on
+        return exact, exact.astype(float)
+    worth = [1 << k for k in range(len(slices) - 1)] + [-1 << len(slices) - 1]
+    exact = [sum(w for w, x in zip(worth, col) if x) for col in on.T.tolist()]
+    return limited(exact)
+
+
+def limited(exact: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers of any size as the nearest longs, and as doubles."""
+    as_double = lambda v: float(v) if abs(v) < 1 << 1023 else np.inf if v > 0 else -np.inf
+    return np.array([min(max(v, _LEAST), _MOST) for v in exact], np.int64), np.array([as_double(v) for v in exact], float)
+
+
+class Best:
+    """The best rows that each query has met so far."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, none = k, np.zeros(0, np.int64)
+        self.found = [(none, none.astype(float), none.astype(bool), none)] * queries
+
+    def meet(self, query: int, score: np.ndarray, size: np.ndarray, nameless: np.ndarray, ids: np.ndarray) -> None:
+        score, size, nameless, ids = (np.concatenate(p) for p in zip(self.found[query], (score, size, nameless, ids)))
+        by = np.lexsort((ids, nameless, -size, ~score))[: self.k]
+        self.found[query] = score[by], size[by], nameless[by], ids[by]
+
+
+def block_top(index: np.ndarray, ids: np.ndarray, nameless: np.ndarray, queries: np.ndarray, best: Best) -> None:
+    """Adds each query's best rows of a block, whose rows are in the order of (nameless, id)."""
+    n, fours = len(ids), sums_of_fours(index)
     everyone = pack_bits(np.ones(n, bool))
     for at in range(0, len(queries), CHUNK):
         scored = score_slices(fours, queries[at : at + CHUNK])
-        for x, query_id in enumerate(query_ids[at : at + CHUNK]):
-            valid, slices = everyone, scored[:, x]
-            lo, hi = np.searchsorted(ids, query_id, "left"), np.searchsorted(ids, query_id, "right")
-            if lo < hi:
-                own = np.zeros(n, bool)
-                own[lo:hi] = True
-                valid = everyone & ~pack_bits(own)
-            sure, boundary = select_top(slices, valid, k)
-            rows = np.concatenate([rows_of(sure, n), rows_of(boundary, n)[: max(0, k - _count(sure))]])
-            bit = (slices[:, rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).astype(np.int64)
-            worth = np.left_shift(np.int64(1), np.arange(len(slices)))
-            worth[-1] = -worth[-1]
-            out += [(int(query_id), int(ids[r]), int(v)) for r, v in zip(rows, worth @ bit)]
-    return out
+        for x in range(scored.shape[1]):
+            slices = scored[:, x]
+            sure, boundary = select_top(slices, everyone, best.k)
+            rows = np.concatenate([rows_of(sure, n), rows_of(boundary, n)[: max(0, best.k - _count(sure))]])
+            best.meet(at + x, *scores_at(slices, rows), nameless[rows], ids[rows])
 
 
 def build_index(rows: DataFrame, scratch: Scratch, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(block, dims, bits, words, ids, slices): a bit-sliced index of rows(vec_id, q), written to the shared folder. Shorter vectors are filled up with zeros."""
+    """(block, dims, bits, words, ids, nameless, slices): a bit-sliced index of rows(vec_id, q), written to the shared folder. Shorter vectors are filled up with zeros; a block's size is bounded in rows and in components."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, n, held = TaskContext.get().partitionId(), 0, []
+        part, n = TaskContext.get().partitionId(), 0
+        held, cells = {False: [], True: []}, {False: 0, True: 0}
 
-        def block(vectors):
+        def block(wide):
             nonlocal n
-            vectors.sort(key=lambda v: v[0])
-            values = np.zeros((len(vectors), max(len(v) for _, v in vectors)), np.int64)
+            vectors = sorted(held[wide], key=lambda v: (v[0] is None, v[0] or 0))
+            held[wide], cells[wide] = [], 0
+            values = np.zeros((len(vectors), max(1, max(len(v) for _, v in vectors))))
             for row, (_, v) in zip(values, vectors):
                 row[: len(v)] = v
             index = slices_of(values)
-            cols = [[(part << 32) + n], [index.shape[0]], [index.shape[1]], [index.shape[2]], [np.array([i for i, _ in vectors], "<i8").tobytes()], [index.tobytes()]]
+            ids, nameless = np.array([i or 0 for i, _ in vectors], "<i8"), np.array([i is None for i, _ in vectors])
+            cols = [[(part << 32) + n], [index.shape[0]], [index.shape[1]], [index.shape[2]], [ids.tobytes()], [nameless.tobytes()], [index.tobytes()]]
             n += 1
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], ["block", "dims", "bits", "words", "ids", "slices"])
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], ["block", "dims", "bits", "words", "ids", "nameless", "slices"])
 
         for b in batches:
-            held += [(i, v.values.to_numpy(zero_copy_only=False)) for i, v in zip(b.column(0).to_pylist(), b.column(1))]
-            while len(held) >= block_rows:
-                yield block(held[:block_rows])
-                held = held[block_rows:]
-        if held:
-            yield block(held)
+            for i, v in zip(b.column(0).to_pylist(), b.column(1)):
+                v = v.values.to_numpy(zero_copy_only=False)
+                wide = bool(np.abs(v).max(initial=0) >= WIDE)
+                most = max(cells[wide], len(v))
+                if held[wide] and (len(held[wide]) >= (min(WIDE_ROWS, block_rows) if wide else block_rows) or most * (len(held[wide]) + 1) > BLOCK_CELLS):
+                    yield block(wide)
+                held[wide].append((i, v))
+                cells[wide] = max(cells[wide], len(v))
+        for wide in held:
+            if held[wide]:
+                yield block(wide)
 
-    return scratch.keep(rows.mapInArrow(tidy(run), "block long, dims int, bits int, words int, ids binary, slices binary"), "index")
+    return scratch.keep(rows.mapInArrow(tidy(run), "block long, dims int, bits int, words int, ids binary, nameless binary, slices binary"), "index")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, scale: int = SCALE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): for each query the k rows of vectors, other than those of its own id, with the highest inner product of the quantised vectors, ties to the smaller id.
-
-    Vectors that are null, or hold a null or non-finite component or one of |floor(scale * x)| >= 2 ** 24, and rows
-    without an id take no part. Shorter vectors are filled up with zeros. Rows that share an id each count as
-    candidates; of queries that share an id the least vector asks. An empty table gives an empty result; other columns
-    are ignored. Every block meets every query; a block keeps k rows a query, so what is shuffled is small.
+    """(query_id, rank, vec_id, score): for each row of queries, which are rows of vectors, the k other rows with the highest inner product of the quantised vectors, ties to the smaller id.
+
+    Vectors that are null, or hold a null or non-finite component, take no part; all others do, whatever their size.
+    Shorter vectors, empty ones too, are filled up with zeros. A score beyond a long is shown as the nearest long; such
+    scores are ordered as doubles. Every query row asks for itself, also among rows that share an id, and meets every
+    row but itself: of rows equal in id and score one is left out. Rows without an id are candidates, last among ties;
+    as queries they ask too. An empty table gives an empty result; other columns are ignored. Every block meets every
+    query; a task keeps k + 1 rows a query over all its blocks, so what is shuffled is small.
     """
     scratch = Scratch(vectors.sparkSession)
     prepare(vectors.sparkSession)
-    thin = lambda df: df.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vec_col), scale).alias("q")).where("vec_id IS NOT NULL AND q IS NOT NULL AND size(q) > 0")
+    thin = lambda df: df.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vec_col), scale).alias("q")).where("q IS NOT NULL")
     index = build_index(thin(vectors), scratch)
-    asked = scratch.keep(thin(queries).groupBy("vec_id").agg(F.min("q").alias("q")), "queries")
-    rounds = max(1, -(-asked.count() // QUERY_ROWS))
-    parts = [scratch.keep(_meet(index, asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(rounds)) == r), k), "found") for r in range(rounds)]
+    asked = scratch.keep(thin(queries).withColumn("n", F.monotonically_increasing_id()), "queries")
+    size = asked.agg(F.count("*").alias("rows"), F.coalesce(F.max(F.size("q")), F.lit(0)).alias("dims")).first()
+    rounds = max(1, -(-8 * size["rows"] * (size["dims"] + 4) // QUERY_BYTES))
+    parts = [scratch.keep(_meet(index, asked.where(F.pmod(F.xxhash64("n"), F.lit(rounds)) == r), k + 1), "found") for r in range(rounds)]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionAll(part)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     scratch.drop(index, asked)
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    each = Window.partitionBy("n")
+    ranked = found.withColumn("r", F.row_number().over(each.orderBy(F.desc("score"), F.desc("size"), F.col("vec_id").asc_nulls_last()))).where(F.col("r") <= k + 1)
+    ranked = ranked.withColumn("self", F.min(F.when(F.col("own"), F.col("r"))).over(each)).where("self IS NULL OR r <> self")
+    rank = F.col("r") - F.coalesce((F.col("r") > F.col("self")).cast("int"), F.lit(0))
+    return ranked.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
 def _meet(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the k best rows of every block for about QUERY_ROWS queries, which go to every task."""
-    rows = sorted((r["vec_id"], r["q"]) for r in asked.collect())
-    ids = np.array([i for i, _ in rows], np.int64)
-    queries = np.zeros((len(rows), max((len(q) for _, q in rows), default=0)), np.int32)
-    for row, (_, q) in zip(queries, rows):
+    """(n, query_id, vec_id, score, size, own): the k best rows of every task for at most about QUERY_BYTES of queries, which go to every task. own: the row may be the query itself."""
+    rows = sorted(((r["n"], r["vec_id"], r["q"]) for r in asked.collect()), key=lambda r: (max(map(abs, r[2]), default=0) >= WIDE, r[0]))
+    numbers, ids = [r[0] for r in rows], [r[1] for r in rows]
+    queries = np.zeros((len(rows), max((len(r[2]) for r in rows), default=0)))
+    for row, (_, _, q) in zip(queries, rows):
         row[: len(q)] = q
+    selves = limited([sum(int(x) * int(x) for x in q) for _, _, q in rows])
 
     def run(batches):
+        best = Best(len(rows), k)
         for b in batches:
-            for _, dims, bits, words, row_ids, slices in zip(*(c.to_pylist() for c in b.columns)):
+            for _, dims, bits, words, row_ids, nameless, slices in zip(*(c.to_pylist() for c in b.columns)):
                 own = np.frombuffer(slices, np.uint64).reshape(dims, bits, words)
-                asks = np.zeros((len(queries), max(dims, queries.shape[1])), np.int64)
+                asks = np.zeros((len(queries), max(dims, queries.shape[1])))
                 asks[:, : queries.shape[1]] = queries
                 if dims < asks.shape[1]:
                     own = np.concatenate([own, np.zeros((asks.shape[1] - dims, bits, words), np.uint64)])
-                found = block_top(own, np.frombuffer(row_ids, "<i8"), asks, ids, k)
-                yield pa.record_batch([pa.array([f[c] for f in found], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
+                block_top(own, np.frombuffer(row_ids, "<i8"), np.frombuffer(nameless, bool), asks, best)
+        for x, (score, size, nameless, found) in enumerate(best.found):
+            if len(found):
+                if ids[x] is None:
+                    itself = nameless & (score == selves[0][x]) & (size == selves[1][x])
+                else:
+                    itself = ~nameless & (found == ids[x]) & (score == selves[0][x]) & (size == selves[1][x])
+                many = len(found)
+                cols = pa.array([numbers[x]] * many, pa.int64()), pa.array([ids[x]] * many, pa.int64()), pa.array(found, pa.int64(), mask=nameless), pa.array(score), pa.array(size), pa.array(itself)
+                yield pa.record_batch(list(cols), ["n", "query_id", "vec_id", "score", "size", "own"])
 
-    return index.repartition("block").mapInArrow(tidy(run), "query_id long, vec_id long, score long")
+    return index.repartition("block").mapInArrow(tidy(run), "n long, query_id long, vec_id long, score long, size double, own boolean")
 
 
 def op4_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,9 +293,9 @@ def op4_bitsliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
-r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+WITH v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.n, a.vec_id AS query_id, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.q, b.q, true), lambda z: z[1]::HUGEINT * z[2]::HUGEINT)), 0) AS s FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.n <> b.n),
+r AS (SELECT *, (row_number() OVER (PARTITION BY n ORDER BY s DESC, vec_id ASC NULLS LAST))::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, greatest(-9223372036854775808, least(9223372036854775807, s))::BIGINT AS score FROM r WHERE rank <= 10
 """
