@@ -101,14 +101,3 @@ def word_count(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
-
-def most_frequent(counts: DataFrame, n: str, limit: int) -> DataFrame:
-    """The rows of counts with the highest n, at most `limit`: all from some n on. The bound comes from a histogram of n on a log scale, so no task and no driver sorts the whole vocabulary; rows of one step of that scale stand or fall together, unless all fit."""
-    step = F.floor(F.log2(F.col(n)) * 16).cast("int")
-    above, least = 0, None
-    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # at most 16 * 64 rows
-        above += r["count"]
-        if above > limit:
-            break
-        least = r["step"]
-    return counts.where(step >= least) if least is not None else counts.limit(0)

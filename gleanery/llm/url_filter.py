@@ -3,29 +3,34 @@
 Names in hosts are often run together. A unigram model of the words of all pages splits them by Viterbi: the split with
 the highest product of word probabilities, unknown words paying for every letter. The pages that a rule judges teach
 the Bayes model, which judges the rest.
+
+No vocabulary is capped, and none is sent to the executors. Runs of letters are split once each: their substrings are
+joined with the counts of words, so that a run comes with the words that it can be made of. Likewise the odds of tokens
+are joined with the distinct runs, and only the sum of a run's odds with the pages.
 """
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
-from math import exp, log
+from math import log
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gleanery.llm.common import Scratch, most_frequent, prepare, table, tidy
+from gleanery.llm.common import Scratch, prepare, table, tidy
 
 ALLOW, BLOCK = "allow", "block"
 #: (verdict, host and path): a rule fits its host and all subdomains, if the path starts with the rule's; the longest wins.
 RULES = ((ALLOW, "org/"), (BLOCK, "example.org/es/"), (BLOCK, "example.org/en/1"), (ALLOW, "com/fr/"), (BLOCK, "com/de/"))
-#: The most frequent words make the unigram model, the most frequent tokens the Bayes model. Both are sent to the executors, some MB at most.
-WORDS = 50_000
-TOKENS = 100_000
+#: Letters of the longest word of the unigram model.
 LONGEST = 24
-_CHUNK = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
+#: Runs of letters are searched for words by windows of so many places.
+WINDOW = 1000
+#: A run that makes up a greater share of all runs of all pages than 1 / HEAVY is one of fewer than HEAVY, whose odds are broadcast.
+HEAVY = 10_000
+#: Odds are summed as whole numbers of this size, so that their order doesn't matter.
+UNIT = 1e-9
+_CHUNK = r"[a-z]+|[0-9]+|[^\x00-\x7f]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,7 +57,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """(word, n) over the visible text of all pages."""
     text = F.lower(F.regexp_replace(html_col, "<[^>]*>", " "))
-    return pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"[a-z]{{2,{LONGEST}}}"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(?<![a-z])[a-z]{{2,{LONGEST}}}(?![a-z])"), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 class Segmenter:
@@ -62,11 +67,8 @@ class Segmenter:
         total = max(total, 1)
         self.cost = {w: -log(n / total) for w, n in counts.items()}
         self.unknown = -log(1 / (10.0 * total))
-        self.cache: dict[str, list[str]] = {}
 
     def __call__(self, name: str) -> list[str]:
-        if name in self.cache:
-            return self.cache[name]
         best, cut = [0.0], [0]
         for end in range(1, len(name) + 1):
             found, at = float("inf"), 0
@@ -84,79 +86,74 @@ class Segmenter:
             out.append(name[cut[end] : end])
             end = cut[end]
         out.reverse()
-        if len(name) <= 100 and len(self.cache) < 200_000:
-            self.cache[name] = out
         return out
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host after h:, of the path after p:; numbers are one token."""
-        out = []
-        for mark, text in (("h:", host), ("p:", path.lower())):
-            for chunk in _CHUNK.findall(text):
-                if chunk[0].isdigit():
-                    out.append(mark + "0")
-                elif chunk[0].isascii():
-                    out += [mark + w for w in self(chunk)]
-                else:
-                    out.append(mark + chunk)
-        return out
 
+def split_names(names: DataFrame, words: DataFrame, total: int) -> DataFrame:
+    """(name, parts) of each of names(name), distinct runs of letters: its best split by words(word, n), of `total` words in all."""
+    places = names.withColumn("from", F.explode(F.sequence(F.lit(1), F.length("name"), F.lit(WINDOW))))
+    places = places.select("name", F.substring("name", F.col("from"), F.lit(WINDOW + LONGEST - 1)).alias("x"))
+    starts = F.sequence(F.lit(1), F.least(F.length("x"), F.lit(WINDOW)))
+    at = lambda i: F.transform(F.sequence(F.lit(2), F.lit(LONGEST)), lambda n: F.when(i + n - 1 <= F.length("x"), F.substring("x", i, n)))
+    pieces = places.select("name", F.explode(F.array_compact(F.array_distinct(F.flatten(F.transform(starts, at))))).alias("word"))
+    known = pieces.join(words, "word").groupBy("name").agg(F.collect_set(F.struct("word", "n")).alias("x"))
+    given = names.join(known, "name", "left").select("name", F.col("x.word").alias("words"), F.col("x.n").alias("ns"))
 
-class Bayes:
-    """Multinomial naive Bayes with add-one smoothing."""
+    def run(batches):
+        for b in batches:
+            found = [Segmenter(dict(zip(w or (), n or ())), total)(name) for name, w, n in zip(*(c.to_pylist() for c in b.columns))]
+            yield pa.record_batch([b.column(0), pa.array(found, pa.list_(pa.string()))], ["name", "parts"])
 
-    def __init__(self, pages: dict[str, int], counts: dict[tuple[str, str], int]):
-        vocabulary = {t for t, _ in counts}
-        total = defaultdict(int)
-        for (_, c), n in counts.items():
-            total[c] += n
-        self.prior = log((pages.get(BLOCK, 0) + 1) / (pages.get(ALLOW, 0) + 1))
-        size = len(vocabulary) + 1
-        part = lambda t, c: log((counts.get((t, c), 0) + 1) / (total[c] + size))
-        self.odds = {t: part(t, BLOCK) - part(t, ALLOW) for t in vocabulary}
+    return given.mapInArrow(tidy(run), "name string, parts array<string>")
 
-    def block(self, tokens: list[str]) -> float:
-        """The chance that a URL is to be blocked; tokens that weren't learned tell nothing."""
-        odds = self.prior + sum(self.odds.get(t, 0.0) for t in tokens)
-        return 1 / (1 + exp(-max(-500.0, min(500.0, odds))))
+
+def odds_of(counts: DataFrame) -> tuple[DataFrame, dict]:
+    """(token, odds): multinomial naive Bayes with add-one smoothing over counts(token, allow, block), in UNITs."""
+    size = counts.agg(F.count("*").alias("tokens"), *[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in (ALLOW, BLOCK)]).first().asDict()
+    part = lambda v: F.log((F.col(v) + 1) / F.lit(float(size[v] + size["tokens"] + 1)))
+    return counts.select("token", F.round((part(BLOCK) - part(ALLOW)) / UNIT).cast("long").alias("odds")), size
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict, p_block, tokens) of every row. p_block is the Bayes model's for all of them.
 
-    A null url or one without :// has an empty host and path, no rule and no token, and so the prior's verdict. If no
-    rule judges any page, all are allowed. Ids may be null or repeated; an empty table gives an empty result; other
-    columns are ignored.
+    Tokens are the words of the host after h:, those of the path after p:; numbers are one token, runs of other than
+    ASCII a token each. Tokens that weren't learned tell nothing. A null url or one without :// has an empty host and
+    path, no rule and no token, and so the prior's verdict. If no rule judges any page, all are allowed. Ids may be
+    null or repeated, urls very long; an empty table gives an empty result; other columns are ignored.
     """
     spark, scratch = pages.sparkSession, Scratch(pages.sparkSession)
     prepare(spark)
     words = scratch.keep(word_counts(pages, html_col), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    split = Segmenter({r["word"]: r["n"] for r in most_frequent(words, "n", WORDS).collect()}, total)
-    scratch.drop(words)
-
-    def tokens(batches):
-        for b in batches:
-            yield pa.record_batch([*b.columns, pa.array([split.tokens(h, p) for h, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist())], pa.list_(pa.string()))], [*b.schema.names, "tokens"])
-
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    kind = pages.schema[id_col].dataType.simpleString()
-    parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    cut = scratch.keep(parsed.mapInArrow(tidy(tokens), f"page_id {kind}, host string, path string, tokens array<string>").withColumn("rule", rule).withColumn("verdict", verdict), "tokens")
-    judged = cut.where("verdict IS NOT NULL")
-    n_pages = {r["verdict"]: r["count"] for r in judged.groupBy("verdict").count().collect()}
-    counts = judged.select("verdict", F.explode("tokens").alias("token")).groupBy("token").agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in (ALLOW, BLOCK)])
-    counts = scratch.keep(counts.withColumn("n", F.col(ALLOW) + F.col(BLOCK)), "counts")
-    learned = most_frequent(counts, "n", TOKENS).collect()
-    scratch.drop(counts)
-    model = Bayes(n_pages, {(r["token"], v): r[v] for r in learned for v in (ALLOW, BLOCK)})
-
-    def score(batches):
-        for b in batches:
-            yield pa.record_batch([*b.columns, pa.array([model.block(t) for t in b.column("tokens").to_pylist()], pa.float64())], [*b.schema.names, "p_block"])
-
-    scored = cut.mapInArrow(tidy(score), T.StructType([*cut.schema.fields, T.StructField("p_block", T.DoubleType())]))
+    runs = lambda mark, text: F.transform(F.regexp_extract_all(text, F.lit(_CHUNK), F.lit(0)), lambda x: F.concat(F.lit(mark), F.when(x.rlike("^[0-9]"), "0").otherwise(x)))
+    parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")).withColumn("rule", rule).withColumn("verdict", verdict)
+    parsed = scratch.keep(parsed.withColumn("runs", F.concat(runs("h:", F.col("host")), runs("p:", F.lower("path")))).withColumn("row", F.monotonically_increasing_id()), "urls")
+    judged = {r["verdict"]: r["count"] for r in parsed.where("verdict IS NOT NULL").groupBy("verdict").count().collect()}  # two rows
+    prior = log((judged.get(BLOCK, 0) + 1) / (judged.get(ALLOW, 0) + 1))
+
+    # the distinct runs, and how often they occur in all pages and in those that a rule judges
+    seen = parsed.select("verdict", F.explode("runs").alias("run")).groupBy("run").agg(F.count("*").alias("n"), *[F.count_if(F.col("verdict") == v).alias(v) for v in (ALLOW, BLOCK)])
+    seen = scratch.keep(seen.withColumn("name", F.substring("run", 3, (1 << 31) - 1)), "runs")
+    names = scratch.keep(split_names(seen.where("name RLIKE '^[a-z]'").select("name").distinct(), words, total), "names")
+    split = seen.join(names, "name", "left").select("run", "n", ALLOW, BLOCK, F.transform(F.coalesce("parts", F.array("name")), lambda w: F.concat(F.substring("run", 1, 2), w)).alias("tokens"))
+    split = scratch.keep(split, "split")
+    counts = split.where(f"{ALLOW} + {BLOCK} > 0").select(F.explode("tokens").alias("token"), ALLOW, BLOCK).groupBy("token").agg(*[F.sum(v).alias(v) for v in (ALLOW, BLOCK)])
+    odds, _ = odds_of(scratch.keep(counts, "counts"))
+    worth = split.select("run", F.explode("tokens").alias("token")).join(odds, "token").groupBy("run").agg(F.sum("odds").alias("odds"))
+    worth = scratch.keep(split.select("run", "n", "tokens").join(worth, "run", "left").select("run", "n", "tokens", F.coalesce("odds", F.lit(0)).alias("odds")), "odds")
+
+    # runs that very many pages share are few; the others meet their pages in a shuffle
+    uses = parsed.select("row", F.posexplode("runs").alias("at", "run"))
+    heavy = F.col("n") * HEAVY > seen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often, others = worth.where(heavy), worth.where(~heavy)
+    met = uses.join(F.broadcast(often), "run").unionAll(uses.join(F.broadcast(often.select("run")), "run", "left_anti").join(others, "run").select("run", "row", "at", "n", "tokens", "odds"))
+    sums = met.groupBy("row").agg(F.sum("odds").alias("odds"), F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "tokens"))), lambda s: s["tokens"])).alias("tokens"))
+    scored = parsed.join(sums, "row", "left")
+    sure = F.least(F.greatest(F.lit(prior) + F.coalesce("odds", F.lit(0)) * UNIT, F.lit(-500.0)), F.lit(500.0))
+    scored = scored.withColumn("p_block", 1 / (1 + F.exp(-sure))).withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
     return scored.withColumn("verdict", F.coalesce("verdict", F.when(F.col("p_block") > 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))).select("page_id", "host", "path", "rule", "verdict", "p_block", "tokens")
 
 
