@@ -105,3 +105,26 @@ def test_targets_equal_sql(spark, tmp_path):
     sql = sorted((r[0] or -1, r[1], r[2], round(r[3], 6), r[4]) for r in con.sql(mixing.OP3_SQL).fetchall())
     mine = sorted((r["doc_id"] or -1, r["size"], r["source_size"], round(r["target"], 6), r["taken"]) for r in mixing.mix(df).collect())
     assert sql == mine and math.isfinite(mine[0][3])
+
+
+@pytest.mark.parametrize("few", [1, 50])
+def test_rows_without_an_id_do_not_fall_together(spark, monkeypatch, few):
+    """10,000 rows without an id, then as many that are equal: targets are met, no step of many rows is sorted, reruns agree."""
+    monkeypatch.setattr(mixing, "SORTED", few)
+    rows = [(None, "w " * (1 + i % 9) + f"x{i}", "s") for i in range(10_000)] + [(7, "one and the same", "t")] * 3000 + [(i, f"other {i}", "u") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = mixing.mix(df, share=0.4).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert sorted(r["n"] for r in out) == [500, 3000, 10_000]
+    assert all(abs(r["taken"] - r["target"]) <= 5 for r in out)
+    mixed = mixing.mixed_documents(df, share=0.4)
+    words = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    targets = {10_000: "s", 500: "u"}
+    assert all(abs(words[targets[r["n"]]] - r["target"]) <= 5 for r in out if r["n"] in targets)
+    assert mixed.count() == mixing.mixed_documents(df, share=0.4).count()
+
+
+def test_no_document_is_taken_more_often_than_allowed(spark):
+    rows = [(i, "" if i % 3 == 0 else "some words here", "a") for i in range(60)] + [(100 + i, "word " * 500, "b") for i in range(20)] + [(200, None, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = Counter(r["doc_id"] for r in mixing.mixed_documents(df).collect())
+    assert max(counts.values()) == 2 and 200 not in counts and all(counts[i] == 2 for i in range(60))
