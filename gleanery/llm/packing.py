@@ -232,25 +232,26 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
 
     Only documents of more than `capacity` tokens are cut. Null text is empty (one piece with the end id); repeated
     rows are packed each; null ids pass through; an empty table gives an empty result; other columns are ignored.
-    Pieces are numbered within their length over as many buckets as the count asks for, so that no task numbers one
-    very common length alone.
+    Pieces are numbered within their length over as many buckets as the count asks for, dealt by their row, so that no
+    task numbers one very common length alone, whatever the ids.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    cuts = scratch.keep(pieces(docs, tokenizer, capacity, end_id, with_ids, cache_words=cache_words), "pieces")
+    cuts = pieces(docs, tokenizer, capacity, end_id, with_ids, cache_words=cache_words)
+    cuts = scratch.keep(cuts.withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in cuts.groupBy("length").count().collect()}  # at most `capacity` rows
     slots = places(plan(counts, capacity))
     parts = [(k, 1 + v // NUMBERED) for k, v in counts.items()]
     slot_df = bounded(spark.createDataFrame(slots, "length long, first long, after long, per long, sequence long, at long"), len(slots))
     part_df = bounded(spark.createDataFrame(parts, "length long, parts int"), len(parts))
-    dealt = cuts.join(part_df, "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))).drop("parts")
+    dealt = cuts.join(part_df, "length").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).drop("parts")
     if any(n > 1 for _, n in parts):
         before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         sizes = dealt.groupBy("length", "part").count().select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
         dealt = dealt.join(bounded(sizes, sum(n for _, n in parts)), ["length", "part"])
     else:
         dealt = dealt.withColumn("before", F.lit(0).cast("long"))
-    order = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
+    order = Window.partitionBy("length", "part").orderBy("row")
     ranked = dealt.withColumn("number", F.col("before") + F.row_number().over(order) - 1)
     slot = (ranked["length"] == slot_df["length"]) & (ranked["number"] >= slot_df["first"]) & (ranked["number"] < slot_df["after"])
     nth = F.col("number") - F.col("first")

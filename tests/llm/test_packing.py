@@ -76,3 +76,13 @@ def test_packed_rows(spark, monkeypatch):
     got = Counter((i, tuple(np.frombuffer(b"".join(r["ids"] for r in sorted(rs, key=lambda r: r["piece"])), "<u4").tolist())) for i, rs in by_doc.items() if i not in (7, None))
     assert got == want and len(by_doc[None]) == 1
     assert packing.pack(df.limit(0), packing.public_tokenizer()).count() == 0
+
+
+def test_rows_without_an_id_are_numbered_in_parts(spark, monkeypatch):
+    """10,000 equal rows without an id: many parts number them, and all have places of their own."""
+    monkeypatch.setattr(packing, "NUMBERED", 500)
+    df = spark.createDataFrame([(None, "one two")] * 10_000, "doc_id long, text string").repartition(4)
+    out = packing.pack(df, packing.public_tokenizer())
+    length = len(ids("one two"))
+    assert out.select("sequence_id", "offset").distinct().count() == 10_000 and out.where(f"length <> {length}").isEmpty()
+    assert out.select("sequence_id").distinct().count() == -(-10_000 // (4096 // length))
