@@ -24,8 +24,9 @@ from gleanery.llm.graph import components
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
-#: Larger buckets are dealt out once more by a second covering.
+#: Larger buckets are dealt out once more by another covering, and so on; each covering fixes about half of the bits that were free.
 BUCKET = 20_000
+COVERINGS = 5
 _SPACE = re.compile(rb"[\t-\r ]")
 
 
@@ -98,28 +99,37 @@ def spanning(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
 
 def links(fps: DataFrame, scratch: Scratch, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """(a, b) between distinct fingerprints fps(fp), with the same components as all pairs within the radius. A bucket over `bucket` is dealt out again by a second covering over its remaining bits, which loses no pair."""
-    masks, finer = covering_masks(radius, 1), covering_masks(radius, 2)
-
-    def dealt(df: DataFrame, by: list[int], base, *keep: str) -> DataFrame:
-        keys = [F.struct(F.lit(i).alias("s"), F.col("fp").bitwiseAND(base.bitwiseOR(F.lit(m).cast("long"))).alias("key")) for i, m in enumerate(by)]
-        return df.select("fp", *keep, F.explode(F.array(*keys)).alias("x")).select("fp", *keep, "x.s", "x.key")
-
-    one = dealt(fps.select("fp"), masks, F.lit(0).cast("long")).withColumnRenamed("s", "t")
-    hot = scratch.keep(one.groupBy("t", "key").count().where(F.col("count") > bucket).select("t", "key"), "hot")
-    groups, n_hot = one.select("fp", "t", F.lit(-1).alias("s"), "key"), hot.count()
-    if n_hot:
-        large = bounded(hot, n_hot)
-        base = F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), F.col("t") + 1)
-        again = dealt(one.join(large, ["t", "key"], "left_semi"), finer, base, "t").select("fp", "t", "s", "key")
-        groups = groups.join(large, ["t", "key"], "left_anti").select("fp", "t", "s", "key").unionAll(again)
+    """(a, b) between distinct fingerprints fps(fp), with the same components as all pairs within the radius.
+
+    A bucket is known by the bits that it fixes and their values. One over `bucket` is dealt out again by another
+    covering, whose tables fix more bits: a pair within the radius agrees on all bits of some table of each covering,
+    so none is lost. After the last covering some two bits are free, which bounds a bucket whatever the fingerprints.
+    """
+
+    def dealt(df: DataFrame, covering: int) -> DataFrame:
+        base = F.explode(F.array(*[F.col("base").bitwiseOR(F.lit(m).cast("long")) for m in covering_masks(radius, covering)]))
+        return df.select("fp", base.alias("base")).distinct() if covering > 1 else df.select("fp", base.alias("base"))
+
+    key = F.col("fp").bitwiseAND(F.col("base")).alias("key")
+    now, small = dealt(fps.select("fp", F.lit(0).cast("long").alias("base")), 1), None
+    for covering in range(2, COVERINGS + 1):
+        hot = scratch.keep(now.groupBy("base", key).count().where(F.col("count") > bucket).select("base", "key"), "hot")
+        n = hot.count()
+        if not n:
+            break
+        large, keyed = bounded(hot, n), now.select("fp", "base", key)
+        rest = keyed.join(large, ["base", "key"], "left_anti")
+        small = small.unionAll(rest) if small else rest
+        now = scratch.keep(dealt(keyed.join(large, ["base", "key"], "left_semi"), covering), "dealt")
+    groups = now.select("fp", "base", key)
+    groups = small.select("fp", "base", "key").unionAll(groups) if small else groups
 
     def run(batches):
         for b in batches:
             found = [e for values in b.column(0) for e in spanning(values.values.to_numpy(zero_copy_only=False), radius)]
             yield pa.record_batch([pa.array([e[0] for e in found], pa.int64()), pa.array([e[1] for e in found], pa.int64())], ["a", "b"])
 
-    lists = groups.groupBy("t", "s", "key").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
+    lists = groups.groupBy("base", "key").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
     return lists.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
@@ -146,25 +156,32 @@ def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, width: in
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
-    """docs without the near-duplicates of a document with a smaller doc_id; of near-duplicates that share a doc_id one stays. Rows without doc_id stay. Texts are shuffled only where the ids to drop are too many to broadcast, and for rows that share an id."""
+    """docs without the near-duplicates of a document with a smaller doc_id; see one_of_each()."""
     scratch = Scratch(docs.sparkSession)
     return one_of_each(docs, _grouped(docs, radius, "doc_id", "text", width, scratch), lambda t: fingerprint(t, width), scratch)
 
 
 def one_of_each(docs: DataFrame, grouped: DataFrame, name, scratch: Scratch) -> DataFrame:
-    """keep_one for any grouped(doc_id, fp, root, component_id), where name gives the fp of a text."""
-    found = scratch.keep(grouped.where("doc_id IS NOT NULL"), "found")
-    gone = scratch.keep(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    more = scratch.keep(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "more")
+    """One row of docs for each component of grouped(doc_id, fp, root, component_id), where name gives the fp of a text: of the rows with the component's smallest doc_id one stays; where no row of a component has an id, one of those with the smallest fp. Columns and their order are those of docs; an empty table stays empty. Texts are shuffled only where the ids to drop are too many to broadcast, and for rows that share an id or have none."""
+    found = scratch.keep(grouped, "found")
+    named = found.where("doc_id IS NOT NULL")
+    gone = scratch.keep(named.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    more = scratch.keep(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "more")
     n_more, columns = more.count(), docs.columns
-    if not n_more:
-        return docs.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
-    shared = bounded(more, n_more)
-    once = docs.join(shared, "doc_id", "left_anti").join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
+    out = docs.where("doc_id IS NOT NULL")
+    if n_more:
+        out = out.join(bounded(more, n_more), "doc_id", "left_anti")
+    out = out.join(bounded(gone, gone.count()), "doc_id", "left_anti").select(columns)
     fp = F.arrow_udf(lambda texts: pa.array([name(t) for t in texts.to_pylist()], pa.int64()), "long")
-    roots = found.join(more, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("__fp"), F.col("root").alias("__root"), "component_id").distinct().where("doc_id = component_id").drop("component_id")
-    several = docs.join(shared, "doc_id", "left_semi").withColumn("__fp", fp("text")).join(roots, ["doc_id", "__fp"]).dropDuplicates(["doc_id", "__root"])
-    return once.unionAll(several.select(columns))
+    if n_more:
+        roots = named.join(more, "doc_id", "left_semi").where("doc_id = component_id").select("doc_id", F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
+        several = docs.join(bounded(more, n_more), "doc_id", "left_semi").withColumn("__fp", fp("text")).join(roots, ["doc_id", "__fp"]).dropDuplicates(["doc_id", "__root"])
+        out = out.unionAll(several.select(columns))
+    if not found.where("doc_id IS NULL").isEmpty():
+        roots = found.where("component_id IS NULL AND fp = root").select(F.col("fp").alias("__fp")).distinct()
+        nameless = docs.where("doc_id IS NULL").withColumn("__fp", fp("text")).join(roots, "__fp", "left_semi").dropDuplicates(["__fp"])
+        out = out.unionAll(nameless.select(columns))
+    return out
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
