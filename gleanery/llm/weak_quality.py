@@ -101,11 +101,12 @@ def pattern(found: Text) -> int:
 
 
 def features(found: Text, shapes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: the shares of word shapes, and the tenths of the measurements."""
+    """Hashed features, each once: the shares of word shapes, and the tenths of the measurements. Shapes are few, so this is small beside the text."""
     n = max(found.n, 1)
     tenths = [min(10, 10 * v // n) for v in (found.plain, found.distinct, found.repeated, found.symbols, found.upper, found.exclamations, found.stops)] + [10 * found.dup_lines // max(found.lines, 1)]
     more = [crc32(b"m%d=%d" % (i, v)) % DIMENSIONS for i, v in enumerate(tenths)]
-    return np.concatenate([shapes, np.array(more, np.int64)]), np.concatenate([times / n, np.full(len(more), 0.5)])
+    at, where = np.unique(np.concatenate([shapes, np.array(more, np.int64)]), return_inverse=True)
+    return at, np.bincount(where, np.concatenate([times / n, np.full(len(more), 0.5)]), len(at)).astype(np.float32)
 
 
 def fit_votes(counts: dict[int, int], rounds: int = 60) -> tuple[float, np.ndarray, dict[int, float]]:
@@ -159,17 +160,19 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 3
     return w.astype(np.float32), float(c)
 
 
-def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, votes, n_words) of every row."""
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, votes, n_words, i, v) of every row: a hash of id and text, the votes, and the features, all from one look at the text."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            found = [seen(t or "")[0] for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array([pattern(x) for x in found], pa.int64()), pa.array([x.n for x in found], pa.int64())], ["doc_id", "votes", "n_words"])
+            found = [seen(t or "") for t in b.column(2).to_pylist()]
+            cols = [features(*x) for x in found]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([pattern(x[0]) for x in found], pa.int64()), pa.array([x[0].n for x in found], pa.int64()), pa.array([c[0] for c in cols], pa.list_(pa.int32())), pa.array([c[1] for c in cols], pa.list_(pa.float32()))], ["doc_id", "h", "votes", "n_words", "i", "v"])
 
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, votes long, n_words long")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"))
+    return own.mapInArrow(tidy(run), f"doc_id {kind}, h long, votes long, n_words long, i array<int>, v array<float>")
 
 
 @dataclass
@@ -180,56 +183,63 @@ class Model:
     weights: np.ndarray
     constant: float
 
+    def of(self, n_words: int, i: np.ndarray, v: np.ndarray) -> float:
+        """The chance that a text of these features is good; 0 without a word."""
+        return float(1 / (1 + np.exp(-np.clip(self.weights[i] @ v + self.constant, -30, 30)))) if n_words else 0.0
+
     def score(self, text: str | None) -> float:
-        """The chance that a text is good; 0 without a word."""
         found, shapes, times = seen(text or "")
-        if not found.n:
-            return 0.0
-        idx, val = features(found, shapes, times)
-        return float(1 / (1 + np.exp(-np.clip(self.weights[idx] @ val + self.constant, -30, 30))))
+        return self.of(found.n, *features(found, shapes, times))
+
+
+def fit_ledger(rows: DataFrame, train_rows: int = TRAIN_ROWS, train_words: int = TRAIN_WORDS) -> Model:
+    """The vote model over a whole written ledger(), and the scorer from at most train_rows of its rows: half from either side of the posterior as far as it has so many, those of at most train_words words with the smallest hash of id and text; rows equal in both teach once."""
+    short = F.col("n_words") <= train_words
+    sums = rows.where("n_words > 0").groupBy("votes").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).collect()  # at most 3 ** labellers
+    share, accuracy, posterior = fit_votes({r["votes"]: r["n"] for r in sums})
+    sure = rows.sparkSession.createDataFrame(sorted(posterior.items()), "votes long, posterior double")
+    pool = rows.where((F.col("n_words") > 0) & short).join(F.broadcast(sure), "votes")
+    half, learned = train_rows // 2, []
+    for side, there in (("posterior < 0.5", [r["short"] for r in sums if posterior[r["votes"]] < 0.5]), ("posterior >= 0.5", [r["short"] for r in sums if posterior[r["votes"]] >= 0.5])):
+        mine = pool.where(side)
+        for times in (20, 400, None):  # rows that are equal may take up what a bound on the hash lets through
+            few = mine if times is None or times * half >= sum(there) else mine.where(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 30)) < int(times * half / sum(there) * (1 << 30)))
+            found = few.groupBy("h").agg(F.first(F.struct("i", "v", "posterior")).alias("x")).orderBy("h").limit(half).select("x.*").collect()
+            if len(found) == half or times is None or times * half >= sum(there):
+                break
+        learned += [(np.array(r["i"], np.int64), np.array(r["v"], float), r["posterior"]) for r in found]
+    learned.sort(key=lambda r: (r[2], len(r[0]), r[0].tolist(), r[1].tolist()))
+    weights, constant = fit_scorer(learned)
+    return Model(share, accuracy, posterior, weights, constant + float(np.log(share / (1 - share))))  # it was trained on either side alike
 
 
-def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, train_words: int = TRAIN_WORDS) -> Model:
-    """The vote model over all of docs(doc_id, text), and the scorer from at most train_rows of them: those of at most train_words words with the smallest hash of doc_id."""
+def fit(docs: DataFrame, **how) -> Model:
+    """fit_ledger() over docs(doc_id, text)."""
     scratch = Scratch(docs.sparkSession)
-    cast = scratch.keep(votes(docs), "votes")
-    counts = {r["votes"]: r["count"] for r in cast.where("n_words > 0").groupBy("votes").count().collect()}  # at most 3 ** labellers
-    share, accuracy, posterior = fit_votes(counts)
-    sure = docs.sparkSession.createDataFrame(sorted(posterior.items()), "votes long, posterior double")
-    pool = cast.where(f"n_words BETWEEN 1 AND {int(train_words)} AND doc_id IS NOT NULL").join(F.broadcast(sure), "votes")
-    few = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(min(1.0, 20 * train_rows / max(1, sum(counts.values()))) * (1 << 30))
-    half = [pool.where(side).where(few).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows // 2).select("doc_id", "posterior") for side in ("posterior < 0.5", "posterior >= 0.5")]
-    chosen = scratch.keep(half[0].unionAll(half[1]).dropDuplicates(["doc_id"]), "chosen")
-
-    def run(batches):
-        for b in batches:
-            found = [features(*seen(t or "")) for t in b.column(0).to_pylist()]
-            yield pa.record_batch([pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), b.column(1)], ["i", "v", "posterior"])
-
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "posterior")  # chosen has at most train_rows rows
-    rows = [(np.array(r["i"]), np.array(r["v"]), r["posterior"]) for r in texts.limit(2 * train_rows).mapInArrow(tidy(run), "i array<long>, v array<double>, posterior double").collect()]
-    scratch.drop(cast, chosen)
-    rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tolist()))
-    weights, constant = fit_scorer(rows)
-    return Model(share, accuracy, posterior, weights, constant + float(np.log(share / (1 - share))))  # it was trained on either side alike
+    rows = scratch.keep(ledger(docs), "ledger")
+    model = fit_ledger(rows, **how)
+    scratch.drop(rows)
+    return model
 
 
 def classify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(doc_id, score, kept) of every row. A text without a word (null or empty) scores 0 and isn't kept; ids may be null or repeated; an empty table gives an empty result; other columns are ignored."""
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = model or fit(own)
-    kind = own.schema["doc_id"].dataType.simpleString()
+    """(doc_id, score, kept) of every row. A text is looked at once; votes and features are kept for the rest. A text without a word (null or empty) scores 0 and isn't kept; ids may be null or repeated; an empty table gives an empty result; other columns are ignored."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.keep(ledger(docs, id_col, text_col), "ledger")
+    model = model or fit_ledger(rows)
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            yield pa.record_batch([b.column(0), pa.array([model.score(t) for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
+            found = [model.of(n, np.asarray(i.values), np.asarray(v.values)) for n, i, v in zip(b.column(1).to_pylist(), b.column(2), b.column(3))]
+            yield pa.record_batch([b.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     prepare(docs.sparkSession)
-    return own.mapInArrow(tidy(run), f"doc_id {kind}, score double").withColumn("kept", F.col("score") >= threshold)
+    return rows.select("doc_id", "n_words", "i", "v").mapInArrow(tidy(run), f"doc_id {kind}, score double").withColumn("kept", F.col("score") >= threshold)
 
 
 def accepted(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that the classifier keeps, all columns as they are."""
+    """The rows of docs that the classifier keeps, all columns as they are; nulls, repeated rows and empty tables as in classify(). The texts are streamed twice and never shuffled."""
     model = fit(docs.select("doc_id", "text"))
 
     @F.arrow_udf("double")
