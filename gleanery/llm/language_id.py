@@ -22,7 +22,8 @@ from gleanery.llm.common import Scratch, bounded, prepare, table, tidy
 PER_LANGUAGE = 400
 TRAIN_ROWS = 8000
 DIMENSIONS = 1 << 12
-#: Words that a worker remembers. The block of words that is looked up at once may hold as many.
+#: Bytes of scores of words that a worker remembers, and words at most; the fewer words the more languages there are. The words of one block of text come on top.
+CACHE_BYTES = 64 << 20
 CACHE_WORDS = 1_000_000
 UNKNOWN = "und"
 #: Families of related languages by code; any other language is a family of its own.
@@ -75,6 +76,7 @@ def grams(letters: str) -> list[int]:
 
 
 _BLOCK = 1 << 19
+_WORDS = 2000
 
 
 def words_of(text: str):
@@ -124,37 +126,45 @@ class Model:
     def __post_init__(self):
         self.weights_by_gram = np.ascontiguousarray(self.weights.T)
 
+    @property
+    def most(self) -> int:
+        """Words that are remembered."""
+        return min(CACHE_WORDS, CACHE_BYTES // (8 * (len(self.constants) + 1)))
+
     def __getstate__(self):
         return self.__dict__ | {"index": {}, "parts": None, "used": 0}
 
     def learn_words(self, words: list[str]) -> None:
         """Adds words to the index; those of the same letters share a row."""
         k = len(self.constants)
-        if self.parts is None or len(self.index) + 2 * len(words) > CACHE_WORDS:
+        if self.parts is None or len(self.index) + 2 * len(words) > self.most:
             self.index, self.used, self.parts = {}, 1, np.zeros((1024, k + 1))
             self.index[""] = 0  # no letter
         cores = {w: letters_of(w) for w in words}
         fresh = [x for x in dict.fromkeys(cores.values()) if x not in self.index]
         if fresh:
-            found = [grams(x) for x in fresh]
-            sizes = np.array([len(g) for g in found])
-            sums = np.add.reduceat(self.weights_by_gram[[g for gs in found for g in gs]], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
             end = self.used + len(fresh)
-            while end > len(self.parts):
-                self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
-            self.parts[self.used : end, :k], self.parts[self.used : end, k] = sums, sizes
+            if end > len(self.parts):
+                self.parts = np.concatenate([self.parts, np.zeros((max(end, min(2 * len(self.parts), self.most)) - len(self.parts), k + 1))])
+            for at in range(0, len(fresh), _WORDS):  # the weights of all their n-grams at once would be large
+                found = [grams(x) for x in fresh[at : at + _WORDS]]
+                sizes = np.array([len(g) for g in found])
+                sums = np.add.reduceat(self.weights_by_gram[[g for gs in found for g in gs]], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+                here = slice(self.used + at, self.used + at + len(found))
+                self.parts[here, :k], self.parts[here, k] = sums, sizes
             self.index.update(zip(fresh, range(self.used, end)))
             self.used = end
         self.index.update((w, self.index[x]) for w, x in cores.items())
 
     def scores(self, text: str | None) -> np.ndarray | None:
         total = np.zeros(len(self.constants) + 1)
-        for words in words_of(text or ""):
-            if new := [w for w in dict.fromkeys(words) if w not in self.index]:
-                self.learn_words(new)
-                if more := [w for w in dict.fromkeys(words) if w not in self.index]:  # the cache was emptied for the new ones
-                    self.learn_words(more)
-            if words:
+        step = max(1000, self.most // 2)
+        for block in words_of(text or ""):
+            for words in (block[at : at + step] for at in range(0, len(block), step)):
+                if new := [w for w in dict.fromkeys(words) if w not in self.index]:
+                    self.learn_words(new)
+                    if more := [w for w in dict.fromkeys(words) if w not in self.index]:  # the cache was emptied for the new ones
+                        self.learn_words(more)
                 total += self.parts[[self.index[w] for w in words]].sum(0)
         return total[:-1] / total[-1] + self.constants if total[-1] else None
 
@@ -218,14 +228,15 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRAIN_ROWS) -> Model:
-    """Learns from text and lang of docs(doc_id, text, lang): rows with an id, a language and a letter that aren't held out; of each language those with the smallest hash of the id, at most per_language and train_rows in all."""
-    pool = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
+    """Learns from text and lang of docs(doc_id, text, lang): rows with an id, a language and a letter that aren't held out; of each language those with the smallest hash of id and text, at most per_language and train_rows in all. Rows equal in both teach once."""
+    hashed = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("doc_id", "text")).select("lang", "h", "text")
     scratch = Scratch(docs.sparkSession)
-    counts = scratch.keep(pool.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    pool = hashed.select("lang", "h")
+    counts = scratch.keep(pool.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")), "languages")
     pool = pool.join(bounded(counts, counts.count()), "lang")  # about four times as many rows as are wanted go on, whatever the size of a language
-    pool = pool.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) * F.col("n") < float(4 * per_language * (1 << 30)))
-    ranked = pool.withColumn("h", F.xxhash64("doc_id")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("r") <= per_language)
-    chosen = scratch.keep(ranked.orderBy("r", "lang", "h").limit(train_rows).select("doc_id", "lang").distinct(), "chosen")
+    pool = pool.where(F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 30)) * F.col("n") < float(4 * per_language * (1 << 30))).select("lang", "h").distinct()
+    ranked = pool.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language)
+    chosen = scratch.keep(ranked.orderBy("r", "lang", "h").limit(train_rows).select("lang", "h"), "chosen")
 
     def run(batches):
         for b in batches:
@@ -234,8 +245,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, train_rows: int = TRA
             yield pa.record_batch([pa.array([v for v, _ in found], pa.binary()), pa.array([x for _, x in found], pa.string())], ["v", "lang"])
 
     prepare(docs.sparkSession)
-    texts = docs.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang")  # chosen has at most train_rows rows
-    rows = sorted((r["lang"], bytes(r["v"])) for r in texts.limit(train_rows).mapInArrow(tidy(run), "v binary, lang string").collect())
+    texts = hashed.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text")).select("text", "lang")  # chosen has at most train_rows rows
+    rows = sorted((r["lang"], bytes(r["v"])) for r in texts.mapInArrow(tidy(run), "v binary, lang string").collect())
     scratch.drop(chosen, counts)
     vectors = np.array([np.frombuffer(v, "<f4") for _, v in rows], float).reshape(-1, DIMENSIONS)
     return fit_rows(vectors, [x for x, _ in rows])

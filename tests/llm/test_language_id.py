@@ -67,3 +67,75 @@ def test_remembered_words_change_nothing(monkeypatch):
 
 def test_families():
     assert L.family("de-AT") == L.family("en") == "germanic" and L.family("pt_BR") == "romance" and L.family("tlh") == "tlh"
+
+
+def plain_model(rows):
+    """Families, then pairs, by dictionaries of n-gram shares and a subgradient loop over the rows."""
+
+    def share(text):
+        out = {}
+        for w in text.lower().split():
+            w = "".join(c for c in w if c.isalpha())
+            for k in (1, 2, 3) if w else ():
+                for i in range(len(w) + 3 - k):
+                    g = crc32(f"<{w}>"[i : i + k].encode()) % L.DIMENSIONS
+                    out[g] = out.get(g, 0) + 1
+        return {g: v / sum(out.values()) for g, v in out.items()}
+
+    shares = [(share(t), x) for t, x in rows]
+    values = [[s.get(g, 0.0) for s, _ in shares] for g in range(L.DIMENSIONS)]
+    scale = [(sum((v - sum(c) / len(c)) ** 2 for v in c) / len(c)) ** 0.5 + 1e-3 for c in values]
+
+    def machine(one, other):
+        part = [({g: v / scale[g] for g, v in s.items()}, 1 if x in one else -1) for s, x in shares if x in one | other]
+        n = {y: sum(z == y for _, z in part) for y in (1, -1)}
+        w, c, past, past_c = [0.0] * L.DIMENSIONS, 0.0, [1e-12] * L.DIMENSIONS, 1e-12
+        for _ in range(200):
+            g, g_c = [1e-7 * x for x in w], 0.0
+            for s, y in part:
+                if y * (sum(w[k] * v for k, v in s.items()) + c) < 1:
+                    g_c -= 0.5 / n[y] * y
+                    for k, v in s.items():
+                        g[k] -= 0.5 / n[y] * y * v
+            past, past_c = [p + x * x for p, x in zip(past, g)], past_c + g_c * g_c
+            w, c = [x - 0.002 * d / p**0.5 for x, d, p in zip(w, g, past)], c - 0.02 * g_c / past_c**0.5
+        return lambda text: sum(w[k] / scale[k] * v for k, v in share(text).items()) + c
+
+    langs = {x for _, x in rows}
+    kin = {f: {x for x in langs if L.family(x) == f} for f in map(L.family, langs)}
+    families = {f: machine(kin[f], langs - kin[f]) for f in sorted(kin)}
+    pairs = {(a, b): machine({a}, {b}) for f in kin for a in sorted(kin[f]) for b in sorted(kin[f]) if a < b}
+
+    def predict(text):
+        best = max(sorted(families), key=lambda f: families[f](text))
+        wins = dict.fromkeys(kin[best], 0)
+        for (a, b), one in pairs.items():
+            if a in wins:
+                wins[a if one(text) > 0 else b] += 1
+        return max(wins, key=wins.get)
+
+    return predict
+
+
+def test_against_plain(spark):
+    rows = docs(60, seed=9)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    predict = plain_model([(t, x) for i, t, x in rows if crc32(str(i).encode()) % 5])
+    got = {r["doc_id"]: r["lang_pred"] for r in L.identify(df, L.fit(df)).collect()}
+    assert got == {i: predict(t) for i, t, _ in rows}
+
+
+def test_three_hundred_pairs_stay_in_the_cache(monkeypatch):
+    monkeypatch.setattr(L, "CACHE_BYTES", 4 << 20)
+    rng, codes = np.random.default_rng(1), [f"x{i}" for i in range(25)]
+    pairs = [("f", a, b) for i, a in enumerate(codes) for b in codes[i + 1 :]]
+    model = L.Model(["f"], {"f": codes}, pairs, rng.normal(size=(301, L.DIMENSIONS)), np.zeros(301))
+    text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(12_000))
+    got = model.scores(text)
+    assert model.parts.nbytes <= 2 * (4 << 20) and np.allclose(got, model.weights @ L.vector(text))
+
+
+def test_equal_rows_teach_once_and_reruns_agree(spark):
+    rows = docs(300)
+    a, b = (L.fit(spark.createDataFrame(r, "doc_id long, text string, lang string").repartition(n), per_language=20) for r, n in ((rows, 2), (rows + rows[:1] * 500, 5)))
+    assert np.array_equal(a.weights, b.weights)
