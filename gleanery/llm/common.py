@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.shipping import ship
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes that go to Python at once; texts can be long, so fewer than Spark's defaults.
@@ -22,9 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bounds what one Arrow batch holds, in rows and in bytes, however long the texts are."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
+    """Sends the package to the workers, and bounds what one Arrow batch holds, in rows and in bytes, however long the texts are. Lower bounds that the session has already stay; higher ones are lowered for good, as plans read them when they run."""
+    ship(spark)
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH), ("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:  # 0 and less: no bound; another unit is replaced
+            spark.conf.set(key, str(most))
 
 
 #: What a Python worker remembers between tasks, by the name of the operator.
@@ -53,18 +59,37 @@ def tidy(run, keep: str | None = None):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one that setCheckpointDir() was given. Only where neither is set and all runs on this machine, a temporary folder; on a cluster that is an error."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = getattr(spark.sparkContext, "_gleanery_dir", None)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = getattr(context, "_gleanery_dir", None)
         if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="gleanery-")
-            spark.sparkContext._gleanery_dir = base
+            base = context._gleanery_dir = "file://" + tempfile.mkdtemp(prefix="gleanery-")
     return f"{base.rstrip('/')}/gleanery"
 
 
+_SWEPT: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SWEPT:
+        _SWEPT[-1].append(path)
+    return path
+
+
+@contextmanager
+def swept(spark: SparkSession):
+    """Deletes at its end what was written to the shared folder meanwhile; for jobs that write their result elsewhere."""
+    _SWEPT.append([])
+    try:
+        yield
+    finally:
+        for path in _SWEPT.pop():
+            drop_path(spark, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -50,6 +50,7 @@ def suffix_ranks(found: DataFrame, rounds: int, scratch: Scratch) -> list[DataFr
     """For each round k: (o, t, n, i, words, rank) of the positions whose first 2 ** k lines are repeated; rank orders them."""
     repeated = _ranked(found.groupBy("h1", "h2").count().where("count > 1"), ["h1", "h2"], scratch)
     now = scratch.keep(found.join(repeated, ["h1", "h2"]).select("o", "t", "n", "i", "words", "rank").dropDuplicates(["o", "t", "i"]), "round")
+    scratch.drop(repeated)
     out = [now]
     for k in range(1, rounds):
         step = 1 << (k - 1)
@@ -57,7 +58,7 @@ def suffix_ranks(found: DataFrame, rounds: int, scratch: Scratch) -> list[DataFr
         pairs = scratch.keep(now.withColumn("next", F.min("rank").over(ahead)).where("next IS NOT NULL").withColumnRenamed("rank", "first"), "pairs")
         repeated = _ranked(pairs.groupBy("first", "next").count().where("count > 1"), ["first", "next"], scratch)
         now = scratch.keep(pairs.join(repeated, ["first", "next"]).select("o", "t", "n", "i", "words", "rank"), "round")
-        scratch.drop(pairs)
+        scratch.drop(pairs, repeated)
         out.append(now)
         if now.isEmpty():
             break

@@ -111,16 +111,18 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = RADIUS, bucket: int =
         return df.select("fp", base.alias("base")).distinct() if covering > 1 else df.select("fp", base.alias("base"))
 
     key = F.col("fp").bitwiseAND(F.col("base")).alias("key")
-    now, small = dealt(fps.select("fp", F.lit(0).cast("long").alias("base")), 1), None
+    now, small, written = dealt(fps.select("fp", F.lit(0).cast("long").alias("base")), 1), None, []
     for covering in range(2, COVERINGS + 1):
         hot = scratch.keep(now.groupBy("base", key).count().where(F.col("count") > bucket).select("base", "key"), "hot")
         n = hot.count()
+        written.append(hot)
         if not n:
             break
         large, keyed = bounded(hot, n), now.select("fp", "base", key)
         rest = keyed.join(large, ["base", "key"], "left_anti")
         small = small.unionAll(rest) if small else rest
         now = scratch.keep(dealt(keyed.join(large, ["base", "key"], "left_semi"), covering), "dealt")
+        written.append(now)
     groups = now.select("fp", "base", key)
     groups = small.select("fp", "base", "key").unionAll(groups) if small else groups
 
@@ -130,7 +132,9 @@ def links(fps: DataFrame, scratch: Scratch, radius: int = RADIUS, bucket: int =
             yield pa.record_batch([pa.array([e[0] for e in found], pa.int64()), pa.array([e[1] for e in found], pa.int64())], ["a", "b"])
 
     lists = groups.groupBy("base", "key").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
-    return lists.mapInArrow(tidy(run), "a long, b long").distinct()
+    out = scratch.keep(lists.mapInArrow(tidy(run), "a long, b long").distinct(), "links")
+    scratch.drop(*written)
+    return out
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
@@ -149,7 +153,9 @@ def _grouped(docs: DataFrame, radius: int, id_col: str, text_col: str, width: in
     """(doc_id, fp, root, component_id): root is the smallest fingerprint of the component."""
     fps = scratch.keep(fingerprints(docs, id_col, text_col, width), "fingerprints")
     classes = scratch.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), scratch, radius), scratch)
+    near = links(classes.select("fp"), scratch, radius)
+    roots = components(near, scratch)
+    scratch.drop(near)
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return fps.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "fp", "root", "component_id")
