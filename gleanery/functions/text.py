@@ -26,6 +26,7 @@ OCR_TO = "aaaaaeeeeiiiiooooouuuuyync''\"\"---   "
 SKIPPED_SHEETS = "cover|index|toc|table of contents|instructions|summary|legend|contents|readme|notes|changes|log|template|example|sample"
 SUBTOTAL_WORDS = r"(?i)\b(total|subtotal|grand total|net total|sum|balance|carried forward|c/f|b/f|brought forward)\b"
 #: White space as Python's str.strip() sees it.
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
@@ -36,7 +37,7 @@ def let(value: Column, f) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def words(c: Column) -> Column:

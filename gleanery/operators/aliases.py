@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.keys import next_version, version_key
+from gleanery.operators.sizes import small
 
 
 def alias_map(aliases: DataFrame) -> DataFrame:
@@ -14,9 +15,9 @@ def alias_map(aliases: DataFrame) -> DataFrame:
 
 
 def resolved(labels: DataFrame, aliases: DataFrame, label: str = "label") -> DataFrame:
-    """labels with `canonical` (null if unknown) and `field`, which is the label itself then. aliases is a dimension table: broadcast."""
+    """labels with `canonical` (null if unknown) and `field`, which is the label itself then. aliases are broadcast while they are few."""
     names = alias_map(aliases).withColumnRenamed("variant", "__v")
-    out = labels.join(F.broadcast(names), F.lower(F.trim(F.col(label))) == F.col("__v"), "left").drop("__v")
+    out = labels.join(small(names), F.lower(F.trim(F.col(label))) == F.col("__v"), "left").drop("__v")
     return out.withColumn("field", F.coalesce("canonical", label))
 
 
@@ -49,13 +50,15 @@ def token_sorted(c: Column) -> Column:
 
 def proposals(labels: DataFrame, aliases: DataFrame, rejected: DataFrame, label: str = "label", auto: float = 0.90, floor: float = 0.75, weight: float = 0.80) -> DataFrame:
     """(label, canonical, variant, score, effective, bucket): the nearest variant of each distinct label, scored by the better of the plain and the word-sorted similarity, from `floor` on; the first variant by name wins ties. Rejected pairs (label, canonical) are for manual review; a proposal never renames a field."""
-    names = alias_map(aliases).agg(F.collect_list(F.struct("variant", "canonical")).alias("__a"))
-    score = lambda x: F.greatest(similarity(F.col("__l"), x), similarity(token_sorted(F.col("__l")), token_sorted(x)) * 0.95)
-    best = F.array_max(F.transform("__a", lambda a: F.struct(score(a["variant"]).alias("score"), F.reverse(a["variant"]).alias("__r"), a["variant"].alias("variant"), a["canonical"].alias("canonical"))))
-    found = labels.select(F.col(label).alias("label")).distinct().withColumn("__l", F.lower(F.trim("label"))).join(F.broadcast(names)).withColumn("b", best)
-    found = found.where(F.col("b.score") >= floor).select("label", "__l", "b.canonical", "b.variant", "b.score")
+    names = alias_map(aliases).withColumn("__n", F.length("variant"))
+    score = F.greatest(similarity(F.col("__l"), F.col("variant")), similarity(token_sorted(F.col("__l")), token_sorted(F.col("variant"))) * 0.95)
+    own = labels.select(F.col(label).alias("label")).distinct().withColumn("__l", F.lower(F.trim("label")))
+    lengths = F.sequence(F.ceil(F.length("__l") * floor).cast("int"), F.floor(F.length("__l") / floor).cast("int"))  # those beyond differ by too many letters
+    met = own.withColumn("__n", F.explode(lengths)).join(small(names), "__n").withColumn("score", score).where(F.col("score") >= floor)
+    found = met.groupBy("label", "__l").agg(F.max(F.struct("score", F.reverse("variant").alias("__r"), "variant", "canonical")).alias("b"))
+    found = found.select("label", "__l", "b.canonical", "b.variant", "b.score")
     known = rejected.select(F.lower(F.trim("label")).alias("__l"), "canonical", F.lit(True).alias("__no")).distinct()
-    out = found.join(F.broadcast(known), ["__l", "canonical"], "left")
+    out = found.join(small(known), ["__l", "canonical"], "left")
     bucket = F.when(F.col("__no"), "manual_review").when(F.col("score") >= auto, "high_confidence").otherwise("quick_confirm")
     return out.select("label", "canonical", "variant", F.round("score", 4).alias("score"), F.round(F.col("score") * weight, 4).alias("effective"), bucket.alias("bucket"))
 
@@ -78,10 +81,10 @@ def merge_gate(entries: DataFrame, known: DataFrame, rejected: DataFrame, aliase
     """entries(label, canonical, ...) with `gate`, the first that stops it or `pass`: unknown field, blocked label, mapping rejected before, label already an alias of another field."""
     low = F.lower(F.trim("label"))
     out = entries.withColumn("__l", low)
-    out = out.join(F.broadcast(known.select("canonical", F.lit(True).alias("__k")).distinct()), "canonical", "left")
-    out = out.join(F.broadcast(rejected.select(F.lower(F.trim("label")).alias("__l"), "canonical", F.lit(True).alias("__r")).distinct()), ["__l", "canonical"], "left")
+    out = out.join(small(known.select("canonical", F.lit(True).alias("__k")).distinct()), "canonical", "left")
+    out = out.join(small(rejected.select(F.lower(F.trim("label")).alias("__l"), "canonical", F.lit(True).alias("__r")).distinct()), ["__l", "canonical"], "left")
     others = aliases.select(F.lower(F.trim("variant")).alias("__l"), F.col("canonical").alias("__c")).distinct().groupBy("__l").agg(F.collect_set("__c").alias("__cs"))
-    out = out.join(F.broadcast(others), "__l", "left")
+    out = out.join(small(others), "__l", "left")
     blocked_exact = F.col("__l").isin(*exact) if exact else F.lit(False)
     conflict = F.coalesce(F.size(F.array_except("__cs", F.array("canonical"))) > 0, F.lit(False))
     gate = (
@@ -98,7 +101,7 @@ def merge_gate(entries: DataFrame, known: DataFrame, rejected: DataFrame, aliase
 def precision(gold: DataFrame, aliases: DataFrame) -> DataFrame:
     """(n, correct, precision) of gold(label, canonical); 1 if there is none."""
     names = alias_map(aliases).select(F.col("variant").alias("__v"), F.col("canonical").alias("__c"))
-    joined = gold.join(F.broadcast(names), F.lower(F.trim("label")) == F.col("__v"), "left")
+    joined = gold.join(small(names), F.lower(F.trim("label")) == F.col("__v"), "left")
     n, ok = F.count("*"), F.count_if(F.col("__c") == F.col("canonical"))
     return joined.agg(n.alias("n"), ok.alias("correct"), F.when(n == 0, 1.0).otherwise(F.round(ok / n, 4)).alias("precision"))
 

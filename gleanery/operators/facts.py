@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.operators.sizes import small
+
 DISAGREEMENT = 0.8
 LOW = 0.70
 # Types of fields whose values a model must not invent.
@@ -23,13 +25,13 @@ def violations(field_type: Column, value: Column, confidence: Column, sources: C
 
 def model_allowed(fields: DataFrame, registry: DataFrame) -> DataFrame:
     """fields(field, ...) without those of a type that is not for models; fields that the registry doesn't know pass."""
-    return fields.join(F.broadcast(registry.where(F.col("field_type").isin(*NOT_FROM_MODEL)).select("field")), "field", "left_anti")
+    return fields.join(small(registry.where(F.col("field_type").isin(*NOT_FROM_MODEL)).select("field")), "field", "left_anti")
 
 
 def typed(evidence: DataFrame, registry: DataFrame, methods: dict[str, str], default: str = "deterministic") -> DataFrame:
     """Evidence rows (field, value, confidence, method, ...) of registered fields, with field_type and the mapped method; offsets of -1 become null."""
     mapping = F.create_map(*[x for k, v in methods.items() for x in (F.lit(k), F.lit(v))]) if methods else None
-    out = evidence.join(F.broadcast(registry.select("field", "field_type")), "field")
+    out = evidence.join(small(registry.select("field", "field_type")), "field")
     out = out.withColumn("method", F.coalesce(F.try_element_at(mapping, F.col("method")), F.lit(default)) if mapping is not None else F.lit(default))
     for c in ("char_start", "char_end"):
         if c in out.columns:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.operators.sizes import blocks
+
 # Kinds of engagement, fields that forbid acceptance when answered Yes, and the two decisions.
 INITIAL, RECURRING = "Initial / 1st Year", "Recurring / 2nd Year or Subsequent"
 BLOCKERS = ("q4", "q5_a", "q5_b", "q5_c", "q9", "q9_a", "q9_b", "q11")
@@ -58,9 +62,11 @@ def summary(resolved_: DataFrame, *keys: str) -> DataFrame:
 
 
 def detected(pages: DataFrame, patterns: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, target, location, page): where a section is found first, in the contents (pages 1 to 5) before the body, by the order of patterns(target, pattern, pos), then the page. pages(key, page, text)."""
+    """(key, target, location, page): where a section is found first, in the contents (pages 1 to 5) before the body, by the order of patterns(target, pattern, pos), then the page. pages(key, page, text). Patterns meet all pages, in blocks."""
     text = F.lower(F.regexp_replace("text", r"\s+", " "))
-    hits = pages.withColumn("__t", text).join(F.broadcast(patterns)).where(F.instr(F.col("__t"), F.lower(F.col("pattern"))) > 0)
+    low = pages.select(key, "page", text.alias("__t"))
+    hits = [low.join(part, F.instr(F.col("__t"), F.lower(F.col("pattern"))) > 0).drop("__t") for part in blocks(patterns, "pattern", 200)]
+    hits = reduce(DataFrame.unionByName, hits)
     place = F.when(F.col("page") <= 5, 0).otherwise(1)
     best = F.min(F.struct(place.alias("place"), "pos", "page"))
     return hits.groupBy(key, "target").agg(best.alias("b")).select(key, "target", F.when(F.col("b.place") == 0, "toc").otherwise("body").alias("location"), "b.page")

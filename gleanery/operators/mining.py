@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import has_mark, let, short_question, strip
 from gleanery.operators.aliases import alias_map
+from gleanery.operators.sizes import small
 
 # Labels that are headings of a form, not fields.
 NOISE = ("instructions", "practical consideration", "comments", "yes", "no", "n/a", "date", "transaction_date")
@@ -83,12 +84,16 @@ def document_type(name: Column) -> Column:
 
 def line_fields(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, label, value): the last value of each `label: value` line; a value ends at ` | ` and where another label begins in it; noise labels and overlong parts don't count."""
-    lines = docs.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(key, "pos", strip(F.col("line")).alias("line")).where(F.col("line").rlike(LABEL))
-    label = strip(F.substring_index("line", ":", 1))
-    value = strip(F.regexp_replace(strip(F.substring_index(F.expr("substring(line, instr(line, ':') + 1)"), " | ", 1)), "^:+", ""))
-    value = strip(F.regexp_replace(value, rf"(?s){EMBEDDED}.*\z", ""))
-    found = lines.select(key, "pos", label.alias("label"), value.alias("value")).where((F.length("label") > 0) & (F.length("label") < 80) & (F.length("value") > 0) & (F.length("value") < 300) & ~F.lower("label").isin(*NOISE))
-    return found.groupBy(key, "label").agg(F.max_by("value", "pos").alias("value"))
+    lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x.rlike(LABEL))
+
+    def parted(line, pos):
+        value = strip(F.substring_index(F.substring(line, F.instr(line, ":") + 1, F.length(line)), " | ", 1))
+        value = strip(F.regexp_replace(F.ltrim(value, F.lit(":")), rf"(?s){EMBEDDED}.*\z", ""))
+        return F.struct(pos.alias("pos"), strip(F.substring_index(line, ":", 1)).alias("label"), value.alias("value"))
+
+    good = lambda x: (F.length(x["label"]) > 0) & (F.length(x["label"]) < 80) & (F.length(x["value"]) > 0) & (F.length(x["value"]) < 300) & ~F.lower(x["label"]).isin(*NOISE)
+    found = docs.select(key, F.explode(F.filter(F.transform(lines, parted), good)).alias("x"))  # arrays, so that each part is computed once
+    return found.groupBy(key, F.col("x.label").alias("label")).agg(F.max_by("x.value", "x.pos").alias("value"))
 
 
 def cells(tables: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -132,7 +137,7 @@ def checkbox_answers(tables: DataFrame, aliases: DataFrame, key: str = "doc_id")
     one = rows.select(key, "table", "__y", "__n", F.posexplode("all").alias("row", "r")).where((F.size("r") >= F.greatest("__y", "__n")) & (strip(F.col("r")[0]) != ""))
     yes, no = has_mark(F.element_at("r", F.col("__y"))), has_mark(F.element_at("r", F.col("__n")))
     found = one.select(key, "table", "row", F.lower(short_question(F.col("r")[0])).alias("variant"), F.when(yes, "Yes").when(no, "No").alias("answer")).where("answer IS NOT NULL")
-    return found.join(F.broadcast(alias_map(aliases)), "variant").groupBy(key, "canonical").agg(F.min_by("answer", F.struct("table", "row")).alias("answer"))
+    return found.join(small(alias_map(aliases)), "variant").groupBy(key, "canonical").agg(F.min_by("answer", F.struct("table", "row")).alias("answer"))
 
 
 def checkbox_completion(tables: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.keys import fingerprint, pair_hash, seed, split_of
+from gleanery.functions.keys import fingerprint, pair_hash, split_of
 from gleanery.functions.text import capped_words, let
 
 # File of each stage, thresholds of the gates, wording that final pairs must not have.
@@ -143,35 +141,31 @@ def derived_state(states: Column, source: str = "includes_single_audit", derived
     return F.when((F.try_element_at(states, F.lit(source)) == "present") & F.map_contains_key(states, derived), F.map_concat(F.map_filter(states, lambda k, _: k != derived), F.create_map(F.lit(derived), F.lit("present")))).otherwise(states)
 
 
-def deficiency_sets(records: DataFrame, tier1: dict[str, float], tier2: dict[str, float], variants_: int = 2, most: int = 3) -> DataFrame:
-    """(file_name, client_type, combination, fields): up to variants_ different sorted sets of 1 to `most` present fields, at least one of tier 1, drawn with weights by a generator seeded with the record. records: (file_name, client_type, fields_present). Sizes weigh 1 / size; a record without tier-1 field gives none."""
-    def run(frames):
-        import pandas as pd
-
-        for pdf in frames:
-            out = []
-            for name, client, present, start in zip(pdf["file_name"], pdf["client_type"], pdf["fields_present"], pdf["seed"]):
-                have = set(present if present is not None else ())
-                one = [f for f in tier1 if f in have]
-                pool = one + [f for f in tier2 if f in have]
-                weight = tier1 | tier2
-                rng, found = random.Random(int(start)), []
-                for _ in range(20 * variants_ if one else 0):
-                    sizes = range(1, min(most, len(pool)) + 1)
-                    size = rng.choices(sizes, weights=[1 / s for s in sizes])[0]
-                    chosen = {rng.choices(one, weights=[weight[f] for f in one])[0]}
-                    rest = [f for f in pool if f not in chosen]
-                    if size > 1 and rest:
-                        chosen |= set(rng.choices(rest, weights=[weight[f] for f in rest], k=min(size - 1, len(rest))))
-                    if sorted(chosen) not in found:
-                        found.append(sorted(chosen))
-                    if len(found) == variants_:
-                        break
-                out += [(name, client, i, f) for i, f in enumerate(found)]
-            yield pd.DataFrame(out, columns=["file_name", "client_type", "combination", "fields"])
-
-    seeded = records.select("file_name", "client_type", "fields_present", seed(F.col("file_name"), F.col("client_type")).alias("seed"))
-    return seeded.mapInPandas(run, "file_name string, client_type string, combination int, fields array<string>")
+def deficiency_sets(records: DataFrame, tier1: dict[str, float], tier2: dict[str, float], variants_: int = 2, most: int = 3, tries: int = 8) -> DataFrame:
+    """(file_name, client_type, combination, fields): up to variants_ different sorted sets of 1 to `most` present fields, at least one of tier 1. records: (file_name, client_type, fields_present); a record without a field of tier 1 gives none, null and repeated fields count for nothing.
+
+    A try orders the present fields by exponential keys of their weights, drawn from a hash of record, try and field:
+    the first of tier 1 leads, the next in order follow, as many as another hash says, in which size s weighs 1 / s.
+    The different sets among `tries` tries a variant are the result, in the order of the tries.
+    """
+    known = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(float(w)).alias("weight"), F.lit(f in tier1).alias("leads")) for f, w in (tier2 | tier1).items()])
+    uniform = lambda *parts: (F.pmod(F.xxhash64("file_name", "client_type", *parts), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    harmonic = F.array(*[F.lit(sum(1 / s for s in range(1, n + 1))) for n in range(1, most + 1)])
+
+    def one_try(i: Column) -> Column:
+        keyed = F.array_sort(F.transform("__pool", lambda x: F.struct((-F.log(uniform(i, x["field"])) / x["weight"]).alias("key"), x["field"].alias("field"), x["leads"].alias("leads"))))
+
+        def chosen(order: Column) -> Column:
+            lead = F.filter(order, lambda x: x["leads"])[0]["field"]
+            draw = uniform(i, F.lit("size")) * F.element_at(harmonic, F.least(F.size(order), F.lit(most)))
+            others = F.transform(F.filter(order, lambda x: x["field"] != lead), lambda x: x["field"])
+            return F.array_sort(F.concat(F.array(lead), F.slice(others, 1, F.size(F.filter(harmonic, lambda h: h < draw)))))
+
+        return let(keyed, chosen)
+
+    pool = records.withColumn("__pool", F.filter(known, lambda x: F.coalesce(F.array_contains("fields_present", x["field"]), F.lit(False)))).where(F.exists("__pool", lambda x: x["leads"]))
+    sets = F.slice(F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(tries * variants_)), one_try)), 1, variants_)
+    return pool.select("file_name", "client_type", F.posexplode(sets).alias("combination", "fields"))
 
 
 def with_fingerprint(pairs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.keys import chunk_id
 from gleanery.functions.text import let, section_prefix, token_estimate, words
+from gleanery.operators.sizes import blocks, small
 
 # The workflow that a passage names, the first that is found.
 WORKFLOWS = {
@@ -81,36 +83,38 @@ def matches_filter(chunk_workflow: Column, ids: Column, want_workflow: Column, w
     return out & (version == want_version) if version is not None else out
 
 
-def nearest(queries: DataFrame, chunks_: DataFrame, k: int, on: str | None = None, query: str = "query_id", item: str = "item_id", vec: str = "vec", most_queries: int = 20_000) -> DataFrame:
-    """(query, item, score, rank): the k chunks of highest cosine for each query, in the same partition value `on` if given; ties to the smaller item. Up to most_queries queries are broadcast; more are shuffled on `on`, and without `on` go in blocks of about most_queries. Spark keeps the top k of each task before it ranks."""
-    q = queries.select(F.col(query).alias("__q"), F.col(vec).alias("__qv"), norm(F.col(vec)).alias("__qn"), *([F.col(on).alias("__on")] if on else []))
+def _vector_bytes(df: DataFrame, vec: str) -> int:
+    return 8 * ((df.agg(F.max(F.size(vec))).first()[0] or 0) + 8)
+
+
+def nearest(queries: DataFrame, chunks_: DataFrame, k: int, on: str | None = None, query: str = "query_id", item: str = "item_id", vec: str = "vec", most_queries: int = 20_000, where: Column | None = None) -> DataFrame:
+    """(query, item, score, rank): the k chunks of highest cosine for each query, in the same partition value `on` if given, and of those that `where` lets through, a condition on the other columns of both sides; ties to the smaller item. Queries are broadcast in blocks of at most most_queries and some MB, so chunks are never shuffled, however few values `on` has. Spark keeps the top k of each task before it ranks."""
+    others = [c for c in queries.columns if where is not None and c not in (query, vec, on)]
+    q = queries.select(F.col(query).alias("__q"), F.col(vec).alias("__qv"), norm(F.col(vec)).alias("__qn"), *([F.col(on).alias("__on")] if on else []), *others)
     items = chunks_.withColumn("__n", norm(F.col(vec)))
-    n = q.count()
-    if on:
-        pairs = [items.join(F.broadcast(q) if n <= most_queries else q, F.col(on) == F.col("__on"))]
-    else:
-        blocks = max(1, -(-n // most_queries))
-        pairs = [items.join(F.broadcast(q.where(F.pmod(F.xxhash64("__q"), F.lit(blocks)) == b) if blocks > 1 else q)) for b in range(blocks)]
+    match = where if where is not None else F.lit(True)
+    match = match & (F.col(on) == F.col("__on")) if on else match
     w = Window.partitionBy(query).orderBy(F.desc("score"), item)
     length = F.col("__qn") * F.col("__n")
     score = F.round(F.when(length > 0, dot(F.col("__qv"), F.col(vec)) / length), 6)
+    pairs = [items.join(part, match) for part in blocks(q, "__q", _vector_bytes(queries, vec), most_queries)]
     top = [p.select(F.col("__q").alias(query), item, score.alias("score")).where("score IS NOT NULL").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) for p in pairs]
     return reduce(DataFrame.unionByName, top)
 
 
-def with_fallback(queries: DataFrame, filtered: DataFrame, anywhere: DataFrame, query: str = "query_id") -> DataFrame:
-    """The filtered hits, and for queries without any the unfiltered ones; `strategy` says which."""
-    rest = anywhere.join(filtered.select(query).distinct(), query, "left_anti")
-    return filtered.withColumn("strategy", F.lit("filtered")).unionByName(rest.withColumn("strategy", F.lit("fallback")))
+def with_fallback(queries: DataFrame, filtered: DataFrame, search: Callable[[DataFrame], DataFrame], query: str = "query_id") -> DataFrame:
+    """The filtered hits, and for queries without any those of search(queries without any); `strategy` says which."""
+    rest = queries.join(filtered.select(query).distinct(), query, "left_anti")
+    return filtered.withColumn("strategy", F.lit("filtered")).unionByName(search(rest).withColumn("strategy", F.lit("fallback")))
 
 
 def best_by_hint(hints: DataFrame, chunks_: DataFrame, hint: str = "hint", text: str = "text", chunk: str = "chunk_no") -> DataFrame:
-    """(hint, chunk, score): the chunk that holds most distinct words of a hint, the first among equals; hints without a word in any left out. hints is a dimension table: broadcast."""
+    """(hint, chunk, score): the chunk that holds most distinct words of a hint, the first among equals; hints without a word in any left out. Hints meet all chunks, in blocks."""
     listed = hints.select(hint, F.array_distinct(words(F.lower(hint))).alias("__w"))
-    scored = chunks_.withColumn("__t", F.lower(text)).join(F.broadcast(listed))
-    scored = scored.withColumn("score", F.size(F.filter("__w", lambda w: F.instr(F.col("__t"), w) > 0))).where("score > 0")
+    low = chunks_.withColumn("__t", F.lower(text))
+    scored = [low.join(part).withColumn("score", F.size(F.filter("__w", lambda w: F.instr(F.col("__t"), w) > 0))).where("score > 0").select(hint, chunk, "score") for part in blocks(listed, hint, 200)]
     best = F.max_by(F.struct(chunk, "score"), F.struct("score", F.negative(F.col(chunk))))
-    return scored.groupBy(hint).agg(best.alias("b")).select(hint, f"b.{chunk}", "b.score")
+    return reduce(DataFrame.unionByName, scored).groupBy(hint).agg(best.alias("b")).select(hint, f"b.{chunk}", "b.score")
 
 
 def drift_weight(year: Column, sensitive: Column, timeless: Column) -> Column:
@@ -128,17 +132,17 @@ def known_workflow(c: Column, table: dict[str, str]) -> Column:
 
 
 def best_above(texts: DataFrame, descriptions: DataFrame, floor: float = 0.45, key: str = "text_id", name: str = "field", vec: str = "vec") -> DataFrame:
-    """(key, name, score): the description nearest to each text, from a cosine of `floor` on; the first by name among equals. descriptions is a dimension table: broadcast."""
+    """(key, name, score): the description nearest to each text, from a cosine of `floor` on; the first by name among equals. Descriptions meet all texts, in blocks."""
     d = descriptions.select(F.col(name).alias("__n"), F.col(vec).alias("__v"))
-    scored = texts.join(F.broadcast(d)).withColumn("score", cosine(F.col(vec), F.col("__v"))).where(F.col("score") >= floor)
+    scored = [texts.join(part).select(key, "__n", cosine(F.col(vec), F.col("__v")).alias("score")).where(F.col("score") >= floor) for part in blocks(d, "__n", _vector_bytes(descriptions, vec))]
     best = F.min_by(F.struct(F.col("__n").alias(name), "score"), F.struct(F.negative("score").alias("s"), "__n"))
-    return scored.groupBy(key).agg(best.alias("b")).select(key, f"b.{name}", F.round("b.score", 4).alias("score"))
+    return reduce(DataFrame.unionByName, scored).groupBy(key).agg(best.alias("b")).select(key, f"b.{name}", F.round("b.score", 4).alias("score"))
 
 
 def in_force(cited: DataFrame, regulations: DataFrame, key: str = "doc_id") -> DataFrame:
     """cited(key, fiscal_year, regulation) with `valid`: a regulation that is known and in force by the end of that year."""
     r = regulations.select("regulation", F.col("effective_from").alias("__e"))
-    out = cited.join(F.broadcast(r), "regulation", "left")
+    out = cited.join(small(r), "regulation", "left")
     return out.withColumn("valid", F.coalesce(F.col("__e") <= F.make_date("fiscal_year", F.lit(12), F.lit(31)), F.lit(False))).select(key, "fiscal_year", "regulation", "valid")
 
 

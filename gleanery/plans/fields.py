@@ -349,7 +349,7 @@ def deficiency_exclusions(t):
 
 @query(
     """
-WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS pos, unnest(ls) AS x FROM (SELECT doc_id, list_slice(string_split(text, chr(10)), 1, 9) AS ls FROM documents)),
+WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS pos, unnest(ls) AS x FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)),
 s AS (SELECT *, pos % 3 = 1 AS h, sum((pos % 3 = 1)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS section FROM l WHERE trim(x) <> '')
 SELECT doc_id, section::BIGINT AS section, md5(coalesce(max(x) FILTER (WHERE h), '')) AS heading, md5(coalesce(string_agg(x, chr(10) ORDER BY pos) FILTER (WHERE NOT h), '')) AS content FROM s GROUP BY doc_id, section
 """

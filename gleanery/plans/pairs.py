@@ -44,7 +44,7 @@ def _exports(t):
 @query(
     """
 WITH d AS (SELECT doc_id, sha256(text) AS h, doc_id % 10 / 10 AS e, doc_id % 7 / 7.0::DOUBLE AS r, coalesce(quality = 1, false) AS ok, doc_id % 3 AS s, 'f' || doc_id % 50 AS fp FROM documents LEFT JOIN labels USING (doc_id)),
-w AS (SELECT DISTINCT h FROM d WHERE doc_id % 20 = 3), i AS (SELECT DISTINCT fp FROM d WHERE doc_id < 40)
+w AS (SELECT DISTINCT h FROM d WHERE doc_id % 20 = 3), i AS (SELECT DISTINCT fp FROM d WHERE doc_id % 20 = 7)
 SELECT doc_id, i.fp IS NOT NULL AS structural_duplicate, CASE WHEN e < 0.5 THEN 'extraction_gate' WHEN r < 0.7 THEN 'review_confidence' WHEN NOT ok THEN 'auditor_approved' WHEN w.h IS NOT NULL THEN 'no_duplicate' WHEN s = 2 THEN 'stage_isolation' ELSE 'ok' END AS gate FROM d LEFT JOIN w ON d.h = w.h LEFT JOIN i ON d.fp = i.fp
 """
 )
@@ -52,7 +52,7 @@ def gate_first_failure(t):
     """The first gate that stops a pair, with duplicates of structure flagged."""
     rows = _exports(t)
     written = rows.where("doc_id % 20 = 3").select("pair_hash")
-    index = rows.where("doc_id < 40").select("fingerprint", "pair_hash", F.col("doc_id").alias("pos"))
+    index = rows.where("doc_id % 20 = 7").select("fingerprint", "pair_hash", F.col("doc_id").alias("pos"))
     return pairs.export_gate(rows, written, index).select("doc_id", "structural_duplicate", "gate")
 
 
@@ -84,7 +84,7 @@ def line_redaction(t):
     return out.select("doc_id", "removed", F.md5("text").alias("text"))
 
 
-@query("SELECT l_orderkey, string_agg(status, ',' ORDER BY l_linenumber, s, status) AS statuses FROM (SELECT l_orderkey, l_linenumber, l_suppkey AS s, CASE WHEN l_linenumber = 1 THEN 'UNANCHORED' WHEN l_partkey % 3 = 0 AND l_suppkey % 2 = 0 THEN 'UNANCHORED' WHEN l_partkey % 3 = 0 THEN 'MISANCHORED' WHEN l_partkey % 3 = 1 AND l_linenumber % 2 = 0 THEN 'HALLUCINATED' WHEN l_partkey % 3 = 1 THEN 'VALID' ELSE 'UNANCHORED' END AS status FROM lineitem WHERE l_orderkey % 10 = 0) GROUP BY l_orderkey")
+@query("SELECT l_orderkey, string_agg(status, ',' ORDER BY l_linenumber, s, status) AS statuses FROM (SELECT l_orderkey, l_linenumber, l_suppkey AS s, CASE WHEN l_linenumber = 1 THEN 'UNANCHORED' WHEN l_partkey % 3 = 0 AND l_suppkey % 2 = 0 THEN 'UNANCHORED' WHEN l_partkey % 3 = 0 THEN 'MISANCHORED' WHEN l_partkey % 3 = 1 AND l_linenumber % 2 = 0 THEN 'HALLUCINATED' WHEN l_partkey % 3 = 1 THEN 'VALID' ELSE 'UNANCHORED' END AS status FROM lineitem) GROUP BY l_orderkey")
 def claim_status(t):
     """What each numbered claim of a completion rests on."""
     li = t.lineitem.select(F.col("l_orderkey").alias("pair_id"), F.struct("l_linenumber", "l_suppkey", "l_partkey").alias("idx"), "l_linenumber", "l_partkey", "l_suppkey").dropDuplicates(["pair_id", "idx"])

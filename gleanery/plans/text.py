@@ -39,7 +39,7 @@ def redaction_summary(t):
     ein = F.concat(F.lpad((n % 100).cast("string"), 2, "0"), F.lit("-"), F.lpad((n % 10000000).cast("string"), 7, "0"))
     ssn = F.concat(F.lpad((n % 1000).cast("string"), 3, "0"), F.lit("-12-"), F.lpad((n % 10000).cast("string"), 4, "0"))
     docs = t.documents.select("lang", F.concat("text", F.lit("\nEIN "), ein, F.lit(" SSN "), ssn).alias("text"))
-    docs = docs.select("lang", redact.redactions(F.col("text"), rules).alias("r"), F.length(redact.scrubbed(F.col("text"), rules)).alias("left"))
+    docs = docs.select("lang", redact.redacted(F.col("text"), rules).alias("x")).select("lang", F.col("x.counts").alias("r"), F.length("x.text").alias("left"))
     count = lambda k: F.sum(F.coalesce(F.try_element_at("r", F.lit(k)), F.lit(0))).cast("long").alias(k.lower())
     return docs.groupBy("lang").agg(F.count("*").alias("documents"), count("EIN"), count("SSN"), count("EMAIL"), count("PHONE"), F.sum("left").cast("long").alias("chars_left"))
 
@@ -47,7 +47,7 @@ def redaction_summary(t):
 @query(
     r"""
 WITH c AS (SELECT c_custkey, 'Report for ' || substr(s_name, 1, 1) || lower(substr(s_name, 2, 7)) || ' Riverside ' || ['Foundation', 'LLC', 'School District', 'works'][c_custkey % 4 + 1] || ' of ' || c_name AS t
- FROM customer JOIN supplier ON s_suppkey = c_custkey % 10 + 1)
+ FROM customer JOIN supplier ON s_suppkey = c_custkey % (SELECT max(s_suppkey) FROM supplier) + 1)
 SELECT c_custkey, regexp_replace(t, '\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:Inc\.|LLC|Corp\.|L\.P\.|LLP|County|City of|Township of|School District|Housing Authority|Nonprofit|Foundation|Institute|Project|Center|Program|STEP|Association|Society|Trust|Authority|Agency|Bureau|Department|Coalition)\b', '[CLIENT_ENTITY]', 'g') AS t FROM c
 """
 )
@@ -55,7 +55,8 @@ def entity_scrub(t):
     """Names of organisations by their legal suffix."""
     kind = F.element_at(F.array(*[F.lit(x) for x in ("Foundation", "LLC", "School District", "works")]), (F.col("c_custkey") % 4 + 1).cast("int"))
     who = F.concat(F.substring("s_name", 1, 1), F.lower(F.substring("s_name", 2, 7)))
-    joined = t.customer.join(F.broadcast(t.supplier.where("s_suppkey <= 10")), F.col("s_suppkey") == F.col("c_custkey") % 10 + 1)
+    n = t.supplier.agg(F.max("s_suppkey")).first()[0] or 1
+    joined = t.customer.join(t.supplier, F.col("s_suppkey") == F.col("c_custkey") % n + 1)
     line = F.concat(F.lit("Report for "), who, F.lit(" Riverside "), kind, F.lit(" of "), F.col("c_name"))
     return joined.select("c_custkey", redact.scrubbed(line, (redact.RULES[4],)).alias("t"))
 
