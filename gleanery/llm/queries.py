@@ -7,7 +7,7 @@ from gleanery.llm.language_id import op9_language_id
 from gleanery.llm.line_dedup import op2_line_dedup
 from gleanery.llm.mixing import OP3_SQL, op3_mix
 from gleanery.llm.packing import op5_pack
-from gleanery.llm.rules import OP6_SQL, op6_rules
+from gleanery.llm.rules import ABLATIONS_SQL, OP6_SQL, op6_rules, rule_ablations
 from gleanery.llm.simhash import op7_simhash
 from gleanery.llm.url_filter import op10_url_filter
 from gleanery.llm.warc import OP1_SQL, op1_warc
@@ -24,5 +24,6 @@ QUERIES = {
     "op8_weak_quality": op8_weak_quality,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "rule_ablations": rule_ablations,
 }
-ORACLES = {"op1_warc": OP1_SQL, "op3_mix": OP3_SQL, "op4_bitsliced": OP4_SQL, "op6_rules": OP6_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op3_mix": OP3_SQL, "op4_bitsliced": OP4_SQL, "op6_rules": OP6_SQL, "rule_ablations": ABLATIONS_SQL}

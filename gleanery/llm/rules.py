@@ -133,6 +133,11 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (F.col("failed").bitwiseAND(F.lit(bits(*BASE)).cast("long")) != 0).alias("base_failed"), "kept", "failed")
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v1 does to all documents."""
+    return ablations(ledger(table(spark, sf_dir, "documents")), POLICIES["v1"])
+
+
 _W = r"[^\x20\x09-\x0D]"
 OP6_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
@@ -148,3 +153,8 @@ m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transfor
 f AS (SELECT *, ({" + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES.values()))})::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {bits(*BASE)} <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
 """
+
+ABLATIONS_SQL = f"""
+WITH f AS ({OP6_SQL}), r AS (SELECT unnest([{", ".join(f"'{n}'" for n in RULES)}]) AS rule, unnest([{", ".join(str(bits(n)) for n in RULES)}]) AS bit)
+SELECT rule, count(*) FILTER (WHERE failed & bit <> 0) AS failing, count(*) FILTER (WHERE failed = bit) AS failing_alone, count(*) FILTER (WHERE failed & ~bit = 0) AS kept_without FROM f, r GROUP BY rule
+"""
