@@ -114,6 +114,28 @@ def drafting_ready(c: dict[str, Column]) -> Column:
     return (c["status"] == "success") & c["scrubbed"] & (c["confidence"] >= EXTRACTION)
 
 
+def unlabelled(papers: DataFrame, key: str = "engagement_id", label: str = "workpaper_type") -> DataFrame:
+    """(key, missing, complete): papers without a label by engagement; pairs may be built only of those that are complete."""
+    missing = F.count_if(F.col(label).isNull())
+    return papers.groupBy(key).agg(missing.alias("missing"), (missing == 0).alias("complete"))
+
+
+# Who may rank answers, how alike two of them may be, and how many pairs a run needs.
+RANKERS, MOST_ALIKE, LEAST_PAIRS = ("partner", "senior"), 0.95, 300
+
+
+def preference_pairs(candidates: DataFrame) -> DataFrame:
+    """candidates(feedback_id, reviewer_tier, rating, similarity, pos) that may teach a preference: corrected by a ranker, the two answers not alike; the first of each feedback."""
+    good = candidates.where(F.col("reviewer_tier").isin(*RANKERS) & (F.col("rating") == "corrected") & (F.col("similarity") <= MOST_ALIKE))
+    first = Window.partitionBy("feedback_id").orderBy("pos")
+    return good.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+
+
+def enough_pairs(pairs_: DataFrame, least: int = LEAST_PAIRS) -> DataFrame:
+    """(n, enough): one row."""
+    return pairs_.agg(F.count("*").alias("n"), (F.count("*") >= least).alias("enough"))
+
+
 def variants(records: DataFrame, client_types: tuple[str, ...]) -> DataFrame:
     """A row for each record and client type, with their flags."""
     out = records.withColumn("client_type", F.explode(F.array(*[F.lit(c) for c in client_types])))

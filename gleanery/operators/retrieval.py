@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.keys import chunk_id
-from gleanery.functions.text import let, section_prefix, token_estimate, words
+from gleanery.functions.text import let, section_prefix, strip, token_estimate, words
 from gleanery.operators.sizes import blocks, small
 
 # The workflow that a passage names, the first that is found.
@@ -108,6 +108,11 @@ def with_fallback(queries: DataFrame, filtered: DataFrame, search: Callable[[Dat
     return filtered.withColumn("strategy", F.lit("filtered")).unionByName(search(rest).withColumn("strategy", F.lit("fallback")))
 
 
+def healthy(chunks_: Column, text: Column, strategy: Column) -> Column:
+    """Whether a search found what a prompt can be built on: a chunk or more, with text, and not by a strategy that failed."""
+    return F.coalesce((chunks_ >= 1) & (strip(text) != "") & ~strategy.isin("error", "fallback_empty"), F.lit(False))
+
+
 def best_by_hint(hints: DataFrame, chunks_: DataFrame, hint: str = "hint", text: str = "text", chunk: str = "chunk_no") -> DataFrame:
     """(hint, chunk, score): the chunk that holds most distinct words of a hint, the first among equals; hints without a word in any left out. Hints meet all chunks, in blocks."""
     listed = hints.select(hint, F.array_distinct(words(F.lower(hint))).alias("__w"))

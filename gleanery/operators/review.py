@@ -34,6 +34,14 @@ def pending(queue: DataFrame) -> DataFrame:
     return queue.where("status = 'pending'")
 
 
+def chosen(fields: DataFrame, **wanted: list[str]) -> DataFrame:
+    """The rows whose columns hold one of the wanted values each; an empty list lets all through."""
+    for column, values in wanted.items():
+        if values:
+            fields = fields.where(F.col(column).isin(*values))
+    return fields
+
+
 def exportable(queue: DataFrame, statuses: tuple[str, ...] = ("approved",)) -> DataFrame:
     return queue.where(F.col("status").isin(*statuses))
 

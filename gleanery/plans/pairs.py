@@ -238,38 +238,3 @@ def rule_decision(t):
 @query(f"WITH {_FORM} SELECT f AS field_id, count(*) FILTER (WHERE status = 'resolved') AS resolved, count(*) FILTER (WHERE status = 'needs_input') AS needs_input, count(*) FILTER (WHERE status = 'na') AS na FROM r GROUP BY 1")
 def rule_summary(t):
     return forms.summary(_form(t), "field_id")
-
-
-def _pages(t):
-    """Each document's first nine lines as pages, with what reports hold."""
-    k = F.col("doc_id")
-    report = F.concat(F.lit("Cover\nINDEPENDENT AUDITOR'S REPORT\nTo the Board of Directors\nAcme "), k.cast("string"), F.lit("\nSpringfield, Ohio\nbody"))
-    toc = F.lit("Contents\nINDEPENDENT AUDITOR'S REPORT ..... 3\nTo the Members .......\nJUNE 30, 2023")
-    close = F.lit("Schedule of Federal Awards\nx\nSpringfield\nMarch 3, 2024")
-    return t.documents.select("doc_id", F.posexplode(F.array(toc, report, close)).alias("p", "text")).select("doc_id", (F.col("p") + 1 + F.when(F.col("doc_id") % 2 == 0, 0).otherwise(4)).alias("page"), "text")
-
-
-@query("SELECT doc_id, (CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 6 END)::INTEGER AS page, 'Acme ' || doc_id AS entity, 'Springfield, Ohio' AS city FROM documents")
-def report_blocks(t):
-    """Entity and city of the first auditor's report."""
-    return mining.report_blocks(_pages(t))
-
-
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'JUNE 30, 2023' END AS value, CASE WHEN doc_id % 2 = 0 THEN 0.92 END::DOUBLE AS confidence, 1 AS page FROM documents WHERE doc_id % 2 = 0")
-def fiscal_year_end(t):
-    """The best date of the first pages."""
-    return mining.fiscal_year_end(_pages(t))
-
-
-@query("SELECT doc_id, 'federal' AS target, CASE WHEN doc_id % 2 = 0 THEN 'toc' ELSE 'body' END AS location, (CASE WHEN doc_id % 2 = 0 THEN 3 ELSE 7 END)::INTEGER AS page FROM documents UNION ALL SELECT doc_id, 'opinion', 'toc', (CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 5 END)::INTEGER FROM documents")
-def section_detection(t):
-    """Where sections are found first."""
-    patterns = t.rows("target string, pattern string, pos int", ("federal", "Schedule of Federal Awards", 1), ("opinion", "independent auditor", 2))
-    return forms.detected(_pages(t), patterns)
-
-
-@query("SELECT l_orderkey AS doc_id, q.question, q.row::INTEGER AS row FROM (SELECT DISTINCT l_orderkey FROM lineitem), (VALUES ('a', 0), ('b', 2), ('c', 1)) q(question, row)")
-def question_rows(t):
-    """Each question takes the first free row that begins with its prefix."""
-    rows = t.lineitem.select(F.col("l_orderkey").alias("doc_id")).distinct().select("doc_id", F.posexplode(F.array(*[F.lit(x) for x in ("is the entity new", "other", "is the entity big")])).alias("row", "text"))
-    return forms.prefix_rows(t.rows("question string, prefix string, pos int", ("a", "is the entity", 1), ("b", "is the", 2), ("c", "other", 3), ("d", "none", 4)), rows)

@@ -113,27 +113,6 @@ def merged_rectangles(t):
     return mining.merged_cells(cells, t.nation.select(F.col("n_name").alias("sheet"), F.lit(1).alias("top"), F.lit(1).alias("left"), F.lit(2).alias("bottom"), F.lit(3).alias("right")))
 
 
-@query("SELECT doc_id, coalesce(max(CASE WHEN i = 2 THEN h END), 'none') AS heading FROM (SELECT doc_id, i, 'Note ' || i || ' - Cash' AS h FROM documents, range(1, 3) r(i)) GROUP BY doc_id")
-def note_headings(t):
-    """Pages split at numbered notes."""
-    pages = t.documents.select("doc_id", F.lit(1).alias("page"), F.lit("intro\nNote 1 - Cash\nbody\n\nNote 2 - Cash\nmore").alias("text"))
-    return mining.note_sections(pages).where("section = 2").select("doc_id", "heading")
-
-
-@query("SELECT doc_id, 'March 3, 2024' AS value, 0.85::DOUBLE AS confidence FROM documents")
-def sign_off_dates(t):
-    """The date on a short line near the end of a page."""
-    pages = t.documents.select("doc_id", F.lit(1).alias("page"), F.concat(F.lit("On May 1, 2020 this was a long line of text and no sign-off at all\n" + "x\n" * 5), F.lit("Springfield\nMarch 3, 2024\nend")).alias("text"))
-    return mining.sign_off(pages).select("doc_id", "value", "confidence")
-
-
-@query("SELECT doc_id, 'ACME ' || doc_id AS hint FROM documents")
-def header_hints(t):
-    """The first line in capitals of the first pages."""
-    pages = t.documents.select("doc_id", F.lit(2).alias("page"), F.concat(F.lit("lower\n12\nACME "), F.col("doc_id").cast("string"), F.lit("\nOTHER")).alias("text"))
-    return forms.header_hint(pages)
-
-
 @query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'stage3_firm' ELSE 'stage2_domain' END AS stage, CASE WHEN p_size % 3 = 0 THEN 'b,c,flag' ELSE 'b,flag' END AS uncertain, p_size % 5 = 0 AS ready FROM part")
 def pair_stages(t):
     """Stages, uncertain sections and readiness of records."""

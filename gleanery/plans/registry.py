@@ -14,14 +14,14 @@ class Tables:
     """The tables of one folder, by name."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+        self.spark, self._dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
 
     def rows(self, schema: str, *rows: tuple) -> DataFrame:
         """An inline dimension table."""
-        return self._spark.createDataFrame(list(rows), schema)
+        return self.spark.createDataFrame(list(rows), schema)
 
 
 def query(sql: str | None = None):
