@@ -96,24 +96,41 @@ def flagged_fields(t):
     return scoring.flagged_fields(rows).select("doc_id", F.array_join("flagged", ",").alias("flagged"))
 
 
+_PARTED = r"""
+d AS (SELECT doc_id AS k, lang, text, n_chars % 4 AS m, length(text) AS n, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL AND n_chars IS NOT NULL),
+c AS (SELECT *, CASE WHEN m <> 0 THEN 'ENGAGEMENT TYPE: x' || chr(10) ELSE '' END || CASE WHEN m <> 1 THEN 'FINDINGS:' || chr(10) ELSE '' END
+ || array_to_string(list_transform(l, lambda x, i: CASE WHEN length(x) % 3 = 0 THEN i || '. ' || x || CASE WHEN length(x) % 2 = 0 THEN ' SOP §3.1(a)' ELSE '' END || CASE WHEN length(x) % 5 < 3 THEN ' Severity: low' ELSE '' END ELSE x END), chr(10))
+ || CASE WHEN m <> 2 THEN chr(10) || 'RECOMMENDATION: ' || left(text, 40) ELSE '' END || CASE WHEN n % 7 = 0 THEN ' ensure field completed' ELSE '' END AS t FROM d),
+q AS (SELECT *, len(regexp_extract_all(t, '(?m)^\s*\d+\.\s+.+')) AS lines, contains(t, 'ENGAGEMENT TYPE:')::INT + contains(t, 'FINDINGS:')::INT + contains(t, 'RECOMMENDATION:')::INT AS sections,
+ len(regexp_extract_all(t, '(?i)(?:SOP[\w-]*\s+)?§\s*[A-Za-z0-9]+(?:[.\-][A-Za-z0-9]+)*(?:\([^)]*\))?')) AS cited, len(regexp_extract_all(t, '(?i)Severity:\s*(High|Medium|Low|Informational)')) AS graded,
+ trim(regexp_extract(t, '(?is)RECOMMENDATION:\s*(.+)\z', 1)) AS advice, regexp_matches(t, '(?i)§X\.X|\[Finding label\]|REQUIRES MANUAL COMPLETION|\[add more findings|field X missing|ensure field completed') AS unfilled FROM c),
+s AS (SELECT *, CASE WHEN lines > 0 THEN least(cited / lines, 1.0) WHEN n % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS share_c, CASE WHEN lines > 0 THEN least(graded / lines, 1.0) WHEN n % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS share_s, CASE WHEN contains(lower(advice), lang) THEN 1.0 WHEN advice <> '' THEN 0.5 ELSE 0.0 END::DOUBLE AS client FROM q),
+r AS (SELECT *, round(least(0.30::DOUBLE * sections / 3 + 0.20::DOUBLE * share_c + 0.20::DOUBLE * share_s + 0.20::DOUBLE * client + CASE WHEN unfilled THEN 0.0 ELSE 0.10 END::DOUBLE, 1.0::DOUBLE), 4) AS rubric FROM s)
+"""
+
+
 @query(
-    """
-SELECT k, rubric, round(greatest(0, least(1, g - least(taken, g * 0.2::DOUBLE))), 4) AS final, CASE WHEN k % 5 = 0 THEN 0.35 ELSE round(greatest(0, least(1, rubric - ((k % 3) * 0.05::DOUBLE + least((k % 10) / 10.0::DOUBLE * 0.1::DOUBLE, 0.15::DOUBLE) + CASE WHEN k % 2 = 0 THEN 0.0 ELSE 0.2 END::DOUBLE))), 4) END::DOUBLE AS classified
-FROM (SELECT *, rubric * (0.7::DOUBLE + (k % 4) / 3.0::DOUBLE * 0.3::DOUBLE) AS g, (k % 3) * 0.15::DOUBLE + (k % 2) * 0.1::DOUBLE + (k % 4) * 0.03::DOUBLE + 0.5::DOUBLE * (k % 5) * 0.08::DOUBLE AS taken FROM (SELECT o_orderkey AS k, [1.0, 0.7, 0.3][o_orderkey % 3 + 1]::DOUBLE AS rubric FROM orders))
+    f"""
+WITH {_PARTED} SELECT k, rubric, round(greatest(0, least(1, g - least(taken, g * 0.2::DOUBLE))), 4) AS final, CASE WHEN n % 5 = 0 THEN 0.35 ELSE round(greatest(0, least(1, rubric - ((n % 3) * 0.05::DOUBLE + least((n % 10) / 10.0::DOUBLE * 0.1::DOUBLE, 0.15::DOUBLE) + CASE WHEN sections = 3 THEN 0.0 ELSE 0.2 END::DOUBLE))), 4) END::DOUBLE AS classified
+FROM (SELECT *, rubric * (0.7::DOUBLE + (n % 4) / 3.0::DOUBLE * 0.3::DOUBLE) AS g, (n % 3) * 0.15::DOUBLE + (n % 2) * 0.1::DOUBLE + (n % 4) * 0.03::DOUBLE + 0.5::DOUBLE * (n % 5) * 0.08::DOUBLE AS taken FROM r)
 """
 )
 def completion_scores(t):
-    """Rubric and final scores of completions."""
-    k = F.col("k")
-    texts = (
-        "ENGAGEMENT TYPE: x\nFINDINGS:\n1. a SOP §3.1 Severity: High\n2. b SOP §4 Severity: Low\nRECOMMENDATION: the NPO should act",
-        "ENGAGEMENT TYPE: x\nFINDINGS:\n1. a Severity: High\n2. b [Finding label] SOP §1 Severity: low\nRECOMMENDATION: act",
-        "Nothing to say but ensure field completed. RECOMMENDATION: npo",
-    )
-    text = F.element_at(F.array(*[F.lit(x) for x in texts]), (k % 3 + 1).cast("int"))
-    rows = t.orders.select(F.col("o_orderkey").alias("k")).withColumn("rubric", scoring.rubric(text, F.when(F.col("k") % 3 == 2, 1).otherwise(2), F.lit("NPO")))
-    final = scoring.completion_score(F.col("rubric"), (k % 4) / F.lit(3.0), k % 3, k % 2, k % 4, F.lit(0.5), k % 5)
-    classified = scoring.classified_score(F.col("rubric"), F.when(k % 5 == 0, 1).otherwise(0), k % 3, (k % 10) / F.lit(10.0), k % 2 == 0)
+    """Rubric and final scores of completions made of whole texts."""
+    n, m = F.length("text"), F.col("n_chars") % 4
+
+    def line(x, i):
+        w = F.length(x)
+        made = F.concat((i + 1).cast("string"), F.lit(". "), x, F.when(w % 2 == 0, " SOP §3.1(a)").otherwise(""), F.when(w % 5 < 3, " Severity: low").otherwise(""))
+        return F.when(w % 3 == 0, made).otherwise(x)
+
+    body = F.array_join(F.transform(F.split("text", "\n", -1), line), "\n")
+    whole = F.concat(F.when(m != 0, "ENGAGEMENT TYPE: x\n").otherwise(""), F.when(m != 1, "FINDINGS:\n").otherwise(""), body, F.when(m != 2, F.concat(F.lit("\nRECOMMENDATION: "), F.left("text", F.lit(40)))).otherwise(""), F.when(n % 7 == 0, " ensure field completed").otherwise(""))
+    d = t.documents.where("text IS NOT NULL AND lang IS NOT NULL AND n_chars IS NOT NULL").select(F.col("doc_id").alias("k"), n.alias("n"), "lang", whole.alias("t"))
+    n = F.col("n")
+    rows = d.select("k", "n", F.regexp_count("t", F.lit("ENGAGEMENT TYPE:|FINDINGS:|RECOMMENDATION:")).alias("sections"), scoring.rubric(F.col("t"), F.when(n % 2 == 0, 0).otherwise(2), F.col("lang")).alias("rubric"))
+    final = scoring.completion_score(F.col("rubric"), (n % 4) / F.lit(3.0), n % 3, n % 2, n % 4, F.lit(0.5), n % 5)
+    classified = scoring.classified_score(F.col("rubric"), F.when(n % 5 == 0, 1).otherwise(0), n % 3, (n % 10) / F.lit(10.0), F.col("sections") == 3)
     return rows.select("k", "rubric", final.alias("final"), classified.alias("classified"))
 
 
@@ -379,16 +396,22 @@ def cell_fields(t):
     return mining.cell_fields(first.unionByName(second), names)
 
 
-@query(
-    """
-SELECT l_orderkey AS doc_id, 6::BIGINT AS eligible, (CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE 2 END)::BIGINT AS checked, l_orderkey % 3 = 0 AS incomplete FROM (SELECT DISTINCT l_orderkey FROM lineitem)
-"""
-)
+def _ticked(t):
+    """Orders as tables of questions, a line a row, ticked by what became of it."""
+    yes = F.when(F.col("l_returnflag") == "A", "☒").when(F.col("l_returnflag") == "R", " X ").otherwise("")
+    no = F.when(F.col("l_linestatus") == "F", "true").otherwise(" ")
+    row = F.array(F.concat(F.lit("Is it "), "l_returnflag", F.lit("? (line "), F.col("l_linenumber").cast("string"), F.lit(")")), yes, no)
+    rows = t.lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", row.alias("r")))).alias("x"))
+    return rows.select("doc_id", F.lit(0).alias("table"), F.array(F.lit("Question"), F.lit("Yes"), F.lit("No")).alias("headers"), F.transform("x", lambda s: s["r"]).alias("rows"))
+
+
+@query("SELECT l_orderkey AS doc_id, count(*) + 1 AS eligible, count(*) FILTER (WHERE l_returnflag IN ('A', 'R') OR l_linestatus = 'F') AS checked, count(*) + 1 >= 5 AND count(*) FILTER (WHERE l_returnflag IN ('A', 'R') OR l_linestatus = 'F') = 0 AS incomplete FROM lineitem GROUP BY 1")
 def checkbox_forms(t):
     """Yes and No columns: how many questions, how many answered."""
-    tick = F.when(F.col("o") % 3 == 0, "").otherwise("☒")
-    row = lambda q, y, n: F.array(F.lit(q), y, n)
-    empty = F.lit("")
-    rows = F.array(row("Q1", tick, empty), row("Q2", empty, tick), row("Q3", empty, empty), row("Q4", empty, empty), row("Q5", empty, empty))
-    tables = t.lineitem.select(F.col("l_orderkey").alias("o")).distinct().select(F.col("o").alias("doc_id"), F.lit(0).alias("table"), F.array(F.lit("Question"), F.lit("Yes"), F.lit("No")).alias("headers"), rows.alias("rows"))
-    return mining.checkbox_completion(tables)
+    return mining.checkbox_completion(_ticked(t))
+
+
+@query("WITH x AS (SELECT l_orderkey AS doc_id, CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'new' END AS canonical, CASE WHEN l_returnflag IN ('A', 'R') THEN 'Yes' WHEN l_linestatus = 'F' THEN 'No' END AS answer, l_linenumber, l_partkey, l_suppkey FROM lineitem) SELECT doc_id, canonical, arg_min(answer, (l_linenumber, l_partkey, l_suppkey)) AS answer FROM x WHERE canonical IS NOT NULL AND answer IS NOT NULL GROUP BY 1, 2")
+def checkbox_answers(t):
+    """Answers of known questions by the ticked column."""
+    return mining.checkbox_answers(_ticked(t), t.rows("canonical string, variant string, pos int", ("accepted", "is it a", 1), ("new", "is it n", 2)))

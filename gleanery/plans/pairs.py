@@ -56,19 +56,22 @@ def gate_first_failure(t):
     return pairs.export_gate(rows, written, index).select("doc_id", "structural_duplicate", "gate")
 
 
+_SAID = ("see SOP §Q12", "per the Yellow Book", "under 2 CFR 200.514", "as in ET 1.300 x", "Government Auditing Standards, chapter 3 § 2", "per GAS § 3.1", "fine")
+
+
 @query(
-    """
-SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'citation_valid' WHEN o_orderkey % 5 = 0 THEN 'sop_authority' WHEN o_orderkey % 4 = 0 THEN 'evidence_consistent' WHEN o_orderkey % 6 = 1 AND o_orderkey % 2 = 0 THEN 'context_consistent' WHEN o_orderkey % 6 = 1 AND o_orderkey % 7 <> 0 THEN 'context_consistent' WHEN o_orderkey % 6 = 2 AND o_orderkey % 3 <> 0 THEN 'context_consistent' ELSE 'ok' END AS gate FROM orders
+    "WITH d AS (SELECT doc_id, text || ' ' || [" + ", ".join(f"'{x}'" for x in _SAID) + f"""][length(text) % {len(_SAID)} + 1] AS c, text, lang, source, n_chars FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL)
+SELECT doc_id, CASE WHEN {" OR ".join(f"regexp_matches(c, '{p}')" for p in pairs.STALE)} THEN 'citation_valid' WHEN source = 'src3' THEN 'sop_authority' WHEN lang = 'en' AND (contains(lower(text), 'the th') OR contains(lower(text), 'on. an')) THEN 'evidence_consistent'
+ WHEN (n_chars % 2 = 0 AND regexp_matches(c, '{pairs.GOVERNMENT}')) OR (n_chars % 3 <> 0 AND regexp_matches(c, '{pairs.FEDERAL}')) THEN 'context_consistent' ELSE 'ok' END AS gate FROM d
 """
 )
 def final_gate(t):
     """The first reason against a finished pair."""
-    k = F.col("o_orderkey")
-    texts = ("see SOP §Q12", "per the Yellow Book", "under 2 CFR 200.514", "fine", "all SOP §3 good", "ok")
-    text = F.element_at(F.array(*[F.lit(x) for x in texts]), (k % 6 + 1).cast("int"))
-    bad = F.when(k % 5 == 0, F.array(F.lit("ein"))).otherwise(F.array().cast("array<string>"))
-    gate = pairs.final_gate(text, F.lit("The Client Name is Acme"), F.when(k % 4 == 0, "deficient").otherwise("clean"), bad, F.array(F.lit("client name")), k % 7 == 0, k % 3 == 0)
-    return t.orders.select("o_orderkey", gate.alias("gate"))
+    said = F.element_at(F.array(*[F.lit(x) for x in _SAID]), (F.length("text") % len(_SAID) + 1).cast("int"))
+    bad = F.when(F.col("source") == "src3", F.array(F.lit("ein"))).otherwise(F.array().cast("array<string>"))
+    kind = F.when(F.col("lang") == "en", "deficient").otherwise("clean")
+    gate = pairs.final_gate(F.concat("text", F.lit(" "), said), F.col("text"), kind, bad, F.array(F.lit("the th"), F.lit("on. an")), F.col("n_chars") % 2 != 0, F.col("n_chars") % 3 == 0)
+    return t.documents.where("text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL").select("doc_id", gate.alias("gate"))
 
 
 @query(
@@ -208,19 +211,19 @@ def _form(t):
         ("q6", "sop_fixed_plus_manual", None, None, None, None, None, None),
         ("q7", "sop_fixed_plus_lookup", None, None, None, "compliance", "page 3", "none"),
     )
-    k = F.col("c_custkey")
-    answers = F.map_filter(F.create_map(F.lit("q4"), F.when(k % 5 == 0, "Yes").otherwise("No"), F.lit("q5_a"), F.when(k % 7 == 0, "Yes").when(k % 7 == 1, ""), F.lit("q6"), F.when(k % 2 == 0, "seen")), lambda _, v: v.isNotNull())
-    inputs = t.customer.select(k.alias("engagement_id"), F.when(k % 3 == 0, forms.INITIAL).otherwise(forms.RECURRING).alias("engagement_type"), answers.alias("answers"))
-    sections = t.customer.where("c_custkey % 4 = 0").select(k.alias("engagement_id"), F.lit("sefa").alias("target")).unionAll(t.customer.where("c_custkey % 6 = 0").select(k, F.lit("compliance")))
+    k, n, owed = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
+    answers = F.map_filter(F.create_map(F.lit("q4"), F.when(owed < 0, "Yes").otherwise("No"), F.lit("q5_a"), F.when(n < 4, "Yes").when(n < 8, ""), F.lit("q6"), F.when(owed > 5000, F.col("c_name"))), lambda _, v: v.isNotNull())
+    inputs = t.customer.select(k.alias("engagement_id"), F.when(F.col("c_mktsegment") == "BUILDING", forms.INITIAL).otherwise(forms.RECURRING).alias("engagement_type"), answers.alias("answers"))
+    sections = t.customer.where("c_nationkey % 4 = 0").select(k.alias("engagement_id"), F.lit("sefa").alias("target")).unionAll(t.customer.where("c_nationkey > 15").select(k, F.lit("compliance")))
     return forms.resolved(fields, inputs, sections)
 
 
 _FORM = """
-r AS (SELECT k, v.f, v.value, v.status FROM (SELECT c_custkey AS k, c_custkey % 3 = 0 AS ini FROM customer), LATERAL (VALUES ('q1', 'No', 'resolved'), ('q2', CASE WHEN ini THEN 'Yes' ELSE 'N/A' END, CASE WHEN ini THEN 'resolved' ELSE 'na' END),
- ('q3', CASE WHEN ini THEN 'No' WHEN k % 4 = 0 THEN 'Yes' ELSE 'No' END, 'resolved'), ('q4', CASE WHEN k % 5 = 0 THEN 'Yes' ELSE 'No' END, 'resolved'),
- ('q5_a', CASE WHEN k % 7 = 0 THEN 'Yes' END, CASE WHEN k % 7 = 0 THEN 'resolved' ELSE 'needs_input' END),
- ('q6', CASE WHEN NOT ini THEN 'N/A' WHEN k % 2 = 0 THEN 'Yes — seen' ELSE 'Yes (remark required)' END, CASE WHEN NOT ini THEN 'na' WHEN k % 2 = 0 THEN 'resolved' ELSE 'needs_input' END),
- ('q7', CASE WHEN k % 6 = 0 THEN 'Refer: page 3' ELSE 'Refer: none' END, 'resolved')) v(f, value, status))
+r AS (SELECT k, v.f, v.value, v.status FROM (SELECT *, c_custkey AS k, c_mktsegment = 'BUILDING' AS ini FROM customer), LATERAL (VALUES ('q1', 'No', 'resolved'), ('q2', CASE WHEN ini THEN 'Yes' ELSE 'N/A' END, CASE WHEN ini THEN 'resolved' ELSE 'na' END),
+ ('q3', CASE WHEN ini THEN 'No' WHEN c_nationkey % 4 = 0 THEN 'Yes' ELSE 'No' END, 'resolved'), ('q4', CASE WHEN c_acctbal < 0 THEN 'Yes' ELSE 'No' END, 'resolved'),
+ ('q5_a', CASE WHEN c_nationkey < 4 THEN 'Yes' END, CASE WHEN c_nationkey < 4 THEN 'resolved' ELSE 'needs_input' END),
+ ('q6', CASE WHEN NOT ini THEN 'N/A' WHEN c_acctbal > 5000 THEN 'Yes — ' || c_name ELSE 'Yes (remark required)' END, CASE WHEN NOT ini THEN 'na' WHEN c_acctbal > 5000 THEN 'resolved' ELSE 'needs_input' END),
+ ('q7', CASE WHEN c_nationkey > 15 THEN 'Refer: page 3' ELSE 'Refer: none' END, 'resolved')) v(f, value, status))
 """
 
 
@@ -230,7 +233,7 @@ def rule_engine(t):
     return _form(t).select("engagement_id", "field_id", "value", "status")
 
 
-@query("SELECT c_custkey AS engagement_id, CASE WHEN c_custkey % 5 = 0 OR c_custkey % 7 = 0 THEN 'DO NOT ACCEPT / CONTINUE' ELSE 'ACCEPT / CONTINUE' END AS value, CASE WHEN c_custkey % 5 = 0 THEN 'q4' WHEN c_custkey % 7 = 0 THEN 'q5_a' END AS blocker FROM customer")
+@query("SELECT c_custkey AS engagement_id, CASE WHEN c_acctbal < 0 OR c_nationkey < 4 THEN 'DO NOT ACCEPT / CONTINUE' ELSE 'ACCEPT / CONTINUE' END AS value, CASE WHEN c_acctbal < 0 THEN 'q4' WHEN c_nationkey < 4 THEN 'q5_a' END AS blocker FROM customer")
 def rule_decision(t):
     return forms.decision(_form(t))
 

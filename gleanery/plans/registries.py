@@ -83,15 +83,6 @@ def needs_model(t):
     return scoring.needs_model(slots).select("o_orderkey", F.lit(True).alias("weak"))
 
 
-@query("SELECT l_orderkey AS doc_id, canonical, answer FROM (SELECT DISTINCT l_orderkey FROM lineitem), (VALUES ('recurring', 'Yes'), ('independence', 'No')) x(canonical, answer)")
-def checkbox_answers(t):
-    """Answers of known questions by the ticked column."""
-    ids = t.lineitem.select(F.col("l_orderkey").alias("doc_id")).distinct()
-    row = lambda *xs: F.array(*[F.lit(x) for x in xs])
-    tables = ids.select("doc_id", F.lit(0).alias("table"), row("Question", "Yes", "No").alias("headers"), F.array(row("Is it recurring? (see x)", "☒", ""), row("Other?", "", ""), row("Independence:", "", "x"), row("Unknown", "x", "")).alias("rows"))
-    return mining.checkbox_answers(tables, t.rows("canonical string, variant string, pos int", ("recurring", "is it recurring", 1), ("independence", "independence", 2)))
-
-
 @query("SELECT doc_id, CASE WHEN p > 0 THEN p - 1 END::INTEGER AS char_start, CASE WHEN p > 0 THEN p - 1 + 4 END::INTEGER AS char_end FROM (SELECT doc_id, strpos(text, 'the ') AS p FROM documents)")
 def located_values(t):
     """Where a value stands in a text."""

@@ -150,12 +150,21 @@ def prose_flags(t):
     return t.documents.select("doc_id", flags.alias("f"), mining.framework(F.concat(lead, "text")).alias("framework")).select("doc_id", get("includes_gagas").alias("gagas"), get("includes_single_audit").alias("single_audit"), "framework")
 
 
-@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE '5' END AS plain, CASE WHEN event_id % 3 = 1 THEN 'Acme' ELSE '' END AS value, event_id % 3 = 1 AS found, event_id % 3 = 1 AS confident FROM events")
+@query(
+    """
+WITH a AS (SELECT event_id, event_id % 5 <> 0 AS whole, event_type = 'view' AS plain, CASE WHEN event_type = 'click' THEN ' ' || user_id ELSE '' END AS v, value > 50 AS sure, props FROM events)
+SELECT event_id, CASE WHEN whole THEN json_extract_string(props, '$.k') END AS k, CASE WHEN whole THEN CASE WHEN plain THEN 'Acme' ELSE trim(v) END ELSE '' END AS value, whole AND (plain OR trim(v) <> '') AS found, whole AND NOT plain AND sure AS confident FROM a
+"""
+)
 def model_answers(t):
-    """Answers of a model: fenced, structured or broken."""
-    raw = F.element_at(F.array(*[F.lit(x) for x in ("sorry {no", '```json\n{"n": 5, "client": {"value": " Acme", "confident": true, "source_hint": "p1"}}\n```', 'Here: {"n": "5", "client": null} ok')]), (F.col("event_id") % 3 + 1).cast("int"))
-    a = t.events.select("event_id", pairs.parsed_answer(raw).alias("a")).select("event_id", F.try_element_at("a", F.lit("n")).alias("plain"), pairs.parsed_field(F.col("a"), "client").alias("c"))
-    return a.select("event_id", "plain", "c.value", "c.found", "c.confident")
+    """Answers of a model around the properties of events: fenced, structured, plain or broken."""
+    e = F.col("event_type")
+    inner = F.to_json(F.struct(F.when(e == "click", F.concat(F.lit(" "), F.col("user_id").cast("string"))).otherwise("").alias("value"), (F.col("value") > 50).alias("confident"), F.lit("p1").alias("source_hint")))
+    client = F.when(e == "view", F.lit('"Acme"')).otherwise(inner)
+    body = F.concat(F.regexp_replace("props", r"\}$", ', "client": '), client, F.when(F.col("event_id") % 5 != 0, "}").otherwise(""))
+    raw = F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(F.concat(F.lit("Here: "), body, F.lit(" ok")))
+    a = t.events.select("event_id", pairs.parsed_answer(raw).alias("a")).select("event_id", F.try_element_at("a", F.lit("k")).alias("k"), pairs.parsed_field(F.col("a"), "client").alias("c"))
+    return a.select("event_id", "k", F.coalesce("c.value", F.lit("")).alias("value"), F.coalesce("c.found", F.lit(False)).alias("found"), F.coalesce("c.confident", F.lit(False)).alias("confident"))
 
 
 @query("SELECT l_orderkey AS pair_id, count(*) AS n, string_agg(n || '. ' || label || sec || chr(10) || '   Severity: ' || sev, chr(10) || chr(10) ORDER BY n) AS findings FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY f) AS n, ['Ein Number', 'Opinion', 'Date Signed'][f + 1] AS label, ['', ' (§Q4(b))', ' (§3.1)'][f + 1] AS sec, ['High', 'Low', 'Medium'][f + 1] AS sev FROM (SELECT DISTINCT l_orderkey, l_partkey % 5 AS f FROM lineitem) WHERE f < 3) GROUP BY 1")
@@ -185,9 +194,17 @@ def framework_confusion(t):
     return observe.monthly_confusion(results, t.customer.select(F.col("c_custkey").alias("engagement_id"), (F.col("c_nationkey") % 3).cast("string").alias("framework")))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'recommendation' ELSE 'condition,cause,effect' END AS missing FROM part")
+_PARTS = ("criteria", "condition", "cause", "effect", "recommendation", "compliant")
+
+
+@query(
+    "WITH a AS (SELECT p_partkey, p_type, " + ", ".join(f"CASE WHEN (p_size >> {i}) & 1 = 1 THEN {v} END AS {n}" for i, (n, v) in enumerate(zip(_PARTS, ("p_name", "''", "p_brand", "p_type", "p_name", "''")))) + """ FROM part)
+SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN concat_ws(',', CASE WHEN coalesce(compliant, '') = '' THEN 'compliant' END, CASE WHEN coalesce(recommendation, '') = '' THEN 'recommendation' END)
+ ELSE concat_ws(',', """ + ", ".join(f"CASE WHEN coalesce({n}, '') = '' THEN '{n}' END" for n in _PARTS[:5]) + ") END AS missing FROM a"
+)
 def required_parts(t):
     """What answers lack."""
-    even = F.col("p_partkey") % 2 == 0
-    answer = F.when(even, F.create_map(F.lit("compliant"), F.lit("true"))).otherwise(F.create_map(F.lit("criteria"), F.lit("c"), F.lit("recommendation"), F.lit("r"), F.lit("cause"), F.lit("")))
-    return t.part.select("p_partkey", F.array_join(forms.missing_required(F.when(even, "compliance_check").otherwise("finding_documentation"), answer), ",").alias("missing"))
+    values = (F.col("p_name"), F.lit(""), F.col("p_brand"), F.col("p_type"), F.col("p_name"), F.lit(""))
+    given = F.create_map(*[x for i, (n, v) in enumerate(zip(_PARTS, values)) for x in (F.lit(n), F.when(F.shiftright("p_size", i).bitwiseAND(F.lit(1)) == 1, v))])
+    task = F.when(F.col("p_type") == "ECONOMY", "compliance_check").otherwise("finding_documentation")
+    return t.part.select("p_partkey", F.array_join(forms.missing_required(task, given), ",").alias("missing"))
