@@ -170,16 +170,28 @@ def inserted(have: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return have.unionByName(new.dropDuplicates([key]).join(have.select(key), key, "left_anti"))
 
 
+def shingle_sets(docs: DataFrame, key: str, text: str = "text", size: int = 5) -> DataFrame:
+    """(key, s): the sorted distinct hashes of the `size`-word shingles of each text; empty for a shorter one."""
+    grams = let(words(F.lower(F.col(text))), lambda w: F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, size), " ")))))
+    return docs.select(key, F.array_sort(F.array_distinct(F.coalesce(grams, F.array().cast("array<bigint>")))).alias("s"))
+
+
+def shingle_classes(docs: DataFrame, key: str, text: str = "text", size: int = 5) -> DataFrame:
+    """(key, class): every text with the smallest key among those of an equal set of shingles, the representative in jaccard_pairs(); null for texts of fewer words."""
+    name = shingle_sets(docs, key, text, size).select(key, F.when(F.size("s") > 0, F.sha2(F.array_join(F.transform("s", lambda x: x.cast("string")), ","), 256)).alias("h"))
+    least = name.where("h IS NOT NULL").groupBy("h").agg(F.min(key).alias("class"))
+    return name.join(least, "h", "left").select(key, "class")
+
+
 def jaccard_pairs(docs: DataFrame, key: str, text: str = "text", size: int = 5, floor: float = 0.85) -> DataFrame:
     """(a, b, similarity) of different texts whose sets of `size`-word shingles have a Jaccard similarity of `floor` or more.
 
     Prefix filtering: in any one order of all shingles, two such sets of n and m share one of the first
     n - ceil(floor * n) + 1, and n and m are within the factor `floor`. The order is by frequency, rare ones first, so
-    that common passages seldom are in a prefix; shingles that one text has alone are never joined on. Copies meet as
-    one. Candidate pairs are verified once each.
+    that common passages seldom are in a prefix; shingles that one text has alone are never joined on. Texts of equal
+    sets meet as one, that of the smallest key; shingle_classes() tells which. Candidate pairs are verified once each.
     """
-    grams = let(words(F.lower(F.col(text))), lambda w: F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, size), " ")))))
-    sets = docs.select(key, F.array_sort(F.array_distinct(F.coalesce(grams, F.array().cast("array<bigint>")))).alias("s")).where("size(s) > 0")
+    sets = shingle_sets(docs, key, text, size).where("size(s) > 0")
     sets = sets.groupBy("s").agg(F.min(key).alias(key))
     each = sets.select(key, F.size("s").alias("n"), F.explode("s").alias("g"))
     counts = each.groupBy("g").agg(F.count("*").alias("c"))
