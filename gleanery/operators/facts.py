@@ -78,6 +78,11 @@ def missing(assembled_: DataFrame, registry: DataFrame) -> Column:
     return F.array_except("registered", "fields_present")
 
 
+def lost(relaxed: Column, strict: Column) -> Column:
+    """Fields that a relaxed run finds and a strict one doesn't."""
+    return F.array_except(relaxed, F.coalesce(strict, F.array().cast("array<string>")))
+
+
 def issues(documents: DataFrame, registry: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, field, issue, hard) of documents(key, field, value, is_bool) against registry(field, field_type, allowed): unknown and missing fields and text in a boolean field are hard, values outside the vocabulary soft."""
     keys = documents.select(key).distinct()

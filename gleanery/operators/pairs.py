@@ -158,6 +158,20 @@ def reconciled(phase1: Column, model: Column, extraction: Column, deficient: Col
     return F.when(deficient, "absent").when(phase1 == "present", "present").when((phase1 == "absent") & (extraction >= 0.70), "absent").otherwise(model)
 
 
+def validation_signals(states: DataFrame, key: str = "pair_id") -> DataFrame:
+    """(key, violations, drift, uncertain_rate, rejection_rate) of states(key, canonical, state, evidence), a row for each field: canonical fields without a state, fields that the registry doesn't know, the share of canonical fields that are uncertain or present without evidence, and the share of present ones without it. Shares of none are 0."""
+    canonical, present = F.coalesce("canonical", F.lit(False)), F.col("state") == "present"
+    refuted = present & ~F.coalesce("evidence", F.lit(False))
+    share = lambda part, whole: F.when(whole == 0, 0.0).otherwise(F.round(part / whole, 4))
+    n = lambda cond: F.count_if(canonical & cond)
+    return states.groupBy(key).agg(
+        n(F.col("state").isNull()).alias("violations"),
+        F.count_if(~canonical).alias("drift"),
+        share(n((F.col("state") == "uncertain") | refuted), F.count_if(canonical)).alias("uncertain_rate"),
+        share(n(refuted), n(present)).alias("rejection_rate"),
+    )
+
+
 def derived_state(states: Column, source: str = "includes_single_audit", derived: str = "includes_gagas") -> Column:
     """A single audit is done under government standards: where the first is present, so is the second, if it is a field at all."""
     return F.when((F.try_element_at(states, F.lit(source)) == "present") & F.map_contains_key(states, derived), F.map_concat(F.map_filter(states, lambda k, _: k != derived), F.create_map(F.lit(derived), F.lit("present")))).otherwise(states)

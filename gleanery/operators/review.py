@@ -34,6 +34,13 @@ def pending(queue: DataFrame) -> DataFrame:
     return queue.where("status = 'pending'")
 
 
+def edited(queue: DataFrame, edits: DataFrame, key: str = "pair_hash") -> DataFrame:
+    """queue with the latest completion of edits(key, pos, completion), and whether there is one. Hashes stay as they were queued."""
+    last = edits.groupBy(key).agg(F.max_by("completion", "pos").alias("__c"), F.lit(True).alias("__e"))
+    out = queue.join(last, key, "left")
+    return out.withColumn("completion", F.coalesce("__c", "completion")).withColumn("edited", F.coalesce("__e", F.lit(False))).drop("__c", "__e")
+
+
 def chosen(fields: DataFrame, **wanted: list[str]) -> DataFrame:
     """The rows whose columns hold one of the wanted values each; an empty list lets all through."""
     for column, values in wanted.items():
