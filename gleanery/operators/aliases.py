@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.keys import next_version, version_key
-from gleanery.operators.sizes import small
+from gleanery.functions.likeness import weighted
+from gleanery.operators.sizes import blocks, small
+from gleanery.shipping import ship
 
 
 def alias_map(aliases: DataFrame) -> DataFrame:
@@ -39,7 +43,7 @@ def mentions(texts: DataFrame, aliases: DataFrame, key: str, text: str = "text",
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """1 - edit distance / longer length; a documented stand-in for weighted-ratio scorers."""
+    """1 - edit distance / longer length."""
     longer = F.greatest(F.length(a), F.length(b))
     return F.when(longer == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / longer)
 
@@ -48,15 +52,24 @@ def token_sorted(c: Column) -> Column:
     return F.array_join(F.array_sort(F.split(F.trim(c), r"\s+")), " ")
 
 
-def proposals(labels: DataFrame, aliases: DataFrame, rejected: DataFrame, label: str = "label", auto: float = 0.90, floor: float = 0.75, weight: float = 0.80) -> DataFrame:
-    """(label, canonical, variant, score, effective, bucket): the nearest variant of each distinct label, scored by the better of the plain and the word-sorted similarity, from `floor` on; the first variant by name wins ties. Rejected pairs (label, canonical) are for manual review; a proposal never renames a field."""
-    names = alias_map(aliases).withColumn("__n", F.length("variant"))
-    score = F.greatest(similarity(F.col("__l"), F.col("variant")), similarity(token_sorted(F.col("__l")), token_sorted(F.col("variant"))) * 0.95)
+def proposals(labels: DataFrame, aliases: DataFrame, rejected: DataFrame, label: str = "label", auto: float = 0.90, floor: float = 0.75, weight: float = 0.80, by_edits: bool = False) -> DataFrame:
+    """(label, canonical, variant, score, effective, bucket): the likest variant of each distinct label, from `floor` on; the first variant by name wins ties. Rejected pairs (label, canonical) are for manual review; a proposal never renames a field.
+
+    The score is the weighted ratio of `functions/likeness.py`; labels meet all variants then, in blocks. by_edits takes
+    the better of the plain and the word-sorted edit similarity instead, which stays in the JVM and meets only variants
+    of a length near the label's.
+    """
+    names = alias_map(aliases)
     own = labels.select(F.col(label).alias("label")).distinct().withColumn("__l", F.lower(F.trim("label")))
-    lengths = F.sequence(F.ceil(F.length("__l") * floor).cast("int"), F.floor(F.length("__l") / floor).cast("int"))  # those beyond differ by too many letters
-    met = own.withColumn("__n", F.explode(lengths)).join(small(names), "__n").withColumn("score", score).where(F.col("score") >= floor)
-    found = met.groupBy("label", "__l").agg(F.max(F.struct("score", F.reverse("variant").alias("__r"), "variant", "canonical")).alias("b"))
-    found = found.select("label", "__l", "b.canonical", "b.variant", "b.score")
+    if by_edits:
+        score = F.greatest(similarity(F.col("__l"), F.col("variant")), similarity(token_sorted(F.col("__l")), token_sorted(F.col("variant"))) * 0.95)
+        lengths = F.sequence(F.ceil(F.length("__l") * floor).cast("int"), F.floor(F.length("__l") / floor).cast("int"))  # those beyond differ by too many letters
+        met = own.withColumn("__n", F.explode(lengths)).join(small(names.withColumn("__n", F.length("variant"))), "__n").withColumn("score", score)
+    else:
+        ship(labels.sparkSession)
+        met = reduce(DataFrame.unionByName, [own.join(part) for part in blocks(names, "variant", 200)]).withColumn("score", weighted(F.col("__l"), F.col("variant")))
+    best = F.min_by(F.struct("canonical", "variant", "score"), F.struct(F.negative("score").alias("s"), "variant"))
+    found = met.where(F.col("score") >= floor).groupBy("label", "__l").agg(best.alias("b")).select("label", "__l", "b.canonical", "b.variant", "b.score")
     known = rejected.select(F.lower(F.trim("label")).alias("__l"), "canonical", F.lit(True).alias("__no")).distinct()
     out = found.join(small(known), ["__l", "canonical"], "left")
     bucket = F.when(F.col("__no"), "manual_review").when(F.col("score") >= auto, "high_confidence").otherwise("quick_confirm")

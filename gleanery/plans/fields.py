@@ -183,7 +183,7 @@ def alias_mentions(t):
 WITH m AS (SELECT lower(trim(variant)) AS v, arg_max(canonical, pos) AS c FROM {_NAMES} GROUP BY 1),
 l AS (SELECT DISTINCT lower(n_name) || ['', 'x', 's y'][n_nationkey % 3 + 1] AS label FROM nation),
 s AS (SELECT label, v, c, greatest(1 - levenshtein(label, v) / greatest(length(label), length(v)), (1 - levenshtein(array_to_string(list_sort(string_split(label, ' ')), ' '), array_to_string(list_sort(string_split(v, ' ')), ' ')) / greatest(length(label), length(v))) * 0.95::DOUBLE) AS score FROM l, m),
-b AS (SELECT label, arg_max(c, (score, reverse(v))) AS canonical, arg_max(v, (score, reverse(v))) AS variant, max(score) AS score FROM s GROUP BY label HAVING max(score) >= 0.75)
+b AS (SELECT label, arg_min(c, (-score, v)) AS canonical, arg_min(v, (-score, v)) AS variant, max(score) AS score FROM s GROUP BY label HAVING max(score) >= 0.75)
 SELECT label, canonical, variant, round(score, 4) AS score, round(score * 0.8::DOUBLE, 4) AS effective, CASE WHEN canonical = 'NATION_3' THEN 'manual_review' WHEN score >= 0.9 THEN 'high_confidence' ELSE 'quick_confirm' END AS bucket FROM b
 """
 )
@@ -192,7 +192,22 @@ def alias_proposals(t):
     tail = F.element_at(F.array(*[F.lit(x) for x in ("", "x", "s y")]), (F.col("n_nationkey") % 3 + 1).cast("int"))
     labels = t.nation.select(F.concat(F.lower("n_name"), tail).alias("label"))
     rejected = t.nation.where("n_name = 'NATION_3'").select(F.concat(F.lower("n_name"), tail).alias("label"), F.col("n_name").alias("canonical"))
-    return A.proposals(labels, _names(t), rejected)
+    return A.proposals(labels, _names(t), rejected, by_edits=True)
+
+
+@query()
+def weighted_alias_proposals(t):
+    """The likest alias of labels of the kind that forms have, by the weighted ratio; its test holds it against plain definitions."""
+    k = F.col("p_partkey")
+    label = F.when(k % 3 == 0, F.concat("p_type", F.lit(" "), "p_name")).when(k % 3 == 1, F.concat("p_name", F.lit("s"))).otherwise(F.concat(F.lit("the "), F.upper("p_name"), F.lit(" of this paper")))
+    names = t.part.select(F.lower("p_brand").alias("canonical"), F.col("p_name").alias("variant"), F.col("p_partkey").alias("pos"))
+    return A.proposals(t.part.select(label.alias("label")), names, t.rows("label string, canonical string"))
+
+
+@query("SELECT l_orderkey AS label, arg_min(l_linenumber, (-l_quantity, l_linenumber)) AS unit_pos, max(l_quantity) AS effective FROM lineitem GROUP BY 1")
+def compound_labels(t):
+    """The best match over the parts of a label; the first part wins ties."""
+    return A.best_unit(t.lineitem.select(F.col("l_orderkey").alias("label"), F.col("l_linenumber").alias("unit_pos"), F.col("l_quantity").alias("effective")))
 
 
 @query(
