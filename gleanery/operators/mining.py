@@ -258,6 +258,24 @@ def looks_like_value(cell: Column, labels: Column) -> Column:
     return (t != "") & ~F.array_contains(labels, F.lower(t)) & ~t.endswith(":") & ~F.lower(t).isin("true", "false")
 
 
+def continued(rows: DataFrame, labels: Column, key: str = "doc_id") -> DataFrame:
+    """rows(key, table, row, cells) in which a label without a value takes the first cell of the next row as its value, if that may be one and has none beside it; the row it comes from goes, so it is no label itself. Tables whose first row names yes and no, or has one cell, stay as they are. Where several rows in a run could, every other one does, from the first."""
+    w = Window.partitionBy(key, "table").orderBy("row")
+    at = lambda i: strip(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
+    first = F.first("cells").over(w)
+    low = F.transform(first, lambda x: F.lower(strip(F.coalesce(x, F.lit("")))))
+    plain = (F.size(first) >= 2) & ~(F.array_contains(low, "yes") & F.array_contains(low, "no"))
+    out = rows.withColumn("__l", at(0)).withColumn("__v", at(1)).withColumn("__p", plain).withColumn("__n", F.row_number().over(w))
+    below = F.lead("__l").over(w)
+    may = F.coalesce(F.col("__p") & (F.col("__l") != "") & (F.col("__v") == "") & (F.lead("__v").over(w) == "") & looks_like_value(below, labels), F.lit(False))
+    out = out.withColumn("__below", below).withColumn("__may", may)
+    before = F.coalesce(F.max(F.when(~F.col("__may"), F.col("__n"))).over(w), F.lit(0))  # the last row that can't
+    out = out.withColumn("__takes", F.col("__may") & ((F.col("__n") - before) % 2 == 1))
+    out = out.withColumn("__gone", F.coalesce(F.lag("__takes").over(w), F.lit(False))).where("NOT __gone")
+    merged = F.concat(F.slice("cells", 1, 1), F.array("__below"), F.slice("cells", 3, F.greatest(F.size("cells"), F.lit(1))))
+    return out.withColumn("cells", F.when(F.col("__takes"), merged).otherwise(F.col("cells"))).drop("__l", "__v", "__p", "__n", "__below", "__may", "__takes", "__gone")
+
+
 def heading(text: Column) -> Column:
     """A page's first line, if it is in capitals."""
     first = F.trim(F.substring_index(F.trim(text), "\n", 1))

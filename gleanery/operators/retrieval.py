@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.keys import chunk_id
 from gleanery.functions.text import let, section_prefix, strip, token_estimate, words
 from gleanery.operators.sizes import blocks, small
+from gleanery.shipping import ship
 
 # The workflow that a passage names, the first that is found.
 WORKFLOWS = {
@@ -113,6 +114,34 @@ def healthy(chunks_: Column, text: Column, strategy: Column) -> Column:
     return F.coalesce((chunks_ >= 1) & (strip(text) != "") & ~strategy.isin("error", "fallback_empty"), F.lit(False))
 
 
+#: Texts that an embedder takes at once.
+EMBED_BATCH = 32
+
+
+def embedded(chunks_: DataFrame, embed: Callable[[list[str]], list[list[float]]], key: str = "chunk_id", text: str = "text", batch: int = EMBED_BATCH) -> DataFrame:
+    """(key, vector, error): what embed makes of the texts, some at a time. A batch that fails leaves an error and no vector in its rows, and the others go on; texts without a word aren't sent and have neither."""
+    def run(frames):
+        import pandas as pd
+
+        for pdf in frames:
+            out = [(k, None, None) for k, t in zip(pdf["k"], pdf["t"]) if not (t or "").strip()]
+            sent = [(k, t) for k, t in zip(pdf["k"], pdf["t"]) if (t or "").strip()]
+            for i in range(0, len(sent), batch):
+                part = sent[i : i + batch]
+                try:
+                    vectors = embed([t for _, t in part])
+                    if len(vectors) != len(part):
+                        raise ValueError(f"{len(vectors)} vectors for {len(part)} texts")
+                    out += [(k, [float(x) for x in v], None) for (k, _), v in zip(part, vectors)]
+                except Exception as e:  # whatever a service may raise
+                    out += [(k, None, f"{type(e).__name__}: {e}") for k, _ in part]
+            yield pd.DataFrame(out, columns=[key, "vector", "error"])
+
+    ship(chunks_.sparkSession)
+    kind = chunks_.schema[key].dataType.simpleString()
+    return chunks_.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"{key} {kind}, vector array<double>, error string")
+
+
 def best_by_hint(hints: DataFrame, chunks_: DataFrame, hint: str = "hint", text: str = "text", chunk: str = "chunk_no") -> DataFrame:
     """(hint, chunk, score): the chunk that holds most distinct words of a hint, the first among equals; hints without a word in any left out. Hints meet all chunks, in blocks."""
     listed = hints.select(hint, F.array_distinct(words(F.lower(hint))).alias("__w"))

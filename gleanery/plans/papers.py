@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import zlib
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import keys
 from gleanery.operators import authority, facts, forms, mining, pairs, retrieval, review
 from gleanery.plans import pairs as pair_plans
+from gleanery.plans.intake import document
 from gleanery.plans.registry import query
 from gleanery.plans.review_pairs import Dimensions, review_pairs
 from gleanery.shipping import ship
-from gleanery.sources import files
+from gleanery.sources import files, scratch
 
 LINES = 40
 
@@ -199,3 +201,50 @@ def validation_signals(t):
     flag = F.col("l_returnflag")
     state = F.when(F.col("l_discount") > 0, F.when(flag == "A", "present").when(flag == "N", "absent").otherwise("uncertain"))
     return pairs.validation_signals(t.lineitem.select("l_orderkey", (F.col("l_linenumber") <= 5).alias("canonical"), state.alias("state"), (F.col("l_quantity") > 20).alias("evidence")), "l_orderkey")
+
+
+@query(
+    """
+WITH c AS (SELECT l_orderkey, row_number() OVER w AS row, CASE WHEN l_quantity % 3 = 0 THEN l_returnflag || ':' WHEN l_quantity % 3 = 1 THEN l_linestatus ELSE 'x' || l_linenumber END AS l, CASE WHEN l_partkey % 4 = 0 THEN 'v' ELSE '' END AS v FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity)),
+m AS (SELECT *, lead(l) OVER w AS below, coalesce(v = '' AND lead(v) OVER w = '' AND NOT ends_with(lead(l) OVER w, ':') AND lead(l) OVER w <> 'x2', false) AS may FROM c WINDOW w AS (PARTITION BY l_orderkey ORDER BY row)),
+r AS (SELECT *, may AND (row - coalesce(max(row) FILTER (WHERE NOT may) OVER (PARTITION BY l_orderkey ORDER BY row), 0)) % 2 = 1 AS takes FROM m)
+SELECT l_orderkey, row, l || '|' || CASE WHEN takes THEN below ELSE v END AS cells FROM (SELECT *, lag(takes, 1, false) OVER (PARTITION BY l_orderkey ORDER BY row) AS gone FROM r) WHERE NOT gone
+"""
+)
+def continued_rows(t):
+    """Rows of tables with the values that stand below their labels."""
+    q = F.col("l_quantity")
+    label = F.when(q % 3 == 0, F.concat("l_returnflag", F.lit(":"))).when(q % 3 == 1, F.col("l_linestatus")).otherwise(F.concat(F.lit("x"), F.col("l_linenumber").cast("string")))
+    row = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
+    rows = t.lineitem.select("l_orderkey", F.lit(0).alias("table"), row.alias("row"), F.array(label, F.when(F.col("l_partkey") % 4 == 0, "v").otherwise("")).alias("cells"))
+    return mining.continued(rows, F.array(F.lit("x2")), "l_orderkey").select("l_orderkey", "row", F.array_join("cells", "|").alias("cells"))
+
+
+@query("SELECT c_custkey, 'Customer | Segment' || chr(10) || 'What is the name? | ' || c_name || chr(10) || 'Which segment | ' || c_mktsegment AS text, 'matched_row' AS segment, 'not_found' AS balance FROM customer")
+def filled_forms(t):
+    """Forms with the answers in their rows, read back, and where each answer went."""
+    template = document("Form", "Please answer.", [["Customer", "Segment"], ["What is the name?", ""], ["Which segment", ""]])
+    asked = [("name", "what is the name", "c_name"), ("segment", "Which  Segment", "c_mktsegment"), ("balance", "account balance", "c_mktsegment")]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name"), F.lit(q).alias("question"), F.col(c).alias("answer")) for i, (n, q, c) in enumerate(asked)]))
+    made = files.filled_forms(t.customer.select("c_custkey", each.alias("x")).select("c_custkey", "x.*"), template, "c_custkey")
+    kept = made.select(F.col("c_custkey").cast("string").alias("path"), "content", F.lit("docx").alias("extension"), "placements")
+    text = files.documents(files.routed(kept)).where("pos = 2")
+    out = text.join(kept.select("path", "placements"), "path")
+    return out.select(F.col("path").cast("long").alias("c_custkey"), "text", F.col("placements")["segment"].alias("segment"), F.col("placements")["balance"].alias("balance"))
+
+
+@query("SELECT n_nationkey, a AS artefact, CASE a WHEN 'prompt' THEN n_name || chr(10) || 'second line' WHEN 'raw_output' THEN CASE WHEN n_regionkey = 0 THEN '[raw_output not captured]' ELSE n_name END WHEN 'parsed_output' THEN '{\"name\":\"' || n_name || '\"}' ELSE '[gate_failures not captured]' END AS text FROM nation, (VALUES ('prompt'), ('raw_output'), ('parsed_output'), ('gate_failures')) x(a)")
+def failure_bundles(t):
+    """What failed runs leave for those who look into them, written and read back."""
+    path = scratch.folder(t.spark, "bundles")
+    runs = t.nation.select("n_nationkey", F.concat("n_name", F.lit("\nsecond line")).alias("prompt"), F.when(F.col("n_regionkey") == 0, "").otherwise(F.col("n_name")).alias("raw_output"), F.to_json(F.struct(F.col("n_name").alias("name"))).alias("parsed_output"), F.lit(None).cast("string").alias("gate_failures"))
+    files.write_bundles(runs, path, "n_nationkey")
+    back = t.spark.read.text(path, wholetext=True)
+    return back.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "artefact", F.rtrim("value", F.lit("\n")).alias("text"))
+
+
+@query("SELECT doc_id, length(text)::DOUBLE AS chars, (length(text) - length(replace(text, 'e', '')))::DOUBLE AS es FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '\\S')")
+def embedded_chunks(t):
+    """Vectors of texts by an embedder that is passed in; here one of two counts."""
+    out = retrieval.embedded(t.documents.where("text IS NOT NULL"), lambda texts: [[len(x), x.count("e")] for x in texts], "doc_id")
+    return out.where("vector IS NOT NULL").select("doc_id", F.col("vector")[0].alias("chars"), F.col("vector")[1].alias("es"))
