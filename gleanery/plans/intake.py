@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import struct
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from gleanery.operators import pairs, retrieval, review
 from gleanery.plans.registry import query
 from gleanery.shipping import ship
-from gleanery.sources import files, scratch
+from gleanery.sources import files, scratch, xls
 
 _SIGNS = ("504B0304", "25504446", "D0CF11E0", "", "89504E47")
 _ENDS = ("docx", "xlsx", "xls", "csv", "tsv", "json", "jsonl", "pdf", "txt", "md", "doc", "dbf", "odd")
@@ -108,33 +109,97 @@ def document(heading: str, text: str, table: list[list[str]]) -> bytes:
     return _archive(word__document_DOT_xml=f"<w:document {_WORDS}><w:body>{p(heading, 'Heading1')}{p(text)}<w:tbl>{rows}</w:tbl></w:body></w:document>")
 
 
-_BOOK = 50
+def binary_workbook(rows: list[list[str]], merged: str) -> bytes:
+    """The same workbook in the binary format: texts shared, numbers as numbers."""
+    record = lambda n, b: struct.pack("<HH", n, len(b)) + b
+    opened = lambda kind: record(xls.BOF, struct.pack("<HHHHII", 0x0600, kind, 0, 0, 0, 0))
+    shared = sorted({x for r in rows for x in r if x and not x.isdigit()})
+    parts = [struct.pack("<II", len(shared), len(shared))]
+    for x in shared:
+        body = x.encode("utf-16-le")
+        if len(parts[-1]) + 5 > _PART:
+            parts.append(b"")
+        parts[-1] += struct.pack("<HB", len(body) // 2, 1)
+        while body:
+            room = (_PART - len(parts[-1])) // 2 * 2
+            parts[-1], body = parts[-1] + body[:room], body[room:]
+            if body:
+                parts.append(b"\x01")
+    texts = record(xls.SST, parts[0]) + b"".join(record(xls.CONTINUE, p) for p in parts[1:])
+
+    def cell(r: int, c: int, x: str) -> bytes:
+        if not x.isdigit():
+            return record(xls.LABELSST, struct.pack("<HHHI", r, c, 0, shared.index(x)))
+        if int(x) % 2:
+            return record(xls.NUMBER, struct.pack("<HHHd", r, c, 0, int(x)))
+        return record(xls.RK, struct.pack("<HHHI", r, c, 0, int(x) << 2 | 2))
+
+    (left, top), (right, bottom) = ((ord(x[0]) - 65, int(x[1:]) - 1) for x in merged.split(":"))
+    sheet = opened(0x10) + b"".join(cell(r, c, x) for r, row in enumerate(rows) for c, x in enumerate(row) if x) + record(xls.MERGED, struct.pack("<5H", 1, top, bottom, left, right)) + record(xls.EOF, b"")
+    head = lambda *at: opened(5) + b"".join(record(xls.BOUNDSHEET, struct.pack("<IBBBB", place, 0, 0, len(name), 0) + name.encode()) for name, place in zip(("Cover", "Customers"), at)) + texts + record(xls.EOF, b"")
+    size = len(head(0, 0))
+    return _compound(head(size, size) + sheet)
+
+
+_PART = 8224  # bytes of a record at most
+
+
+def _compound(book: bytes) -> bytes:
+    """A compound file with one stream, which lies in the small sectors if it is short."""
+    small = len(book) < 4096
+    blocks = lambda b, n=512: [b[i : i + n].ljust(n, b"\0") for i in range(0, len(b), n)]
+    end, table, unused = 0xFFFFFFFE, 0xFFFFFFFD, 0xFFFFFFFF
+    chain = lambda first, n: [*range(first + 1, first + n), end] if n else []
+    body, minis = blocks(book), len(book) // 64 + 1
+    count = next(k for k in range(1, 110) if k * 128 >= k + 2 + len(body))  # sectors of the table, the folder, small sectors' table, the stream
+    start = count + 2
+    places = [table] * count + [end, end] + chain(start, len(body))
+    entry = lambda name, kind, child, first, n: (name.encode("utf-16-le").ljust(64, b"\0") + struct.pack("<HBB3I", 2 * len(name) + 2, kind, 1, unused, unused, child)).ljust(116, b"\0") + struct.pack("<3I", first, n, 0)
+    root = entry("Root Entry", 5, 1, start if small else end, 512 * len(body) if small else 0)
+    folder = root + entry("Workbook", 2, unused, 0 if small else start, len(book))
+    numbers = lambda xs, n: struct.pack(f"<{n}I", *xs, *[unused] * (n - len(xs)))
+    head = xls.SIGN + bytes(16) + struct.pack("<5H", 0x3E, 3, 0xFFFE, 9, 6) + bytes(10) + struct.pack("<8I", count, count, 0, 4096, count + 1 if small else end, int(small), end, 0) + numbers(range(count), 109)
+    return head + numbers(places, 128 * count) + folder.ljust(512, b"\0") + numbers(chain(0, minis) if small else [], 128) + b"".join(body)
 
 
-@query(
-    f"""
+_BOOK = 50
+
+_BOOK_ROWS = f"""
 WITH c AS (SELECT c_custkey // {_BOOK} AS book, row_number() OVER (PARTITION BY c_custkey // {_BOOK} ORDER BY c_custkey) + 1 AS row, c_name AS a, CASE WHEN c_acctbal < 0 THEN 'Total' ELSE c_mktsegment END AS b, c_custkey::VARCHAR AS k FROM customer),
 m AS (SELECT *, CASE WHEN row = 3 THEN lag(a) OVER (PARTITION BY book ORDER BY row) ELSE a END AS shown FROM c)
 SELECT book, row::INTEGER AS row, shown || '/' || b || '/' || k AS cells, false AS is_header, b = 'Total' AS is_subtotal FROM m UNION ALL SELECT DISTINCT book, 1, 'Name/Kind/Key', true, false FROM c
 """
-)
-def workbook_cells(t):
-    """Rows of workbooks of some dozen customers each: covers left out, merged cells filled, headers and subtotals told apart."""
+
+
+def _book_rows(t, make, extension: str):
+    """The rows that are read from workbooks which `make` writes."""
     ship(t.spark)
 
     def build(pdf):
         import pandas as pd
 
         rows = [["Name", "Kind", "Key"], *([n, k, str(i)] for n, k, i in zip(pdf["name"], pdf["kind"], pdf["c_custkey"]))]
-        return pd.DataFrame({"path": [str(pdf["book"].iloc[0])], "content": [workbook(rows, "A2:A3")]})
+        return pd.DataFrame({"path": [str(pdf["book"].iloc[0])], "content": [make(rows, "A2:A3")]})
 
     kind = F.when(F.col("c_acctbal") < 0, "Total").otherwise(F.col("c_mktsegment"))
     named = t.customer.select(F.floor(F.col("c_custkey") / _BOOK).alias("book"), "c_custkey", F.col("c_name").alias("name"), kind.alias("kind"))
     books = named.groupBy("book").applyInPandas(lambda pdf: build(pdf.sort_values("c_custkey")), "path string, content binary")
-    out = files.workbooks(files.routed(books.withColumn("extension", F.lit("xlsx"))))
+    out = files.workbooks(files.routed(books.withColumn("extension", F.lit(extension))))
     return out.where("error IS NULL").select(F.col("path").cast("long").alias("book"), "row", F.array_join("cells", "/").alias("cells"), "is_header", "is_subtotal")
 
 
+@query(_BOOK_ROWS)
+def workbook_cells(t):
+    """Rows of workbooks of some dozen customers each: covers left out, merged cells filled, headers and subtotals told apart."""
+    return _book_rows(t, workbook, "xlsx")
+
+
+@query(_BOOK_ROWS)
+def binary_workbook_cells(t):
+    """The same of workbooks in the binary format."""
+    return _book_rows(t, binary_workbook, "xls")
+
+
 @query("SELECT p_partkey, x.pos::INTEGER AS pos, x.pos = 0 AS is_heading, x.text FROM part, LATERAL (VALUES (0, p_name), (1, p_type), (2, 'Brand | Size' || chr(10) || p_brand || ' | ' || p_size)) x(pos, text)")
 def document_blocks(t):
     """Headings, paragraphs and tables of word-processing files, one a part."""
