@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.keys import next_version, version_key
 from gleanery.functions.likeness import weighted
-from gleanery.operators.sizes import blocks, small
+from gleanery.operators.sizes import blocks, listed, small
 from gleanery.shipping import ship
 
 
@@ -26,20 +26,27 @@ def resolved(labels: DataFrame, aliases: DataFrame, label: str = "label") -> Dat
 
 
 def longest_contained(texts: DataFrame, aliases: DataFrame, key: str, text: str = "text", least: int = 3) -> DataFrame:
-    """(key, canonical, variant): the longest variant of `least` letters or more that a text contains, the first by name among equals; texts without one left out. Each text is held against an array of all variants, so the texts are neither joined nor shuffled."""
+    """(key, canonical, variant): the longest variant of `least` letters or more that a text contains, the first by name among equals; texts without one left out. Each text is held against an array of all variants, so the texts are neither joined nor shuffled; of more variants than one array may hold, the best of several arrays are shuffled by key."""
     names = alias_map(aliases).where(F.length("variant") >= least)
-    ordered = F.array_sort(F.collect_list(F.struct((-F.length("variant")).alias("l"), "variant", "canonical")))
-    all_ = names.agg(ordered.alias("__a"))
+    found = [_longest_in(texts, part, key, text) for part in listed(names, "variant", F.struct((-F.length("variant")).alias("l"), "variant", "canonical"), "__a")]
+    if len(found) == 1:
+        return found[0]
+    best = F.min_by(F.struct("canonical", "variant"), F.struct((-F.length("variant")).alias("l"), "variant"))
+    return reduce(DataFrame.unionByName, found).groupBy(key).agg(best.alias("b")).select(key, "b.canonical", "b.variant")
+
+
+def _longest_in(texts: DataFrame, variants: DataFrame, key: str, text: str) -> DataFrame:
     hit = F.filter("__a", lambda a: F.instr(F.col("__low"), a["variant"]) > 0)[0]
-    held = texts.withColumn("__low", F.lower(text)).join(F.broadcast(all_)).withColumn("__hit", F.when(F.exists("__a", lambda a: F.instr(F.col("__low"), a["variant"]) > 0), hit))  # __a is one row
+    held = texts.withColumn("__low", F.lower(text)).join(variants).withColumn("__hit", F.when(F.exists("__a", lambda a: F.instr(F.col("__low"), a["variant"]) > 0), hit))  # variants is one row
     return held.where("__hit IS NOT NULL").select(key, F.col("__hit.canonical").alias("canonical"), F.col("__hit.variant").alias("variant"))
 
 
 def mentions(texts: DataFrame, aliases: DataFrame, key: str, text: str = "text", least: int = 3) -> DataFrame:
     """(key, canonical) for each field of which a text has any alias."""
-    names = alias_map(aliases).where(F.length("variant") >= least).agg(F.collect_list(F.struct("variant", "canonical")).alias("__a"))
+    names = alias_map(aliases).where(F.length("variant") >= least)
     found = F.array_distinct(F.transform(F.filter("__a", lambda a: F.instr(F.col("__low"), a["variant"]) > 0), lambda a: a["canonical"]))
-    return texts.withColumn("__low", F.lower(text)).join(F.broadcast(names)).select(key, F.explode(found).alias("canonical"))
+    hits = [texts.withColumn("__low", F.lower(text)).join(part).select(key, F.explode(found).alias("canonical")) for part in listed(names, "variant", F.struct("variant", "canonical"), "__a")]
+    return hits[0] if len(hits) == 1 else reduce(DataFrame.unionByName, hits).distinct()
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -72,3 +72,15 @@ def test_edits_and_signals(spark):
     rows = [("a", True, "present", True), ("a", True, "present", None), ("a", True, None, None), ("a", True, "uncertain", True), ("a", None, "present", True), ("b", False, "absent", False)]
     out = pairs.validation_signals(spark.createDataFrame(rows, "pair_id string, canonical boolean, state string, evidence boolean"))
     assert {r[0]: tuple(r)[1:] for r in out.collect()} == {"a": (1, 1, 0.5, 0.5), "b": (0, 1, 0.0, 0.0)}
+
+
+def test_aliases_in_several_arrays(spark, monkeypatch):
+    from gleanery.operators import aliases, sizes
+
+    names = spark.createDataFrame([(f"c{i % 7}", f"word{i}", i) for i in range(60)], "canonical string, variant string, pos int")
+    texts = spark.createDataFrame([(i, f"has word{i} and WORD{i + 1}") for i in range(50)] + [(99, None), (98, "none")], "k int, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    one = rows(aliases.longest_contained(texts, names, "k")), rows(aliases.mentions(texts, names, "k"))
+    monkeypatch.setattr(sizes.blocks, "__defaults__", (10, sizes.BYTES))
+    assert len(sizes.listed(names, "variant", F.struct("variant"), "__a")) == 6
+    assert (rows(aliases.longest_contained(texts, names, "k")), rows(aliases.mentions(texts, names, "k"))) == one and len(one[0]) == 50
