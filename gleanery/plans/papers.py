@@ -130,7 +130,7 @@ def edited_entries(t):
 
 
 @query(f"WITH {pair_plans._EVENTS} SELECT pair_hash, status FROM q WHERE status IN ('pending', 'approved', 'conditional')")
-def open_entries(t):
+def pending_entries(t):
     """Entries that wait for a decision, and those that may be exported."""
     queue = pair_plans._queue(t)
     return review.pending(queue).select("pair_hash", "status").unionByName(review.exportable(queue, ("approved", "conditional")).select("pair_hash", "status"))
