@@ -1,10 +1,13 @@
-"""Near-duplicates by the Jaccard similarity of sets of word shingles: MinHash buckets give candidates, exact sets decide.
+"""Near-duplicates by the Jaccard similarity of sets of word shingles: SimHash and covering tables give candidates, exact sets decide.
 
 This is the pipeline's form of near-duplicate removal. Fingerprints of 64 bits of two texts of a similarity of .8 differ
-in some ten bits, and a covering for ten bits or more has thousands of tables; see README.
-
-Every text gets BANDS keys of ROWS minima each. Two texts of similarity s share a key but with a chance of
-(1 - s ** ROWS) ** BANDS: 3 in a million at .8, less above. What shares a key is compared by the sets themselves.
+in some ten bits, and a covering for ten bits or more has thousands of tables. So a set gets a longer fingerprint of
+WORDS parts of 32 bits, and each part the 15 covering tables for radius 3, as in simhash.py: two sets meet whenever some
+part differs in 3 bits or less, and in some table mostly beyond. A bit of two sets of a similarity of .8 differs with a
+chance of .15, so a part has a chance of .48 to bring them together, and all of them fail with one of 2 in a million.
+Sets of four shingles and of one more differ in more bits and meet by their four as well.
+Of a bucket those stay together that differ in at most REACH of the WINDOW * 32 bits from their part on, 5 standard
+deviations above what sets of .8 differ in. What is left in a bucket is compared by the sets themselves.
 """
 
 from __future__ import annotations
@@ -19,16 +22,23 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch, bounded, prepare, tidy
 from gleanery.llm.graph import components
-from gleanery.llm.simhash import SEED, one_of_each, word_blocks
+from gleanery.llm.simhash import RADIUS, SEED, covering_masks, one_of_each, word_blocks
 
 SHINGLE = 5
 FLOOR = 0.8
-BANDS, ROWS = 32, 5
+#: Parts of a fingerprint, and how many of them, from its own on, a set shows in the buckets of a part.
+WORDS, WINDOW = 20, 5
+#: In how many bits of a window neighbours in a bucket differ at most.
+REACH = 43
+#: Tables in threes of independent vectors (by index): what all of three fix deals the sets out, so that one row serves three tables.
+THREES = ((0, 1, 3), (2, 4, 7), (5, 6, 8), (9, 10, 11), (12, 13, 14))
+#: Sets that are dealt out at once, and the largest bucket of which all pairs are looked at; in larger ones each set is met once.
+DEALT, PAIRED = 1 << 16, 1024
 #: Members of a bucket that are compared with all others of it at first, and by what factor there are more in each next round.
 PIVOTS, MORE = 1, 8
 _RNG = random.Random(SEED)
-_FLIP = np.array([_RNG.getrandbits(64) for _ in range(BANDS * ROWS)], np.uint64)[:, None]
-_TIMES = np.array([_RNG.getrandbits(64) | 1 for _ in range(BANDS * ROWS)], np.uint64)[:, None]
+_FLIP = np.array([_RNG.getrandbits(64) for _ in range(WORDS // 2)], np.uint64)
+_MASKS = [np.array(covering_masks(RADIUS, SEED + i, 32), np.uint32) for i in range(WORDS)]
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -55,36 +65,144 @@ def name(found: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh64_digest(found.tobytes(), SEED), "big", signed=True)
 
 
-def keys(found: np.ndarray, block: int = 512) -> list[int]:
-    """The bucket of a set in each band; none for an empty one."""
-    import xxhash
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
-    if not len(found):
-        return []
-    least, x = np.full(BANDS * ROWS, 2**64 - 1, np.uint64), found.view(np.uint64)
+def fingerprint(found: np.ndarray, block: int = 255) -> np.ndarray:
+    """SimHash of a set of shingles, in WORDS parts: a bit is 1 if set in over half the hashes."""
+    counts, x = np.zeros(WORDS * 32, np.int64), found.view(np.uint64)[:, None]
     for i in range(0, len(x), block):
-        least = np.minimum(least, ((x[i : i + block] ^ _FLIP) * _TIMES).min(axis=1))
-    return [int.from_bytes(xxhash.xxh64_digest(least[i * ROWS : (i + 1) * ROWS].tobytes(), i), "big", signed=True) for i in range(BANDS)]
+        bits = np.unpackbits(_mixed(x[i : i + block] ^ _FLIP).view(np.uint8), axis=1)
+        counts += bits.sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(x)).view(np.uint32)
 
 
 def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, bands, shingles) of every row: the name of its set, its buckets and the set."""
+    """(doc_id, fp, bits, shingles) of every row: the name of its set, its fingerprint (null for an empty set) and the set."""
 
     def run(batches):
-        longs = pa.list_(pa.int64())
         for b in batches:
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array([name(s) for s in sets], pa.int64()), pa.array([keys(s) for s in sets], longs), pa.array(sets, longs)], ["doc_id", "fp", "bands", "shingles"])
+            bits = [fingerprint(s).tobytes() if len(s) else None for s in sets]
+            yield pa.record_batch([b.column(0), pa.array([name(s) for s in sets], pa.int64()), pa.array(bits, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "fp", "bits", "shingles"])
 
     prepare(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long, bands array<long>, shingles array<long>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long, bits binary, shingles array<long>")
+
+
+def _dealt(fps: np.ndarray, bits: np.ndarray):
+    """(three, split, members) for every part and every three of its tables: the names and windows of the sets that agree on what the three fix."""
+    wide = np.concatenate([bits, bits[:, : WINDOW - 1]], axis=1)
+    for word in range(WORDS):
+        rows = np.concatenate([fps[:, None].view(np.uint32), wide[:, word : word + WINDOW]], axis=1)
+        for i, three in enumerate(THREES):
+            split = bits[:, word] & np.bitwise_and.reduce(_MASKS[word][list(three)])
+            order = np.argsort(split, kind="stable")
+            starts = np.flatnonzero(np.diff(split[order], prepend=split[order[0]] ^ np.uint32(1)))
+            sorted_rows = rows[order]
+            yield word * len(THREES) + i, split[order[starts]], [sorted_rows[s:e].tobytes() for s, e in zip(starts, [*starts[1:], len(order)])]
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=0, dtype=np.uint8) <= REACH
+
+
+def _neighbours(keys: np.ndarray, windows: np.ndarray, paired: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places in sorted keys that have the same components as all pairs of one key within the reach."""
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[0] ^ np.uint32(1)))
+    sizes = np.diff(starts, append=len(keys))
+    ends, of = np.repeat(starts + sizes, sizes), np.repeat(sizes, sizes)
+    a, b, at, step = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.flatnonzero((of > 1) & (of <= paired)), 1
+    while len(at := at[at + step < ends[at]]):
+        near = at[_near(windows[:, at], windows[:, at + step])]
+        a.append(near)
+        b.append(near + step)
+        step += 1
+    for start, size in zip(starts[sizes > paired], sizes[sizes > paired]):
+        left = np.arange(start, start + size)
+        while len(left) > 1:
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                x = queue.pop()
+                near = _near(windows[:, left], windows[:, x, None])
+                found, left = left[near], left[~near]
+                queue.extend(found)
+                a.append(np.full(len(found), x))
+                b.append(found)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _groups(rows: np.ndarray, three: int, paired: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, fp) for the sets that have a neighbour in a bucket of one of three tables; the key is that of the members, so groups that are found again are the same."""
+    fps, windows = np.ascontiguousarray(rows[:, :2]).view(np.int64)[:, 0], np.ascontiguousarray(rows[:, 2:].T)
+    keys, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for table in THREES[three % len(THREES)]:
+        masked = windows[0] & _MASKS[three // len(THREES)][table]
+        order = np.argsort(masked, kind="stable")
+        a, b = _neighbours(masked[order], windows[:, order], paired)
+        if not len(a):
+            continue
+        root, before = np.arange(len(order)), None
+        while before is None or (root != before).any():
+            before, least = root.copy(), np.minimum(root[a], root[b])
+            np.minimum.at(root, a, least)
+            np.minimum.at(root, b, least)
+            root = root[root]
+        some = np.unique(np.concatenate([a, b]))
+        found, total = fps[order[some]], np.zeros(len(order), np.uint64)
+        np.add.at(total, root[some], _mixed(found.view(np.uint64)))
+        keys.append(total[root[some]].view(np.int64))
+        members.append(found)
+    return np.concatenate(keys), np.concatenate(members)
+
+
+def places(found: DataFrame, scratch: Scratch, paired: int = PAIRED) -> DataFrame:
+    """(key, fp): the groups of neighbours in the buckets of the covering tables of found(fp, bits, shingles), and those of sets of four and five shingles, as so few differ in more bits, that hold the same four."""
+
+    def deal(batches):
+        fps, bits, n = [], [], 0
+
+        def dealt():
+            for three, splits, members in _dealt(np.concatenate(fps), np.concatenate(bits)):
+                yield pa.record_batch([pa.array(np.full(len(splits), three, np.int32)), pa.array(splits.astype(np.int64)), pa.array(members, pa.binary())], ["three", "split", "members"])
+
+        for b in batches:
+            if len(b):
+                fps.append(b.column(0).to_numpy(zero_copy_only=False))
+                bits.append(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, WORDS))
+                n += len(b)
+            if n >= DEALT:
+                yield from dealt()
+                fps, bits, n = [], [], 0
+        if n:
+            yield from dealt()
+
+    def meet(batches):
+        for b in batches:
+            for three, members in zip(b.column(0).to_pylist(), b.column(1)):
+                keys, fps = _groups(np.frombuffer(b"".join(members.values.to_pylist()), np.uint32).reshape(-1, WINDOW + 2), three, paired)
+                yield pa.record_batch([pa.array(keys), pa.array(fps)], ["key", "fp"])
+
+    distinct = scratch.keep(found.where("bits IS NOT NULL").groupBy("fp").agg(F.first("bits").alias("bits")), "fingerprints")
+    lists = distinct.mapInArrow(tidy(deal), "three int, split long, members binary").groupBy("three", "split").agg(F.collect_list("members").alias("members"))
+    near = lists.select("three", "members").mapInArrow(tidy(meet), "key long, fp long")
+    few = found.where(F.size("shingles").between(4, 5)).select("fp", "shingles").distinct()
+    left_out = F.when(F.size("shingles") == 4, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(4)))
+    fours = few.select("fp", F.explode(F.transform(left_out, lambda i: F.xxhash64(F.filter("shingles", lambda x, at: at != i)))).alias("key"))
+    shared = fours.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    out = scratch.keep(near.unionAll(fours.join(shared, "key").select("key", "fp")).distinct(), "places")
+    scratch.drop(distinct)
+    return out
 
 
 def _shared_enough(sets: DataFrame, floor: float) -> DataFrame:
-    """(fp, m) of those sets(fp, s) of whose shingles the share `floor` or more, m of them, is in other sets too; no other one can be as alike to any."""
+    """(fp, n, m) of those sets(fp, s) of n shingles of whose shingles the share `floor` or more, m of them, is in other sets too; no other one can be as alike to any."""
     each = sets.select("fp", F.size("s").alias("n"), F.explode("s").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
-    return each.join(common, "g", "left_semi").groupBy("fp", "n").agg(F.count("*").alias("m")).where(F.col("m") >= F.col("n") * floor).select("fp", "m")
+    return each.join(common, "g", "left_semi").groupBy("fp", "n").agg(F.count("*").alias("m")).where(F.col("m") >= F.col("n") * floor)
 
 
 def _most(n, pn, t):
@@ -100,7 +218,7 @@ def _shares(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links(found: DataFrame, scratch: Scratch, floor: float = FLOOR) -> DataFrame:
-    """(a, b) between distinct sets found(fp, bands, shingles), with the same components as all pairs that share a bucket and have a Jaccard similarity of `floor` or more.
+    """(a, b) between distinct sets found(fp, bits, shingles), with the same components as all pairs that share a group of places() and have a Jaccard similarity of `floor` or more.
 
     Sets that have too much of their own to be alike to any are left out. At first each set is compared with one other:
     that of its buckets' centres, the members that share most buckets, which shares most of all; it mostly finds the
@@ -109,9 +227,8 @@ def links(found: DataFrame, scratch: Scratch, floor: float = FLOOR) -> DataFrame
     what each shares with their common centre, and has beside it in common with any other: pairs that can't be alike
     enough by that aren't compared. Buckets are never collected.
     """
-    places = found.select("fp", F.size("shingles").alias("n"), F.explode("bands").alias("key")).distinct()
-    met = scratch.keep(places.join(places.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key"), "places")
-    nodes = scratch.keep(met.groupBy("fp", "n").agg(F.sum("c").alias("degree")), "nodes")
+    met = places(found, scratch)
+    nodes = scratch.keep(met.join(met.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("fp").agg(F.sum("c").alias("degree")), "nodes")
     n_nodes = nodes.count()
     sets = scratch.keep(found.select("fp", "shingles").join(bounded(nodes.select("fp"), n_nodes), "fp", "left_semi").groupBy("fp").agg(F.first("shingles").alias("s")), "sets")
     able = scratch.keep(nodes.join(_shared_enough(sets, floor), "fp"), "able")

@@ -74,11 +74,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long")
 
 
-def covering_masks(radius: int, seed: int) -> list[int]:
-    """Signed 64-bit masks of the tables."""
-    vectors = [1 + i % (2 ** (radius + 1) - 1) for i in range(64)]
+def covering_masks(radius: int, seed: int, width: int = 64) -> list[int]:
+    """Signed 64-bit masks of the tables, for fingerprints of width bits."""
+    vectors = [1 + i % (2 ** (radius + 1) - 1) for i in range(width)]
     random.Random(seed).shuffle(vectors)
-    masks = [sum(1 << i for i in range(64) if (vectors[i] & v).bit_count() & 1) for v in range(1, 2 ** (radius + 1))]
+    masks = [sum(1 << i for i in range(width) if (vectors[i] & v).bit_count() & 1) for v in range(1, 2 ** (radius + 1))]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 

@@ -1,7 +1,12 @@
 import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
 
 import corpus_pipeline as P
 from gleanery.llm import shingles
+from gleanery.llm.common import Scratch
 
 
 def plain(text):
@@ -53,3 +58,54 @@ def test_components_against_all_pairs(spark, monkeypatch):
     out = shingles.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert out.columns == ["doc_id", "text"] and sorted(r["doc_id"] for r in out.collect()) == sorted(set(at))
     assert shingles.keep_one(out.limit(0)).count() == 0
+
+
+def groups(spark, rows, **more):
+    out = defaultdict(set)
+    for r in shingles.places(spark.createDataFrame(rows, "fp long, bits binary, shingles array<long>"), Scratch(spark), **more).collect():
+        out[r["key"]].add(r["fp"])
+    return list(out.values())
+
+
+@pytest.mark.parametrize("paired", [1024, 2])
+def test_simhash_covering_against_all_pairs(spark, paired):
+    rng, rows = np.random.default_rng(5), []
+    flip = lambda words, at, n: words.__setitem__(at, words[at] ^ np.uint32(sum(1 << int(i) for i in rng.choice(32, n, replace=False))))
+    for g in range(60):
+        base, part = rng.integers(0, 2**32, shingles.WORDS, dtype=np.uint32), g % shingles.WORDS
+        rows.append(base)
+        for _ in range(1 + g % 3):  # 3 bits in one part, at most the reach in its window, all others unlike
+            new = rng.integers(0, 2**32, shingles.WORDS, dtype=np.uint32)
+            for i in range(shingles.WINDOW):
+                new[(part + i) % shingles.WORDS] = base[(part + i) % shingles.WORDS]
+                flip(new, (part + i) % shingles.WORDS, 10 if i else 3)
+            rows.append(new)
+    bits = np.array(rows)
+    wide, met = np.concatenate([bits, bits[:, : shingles.WINDOW - 1]], axis=1), set()
+    for a in range(len(bits)):
+        for part in range(shingles.WORDS):
+            near = np.bitwise_count(wide[:, part : part + shingles.WINDOW] ^ wide[a, part : part + shingles.WINDOW]).sum(axis=1) <= shingles.REACH
+            agree = (((bits[:, part] ^ bits[a, part])[:, None] & shingles._MASKS[part]) == 0).any(axis=1)
+            met |= {(a, int(b)) for b in np.flatnonzero(near & agree) if b != a}
+    assert len(met) >= 2 * 120
+    found = groups(spark, [(i, bytearray(b.tobytes()), [1]) for i, b in enumerate(bits)], paired=paired)
+    assert all(any({a, b} <= g for g in found) for a, b in met)
+    assert all(any((a, b) in met for b in g) for g in found for a in g)
+
+
+def test_similar_sets_meet_by_their_fingerprints(spark):
+    rng, rows, pairs = np.random.default_rng(6), [], []
+    for size, shared in ((4, 4), (8, 8), (9, 8), (45, 40), (270, 240)):
+        for _ in range(400 if size < 10 else 100):
+            new = rng.integers(-(2**63), 2**63 - 1, 2 * size + 2, dtype=np.int64)
+            a = new[:size]
+            b = np.concatenate([a[:shared], new[size : size + (shared // 4 if shared == size else size - shared)]])
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows) + i, bytearray(shingles.fingerprint(s).tobytes()), sorted(s.tolist())) for i, s in enumerate((a, b))]
+    found = groups(spark, rows)
+    assert all(alike(set(rows[a][2]), set(rows[b][2])) >= 0.8 for a, b in pairs)
+    at = defaultdict(list)
+    for g in found:
+        for x in g:
+            at[x].append(g)
+    assert [p for p in pairs if not any(p[1] in g for g in at[p[0]])] == []
