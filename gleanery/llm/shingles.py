@@ -7,7 +7,8 @@ part differs in 3 bits or less, and in some table mostly beyond. A bit of two se
 chance of .15, so a part has a chance of .48 to bring them together, and all of them fail with one of 2 in a million.
 Sets of four shingles and of one more differ in more bits and meet by their four as well.
 Of a bucket those stay together that differ in at most REACH of the WINDOW * 32 bits from their part on, 5 standard
-deviations above what sets of .8 differ in. What is left in a bucket is compared by the sets themselves.
+deviations above what sets of .8 differ in. Of what is left in a bucket the sets themselves are compared, but for pairs
+that by what each shares with a common centre can't be alike enough.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import Scratch, bounded, prepare, tidy
@@ -34,8 +35,14 @@ REACH = 43
 THREES = ((0, 1, 3), (2, 4, 7), (5, 6, 8), (9, 10, 11), (12, 13, 14))
 #: Sets that are dealt out at once, and the largest bucket of which all pairs are looked at; in larger ones each set is met once.
 DEALT, PAIRED = 1 << 16, 1024
-#: Members of a bucket that are compared with all others of it at first, and by what factor there are more in each next round.
+#: Pairs of any two components in a bucket that are compared at first, and by what factor there are more in each next round.
 PIVOTS, MORE = 1, 8
+#: Rows that a task gathers from its buckets before it reduces them.
+HELD = 1 << 20
+#: Blocks, a power of 2, in which these rows travel to be reduced over all tasks.
+PARTS = 256
+#: Bins, a power of 2, in which the shingles that a set lacks of its centre are counted.
+BINS = 32
 _RNG = random.Random(SEED)
 _FLIP = np.array([_RNG.getrandbits(64) for _ in range(WORDS // 2)], np.uint64)
 _MASKS = [np.array(covering_masks(RADIUS, SEED + i, 32), np.uint32) for i in range(WORDS)]
@@ -93,11 +100,16 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long, bits binary, shingles array<long>")
 
 
-def _dealt(fps: np.ndarray, bits: np.ndarray):
-    """(three, split, members) for every part and every three of its tables: the names and windows of the sets that agree on what the three fix."""
+def _layout(*more: tuple[str, str]) -> np.dtype:
+    """A row of a bucket: a set's name, its window, and numbers of its own."""
+    return np.dtype([("fp", "i8"), ("window", "u4", (WINDOW,)), *more])
+
+
+def _dealt(bits: np.ndarray, rows: np.ndarray):
+    """(three, split, members) for every part and every three of its tables: the rows, with windows, of the sets that agree on what the three fix."""
     wide = np.concatenate([bits, bits[:, : WINDOW - 1]], axis=1)
     for word in range(WORDS):
-        rows = np.concatenate([fps[:, None].view(np.uint32), wide[:, word : word + WINDOW]], axis=1)
+        rows["window"] = wide[:, word : word + WINDOW]
         for i, three in enumerate(THREES):
             split = bits[:, word] & np.bitwise_and.reduce(_MASKS[word][list(three)])
             order = np.argsort(split, kind="stable")
@@ -135,10 +147,9 @@ def _neighbours(keys: np.ndarray, windows: np.ndarray, paired: int) -> tuple[np.
     return np.concatenate(a), np.concatenate(b)
 
 
-def _groups(rows: np.ndarray, three: int, paired: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, fp) for the sets that have a neighbour in a bucket of one of three tables; the key is that of the members, so groups that are found again are the same."""
-    fps, windows = np.ascontiguousarray(rows[:, :2]).view(np.int64)[:, 0], np.ascontiguousarray(rows[:, 2:].T)
-    keys, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _groups(rows: np.ndarray, three: int, paired: int):
+    """(members, starts) for each of three tables where sets have neighbours: the places of these in rows, group by group, and where each group starts."""
+    windows = np.ascontiguousarray(rows["window"].T)
     for table in THREES[three % len(THREES)]:
         masked = windows[0] & _MASKS[three // len(THREES)][table]
         order = np.argsort(masked, kind="stable")
@@ -152,52 +163,228 @@ def _groups(rows: np.ndarray, three: int, paired: int) -> tuple[np.ndarray, np.n
             np.minimum.at(root, b, least)
             root = root[root]
         some = np.unique(np.concatenate([a, b]))
-        found, total = fps[order[some]], np.zeros(len(order), np.uint64)
-        np.add.at(total, root[some], _mixed(found.view(np.uint64)))
-        keys.append(total[root[some]].view(np.int64))
-        members.append(found)
-    return np.concatenate(keys), np.concatenate(members)
+        some = some[np.argsort(root[some], kind="stable")]
+        yield order[some], np.flatnonzero(np.diff(root[some], prepend=-1))
 
 
-def places(found: DataFrame, scratch: Scratch, paired: int = PAIRED) -> DataFrame:
-    """(key, fp): the groups of neighbours in the buckets of the covering tables of found(fp, bits, shingles), and those of sets of four and five shingles, as so few differ in more bits, that hold the same four."""
+def _met(sets: DataFrame, parts, schema: str, reduce=None, paired: int = PAIRED) -> DataFrame:
+    """The columns that parts gives for an iterator over (rows, groups) of the buckets in a task; sets(fp, bits, ...) are distinct, and what follows are columns of the rows: int, long, or binary of BINS bytes.
+
+    With reduce, which takes and gives columns, a task tells once of what it meets in many buckets, and what several
+    tasks tell of one number in the first column is reduced once more; it travels packed.
+    """
+    layout = _layout(*[(f.name, *{"int": ("i4",), "bigint": ("i8",), "binary": ("u1", (BINS,))}[f.dataType.simpleString()]) for f in sets.schema.fields[2:]])
+    names, kinds = zip(*[c.split() for c in schema.split(", ")])
+    packed = np.dtype([(c, {"long": "i8", "boolean": "?"}[k]) for c, k in zip(names, kinds)])
 
     def deal(batches):
-        fps, bits, n = [], [], 0
+        bits, rows, n = [], [], 0
 
         def dealt():
-            for three, splits, members in _dealt(np.concatenate(fps), np.concatenate(bits)):
+            for three, splits, members in _dealt(np.concatenate(bits), np.concatenate(rows)):
                 yield pa.record_batch([pa.array(np.full(len(splits), three, np.int32)), pa.array(splits.astype(np.int64)), pa.array(members, pa.binary())], ["three", "split", "members"])
 
         for b in batches:
             if len(b):
-                fps.append(b.column(0).to_numpy(zero_copy_only=False))
                 bits.append(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, WORDS))
+                rows.append(np.zeros(len(b), layout))
+                for at, column in zip(("fp", None, *layout.names[2:]), b.columns):
+                    if at:
+                        rows[-1][at] = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS) if layout[at].shape else column.to_numpy(zero_copy_only=False)
                 n += len(b)
             if n >= DEALT:
                 yield from dealt()
-                fps, bits, n = [], [], 0
+                bits, rows, n = [], [], 0
         if n:
             yield from dealt()
 
-    def meet(batches):
+    def buckets(batches):
         for b in batches:
             for three, members in zip(b.column(0).to_pylist(), b.column(1)):
-                keys, fps = _groups(np.frombuffer(b"".join(members.values.to_pylist()), np.uint32).reshape(-1, WINDOW + 2), three, paired)
-                yield pa.record_batch([pa.array(keys), pa.array(fps)], ["key", "fp"])
-
-    distinct = scratch.keep(found.where("bits IS NOT NULL").groupBy("fp").agg(F.first("bits").alias("bits")), "fingerprints")
-    lists = distinct.mapInArrow(tidy(deal), "three int, split long, members binary").groupBy("three", "split").agg(F.collect_list("members").alias("members"))
-    near = lists.select("three", "members").mapInArrow(tidy(meet), "key long, fp long")
+                rows = np.frombuffer(b"".join(members.values.to_pylist()), layout)
+                yield rows, _groups(rows, three, paired)
+
+    def plain(batches):
+        for columns in parts(buckets(batches)):
+            yield pa.record_batch([pa.array(c) for c in columns], list(names))
+
+    def pack(batches):
+        for columns in _reduced(parts(buckets(batches)), reduce):
+            rows, part = np.zeros(len(columns[0]), packed), columns[0] & (PARTS - 1)
+            for c, values in zip(names, columns):
+                rows[c] = values
+            order = np.argsort(part, kind="stable")
+            part, rows = part[order], rows[order]
+            starts = np.flatnonzero(np.diff(part, prepend=-1))
+            blocks = [rows[s:e].tobytes() for s, e in zip(starts, [*starts[1:], len(part)])]
+            yield pa.record_batch([pa.array(part[starts].astype(np.int32)), pa.array(blocks, pa.binary())], ["part", "block"])
+
+    def unpack(batches):
+        for b in batches:
+            for blocks in b.column(0):
+                rows = np.frombuffer(b"".join(blocks.values.to_pylist()), packed)
+                yield pa.record_batch([pa.array(c) for c in reduce(*[np.ascontiguousarray(rows[c]) for c in names])], list(names))
+
+    lists = sets.mapInArrow(tidy(deal), "three int, split long, members binary").groupBy("three", "split").agg(F.collect_list("members").alias("members")).select("three", "members")
+    if not reduce:
+        return lists.mapInArrow(tidy(plain), schema)
+    return lists.mapInArrow(tidy(pack), "part int, block binary").groupBy("part").agg(F.collect_list("block").alias("blocks")).select("blocks").mapInArrow(tidy(unpack), schema)
+
+
+def _reduced(parts, reduce):
+    """The columns of all parts, reduced whenever they are many and at the end."""
+    held, n = [], 0
+    for columns in parts:
+        held.append(columns)
+        n += len(columns[0])
+        if n >= HELD:
+            held = [reduce(*map(np.concatenate, zip(*held)))]
+            n = len(held[0][0])
+            if n >= HELD // 2:
+                yield held[0]
+                held, n = [], 0
+    if n:
+        yield reduce(*map(np.concatenate, zip(*held)))
+
+
+def _last(*columns: np.ndarray, same: int) -> np.ndarray:
+    """Places of the last row, in the order of all columns, of those that agree in the first `same` ones."""
+    order = np.lexsort(columns[::-1])
+    ends = np.zeros(len(order), bool)
+    ends[-1:] = True
+    for c in columns[:same]:
+        ends[:-1] |= c[order[1:]] != c[order[:-1]]
+    return order[ends]
+
+
+def _placed(buckets):
+    """(key, fp) of all groups; the key is that of the members, so groups that are found again are the same."""
+    for rows, groups in buckets:
+        for at, starts in groups:
+            fps = rows["fp"][at]
+            keys = np.add.reduceat(_mixed(fps.view(np.uint64)), starts)
+            yield np.repeat(keys, np.diff(starts, append=len(at))).view(np.int64), fps
+
+
+def _degrees(buckets):
+    """(fp, degree) of the sets that have neighbours: how many rows their groups have in all."""
+    for rows, groups in buckets:
+        for at, starts in groups:
+            sizes = np.diff(starts, append=len(at))
+            yield rows["fp"][at], np.repeat(sizes, sizes)
+
+
+def _summed(fps: np.ndarray, degrees: np.ndarray) -> list[np.ndarray]:
+    some, at = np.unique(fps, return_inverse=True)
+    total = np.zeros(len(some), np.int64)
+    np.add.at(total, at, degrees)
+    return [some, total]
+
+
+def _last_of(same: int):
+    """Of the rows that agree in the first `same` columns the last in the order of all."""
+
+    def reduce(*columns):
+        at = _last(*columns, same=same)
+        return [c[at] for c in columns]
+
+    return reduce
+
+
+def _centres(floor: float):
+    """For _met: (fp, pd, p) with the centre p of those of a set's groups, that with the highest degree pd; those that by what they share with any sets can't be alike are passed over."""
+
+    def parts(buckets):
+        for rows, groups in buckets:
+            for at, starts in groups:
+                sizes, x = np.diff(starts, append=len(at)), rows[at]
+                group = np.repeat(np.arange(len(starts)), sizes)
+                p = x[np.lexsort((x["fp"], x["degree"], group))[starts + sizes - 1]][group]
+                possible = (x["fp"] != p["fp"]) & (_most(x["n"], p["n"], np.minimum(x["m"], p["m"])) >= floor)
+                yield x["fp"][possible], p["degree"][possible], p["fp"][possible]
+
+    return parts
+
+
+def lost(centre: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """How many shingles of its centre a set lacks in each of BINS bins, 255 at most."""
+    gone = np.setdiff1d(centre, own, assume_unique=True)
+    return np.minimum(np.bincount(gone & (BINS - 1), minlength=BINS), 255).astype(np.uint8)
+
+
+def _share_at_most(x: np.ndarray, i: np.ndarray, j: np.ndarray, floor: float) -> np.ndarray:
+    """How many shingles rows i and j of x share at most; of those that a first look rules out, by that. Of a common centre's shingles a bin of the union of what both lack has no less than either lacks."""
+    n, m, o, centre = (x[c] for c in ("n", "m", "o", "centre"))
+    shared = np.minimum(m[i], m[j])
+    beside = np.maximum(m - o, 0)
+    one = np.flatnonzero(centre[i] == centre[j])
+    shared[one] = np.minimum(shared[one], np.minimum(o[i[one]], o[j[one]]) + np.minimum(beside[i[one]], beside[j[one]]))
+    one = one[_most(n[i[one]], n[j[one]], shared[one]) >= floor]
+    u, v = i[one], j[one]
+    more = np.maximum(x["lost"][u], x["lost"][v]).sum(axis=1, dtype=np.int32) - x["lost"][u].sum(axis=1, dtype=np.int32)
+    shared[one] = np.minimum(shared[one], o[u] - more + np.minimum(beside[u], beside[v]))
+    return shared
+
+
+def _pairs(floor: float, most: int):
+    """For _met: (a, b, more) for the pairs that share a group, are of two components and may be alike enough; of two components in a bucket at most `most` pairs, the likeliest, and `more` where there are others."""
+
+    def cut(group, low, high, bound, a, b, more):
+        order = np.lexsort((b, a, -bound, high, low, group))
+        group, low, high, bound, a, b, more = (c[order] for c in (group, low, high, bound, a, b, more))
+        new = np.ones(len(a), bool)
+        new[1:] = (group[1:] != group[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        starts = np.flatnonzero(new)
+        sizes = np.diff(starts, append=len(a))
+        rank = np.arange(len(a)) - np.repeat(starts, sizes)
+        more = (np.logical_or.reduceat(more, starts) | (sizes > most)).repeat(sizes) if len(a) else more
+        return [c[rank < most] for c in (group, low, high, bound, a, b, more)]
+
+    def parts(buckets):
+        for rows, groups in buckets:
+            for at, starts in groups:
+                x, sizes = rows[at], np.diff(starts, append=len(at))
+                fp, root, n = x["fp"], x["root"], x["n"]
+                group, ends = np.repeat(starts, sizes), np.repeat(starts + sizes, sizes)
+                i = np.flatnonzero(np.repeat(np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts), sizes))
+                held, count, step = [], 0, 1
+                while len(i := i[i + step < ends[i]]):
+                    j = i + step
+                    bound = _most(n[i], n[j], _share_at_most(x, i, j, floor))
+                    fits = (root[i] != root[j]) & (bound >= floor)
+                    u, v = i[fits], j[fits]
+                    held.append((group[u], np.minimum(root[u], root[v]), np.maximum(root[u], root[v]), bound[fits], np.minimum(fp[u], fp[v]), np.maximum(fp[u], fp[v]), np.zeros(len(u), bool)))
+                    count, step = count + len(u), step + 1
+                    if count >= HELD:
+                        held, count = [cut(*map(np.concatenate, zip(*held)))], 0
+                if held:
+                    yield cut(*map(np.concatenate, zip(*held)))[4:]
+
+    return parts
+
+
+def _few(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fp, four) of the sets of four shingles, and of those of five without one each."""
     few = found.where(F.size("shingles").between(4, 5)).select("fp", "shingles").distinct()
-    left_out = F.when(F.size("shingles") == 4, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.lit(4)))
-    fours = few.select("fp", F.explode(F.transform(left_out, lambda i: F.xxhash64(F.filter("shingles", lambda x, at: at != i)))).alias("key"))
+    fours = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.filter("shingles", lambda x, at: at != i))
+    return few.where(F.size("shingles") == 4).select("fp", F.col("shingles").alias("four")), few.where(F.size("shingles") == 5).select("fp", F.explode(fours).alias("four"))
+
+
+def places(found: DataFrame, scratch: Scratch, paired: int = PAIRED) -> DataFrame:
+    """(key, fp): the groups of neighbours in the buckets of the covering tables of found(fp, bits, shingles), and those of sets of four and five shingles, as so few differ in more bits, that hold the same four. links() takes the same groups, but never row by row: near copies share up to 300 of them each."""
+    distinct = scratch.keep(_distinct(found), "fingerprints")
+    four, five = _few(found)
+    fours = four.unionAll(five).select("fp", F.xxhash64("four").alias("key"))
     shared = fours.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    out = scratch.keep(near.unionAll(fours.join(shared, "key").select("key", "fp")).distinct(), "places")
+    out = scratch.keep(_met(distinct, _placed, "key long, fp long", paired=paired).unionAll(fours.join(shared, "key").select("key", "fp")).distinct(), "places")
     scratch.drop(distinct)
     return out
 
 
+def _distinct(found: DataFrame) -> DataFrame:
+    return found.where("bits IS NOT NULL").groupBy("fp").agg(F.first("bits").alias("bits"))
+
+
 def _shared_enough(sets: DataFrame, floor: float) -> DataFrame:
     """(fp, n, m) of those sets(fp, s) of n shingles of whose shingles the share `floor` or more, m of them, is in other sets too; no other one can be as alike to any."""
     each = sets.select("fp", F.size("s").alias("n"), F.explode("s").alias("g"))
@@ -210,62 +397,52 @@ def _most(n, pn, t):
     return t / (n + pn - t)
 
 
-def _shares(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(a, b) with o, how many shingles they share, and u, how many they have together."""
+def _shares(pairs: DataFrame, sets: DataFrame, *more: Column) -> DataFrame:
+    """pairs(a, b) with o, how many shingles they share, and u, how many they have together; more are columns of both sets, sa and sb."""
     both = pairs.join(sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a")
     o = F.size(F.array_intersect("sa", "sb"))
-    return both.select("a", "b", o.alias("o"), (F.size("sa") + F.size("sb") - o).alias("u"))
+    return both.select("a", "b", o.alias("o"), (F.size("sa") + F.size("sb") - o).alias("u"), *more)
 
 
 def links(found: DataFrame, scratch: Scratch, floor: float = FLOOR) -> DataFrame:
-    """(a, b) between distinct sets found(fp, bits, shingles), with the same components as all pairs that share a group of places() and have a Jaccard similarity of `floor` or more.
+    """(a, b) between distinct sets found(fp, bits, shingles), with the same components as all pairs that share a group of places() and have a Jaccard similarity of `floor` (over 2/3) or more.
 
     Sets that have too much of their own to be alike to any are left out. At first each set is compared with one other:
-    that of its buckets' centres, the members that share most buckets, which shares most of all; it mostly finds the
-    group of a near copy. From then on some members of every bucket that still holds several components are compared
-    with all others of it that aren't in their component, and are done with. What two sets share at most is known from
-    what each shares with their common centre, and has beside it in common with any other: pairs that can't be alike
-    enough by that aren't compared. Buckets are never collected.
+    that of its groups' centres, the members with the most rows in their groups, which has most of all; it mostly finds
+    the group of a near copy. What two sets share at most is known from what each shares with their common centre, and
+    has beside it in common with any other. From then on the buckets, whose rows hold these numbers and the component,
+    give the pairs of different components that may be alike enough by them: some of any two components at first, and
+    more in each next round until no bucket has others. Groups are never written out, so what is shuffled and joined
+    outside the buckets grows with the sets and with the pairs to be compared.
     """
-    met = places(found, scratch)
-    nodes = scratch.keep(met.join(met.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("fp").agg(F.sum("c").alias("degree")), "nodes")
-    n_nodes = nodes.count()
-    sets = scratch.keep(found.select("fp", "shingles").join(bounded(nodes.select("fp"), n_nodes), "fp", "left_semi").groupBy("fp").agg(F.first("shingles").alias("s")), "sets")
-    able = scratch.keep(nodes.join(_shared_enough(sets, floor), "fp"), "able")
-    members = met.select("key", "fp").join(bounded(able, n_nodes), "fp")
-    least = members.groupBy("key").agg(F.min("n").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
-    members = scratch.keep(members.join(least, "key").where(_most(F.col("n"), F.col("least"), F.col("m")) >= floor).drop("least"), "members")
-    scratch.drop(met, nodes, able)
-    pair = (F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b"))
-
-    centre = members.groupBy("key").agg(F.max(F.struct("degree", "fp", "n", "m")).alias("x")).select("key", F.col("x.degree").alias("pd"), F.col("x.fp").alias("p"), F.col("x.n").alias("pn"), F.col("x.m").alias("pm"))
-    possible = (F.col("fp") != F.col("p")) & (_most(F.col("n"), F.col("pn"), F.least("m", "pm")) >= floor)
-    nearest = members.join(centre, "key").where(possible).groupBy("fp").agg(F.max(F.struct("pd", "p")).alias("x")).select("fp", F.col("x.p").alias("centre"))
-    near = scratch.keep(_shares(nearest.select(F.col("fp").alias("a"), F.col("centre").alias("b")), sets), "near")
-    edges, pivots = scratch.keep(near.where(F.col("o") / F.col("u") >= floor).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"), PIVOTS
-    old, members = members, members.join(near.select(F.col("a").alias("fp"), F.col("b").alias("centre"), "o"), "fp", "left")
-    members = scratch.keep(members.withColumn("centre", F.coalesce("centre", "fp")).withColumn("o", F.coalesce(F.col("o").cast("long"), F.col("m"))), "members")
-    scratch.drop(old, near)
-    by_centre = F.least("o", "po") + F.least(F.col("m") - F.col("o"), F.col("pm") - F.col("po"))
-    shared = F.when(F.col("centre") == F.col("pc"), by_centre).otherwise(F.least("m", "pm"))
-    fits = (F.col("fp") != F.col("p")) & (F.col("root") != F.col("pr")) & (_most(F.col("n"), F.col("pn"), shared) >= floor)
+    distinct = scratch.keep(_distinct(found), "fingerprints")
+    nodes = scratch.keep(_met(distinct, _degrees, "fp long, degree long", _summed), "nodes")
+    scratch.drop(distinct)
+    chosen = found.join(bounded(nodes.select("fp"), nodes.count()), "fp", "left_semi").groupBy("fp")
+    sets = scratch.keep(chosen.agg(F.first("bits").alias("bits"), F.first("shingles").alias("s")), "sets")
+    numbers = nodes.join(_shared_enough(sets, floor), "fp").join(sets.select("fp", "bits"), "fp")
+    able = scratch.keep(numbers.select("fp", "bits", F.col("n").cast("int").alias("n"), F.col("m").cast("int").alias("m"), "degree"), "able")
+    nearest = _met(able, _centres(floor), "fp long, pd long, p long", _last_of(1)).select(F.col("fp").alias("a"), F.col("p").alias("b"))
+    bins = F.arrow_udf(lambda own, centre: pa.array([lost(np.array(c), np.array(o)).tobytes() for o, c in zip(own.to_pylist(), centre.to_pylist())], pa.binary()), "binary")
+    near = scratch.keep(_shares(nearest, sets, bins("sa", "sb").alias("lost")), "near")
+    edges = near.where(F.col("o") / F.col("u") >= floor).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    if floor <= 4 / 5:  # a set of four shingles and the same with one more
+        four, five = _few(found)
+        edges = edges.unionAll(five.join(four.withColumnRenamed("fp", "p"), "four").select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b")))
+    edges, most = scratch.keep(edges.distinct(), "links"), PIVOTS
+    centred = able.join(near.select(F.col("a").alias("fp"), F.col("b").alias("centre"), "o", "lost"), "fp", "left")
+    members = scratch.keep(centred.select("fp", "bits", "n", "m", F.coalesce("o", "n").alias("o"), F.coalesce("centre", "fp").alias("centre"), F.coalesce("lost", F.lit(bytes(BINS))).alias("lost")), "members")
+    scratch.drop(nodes, able, near)
     while True:
         roots = components(edges, scratch).withColumnRenamed("node", "fp")
-        rooted = members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-        parts = rooted.groupBy("key", "root").agg(F.count("*").alias("part"))
-        several = parts.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-        old, members = members, scratch.keep(rooted.join(several, "key", "left_semi").join(parts, ["key", "root"]), "members")
-        scratch.drop(old)
-        if members.isEmpty():
+        rooted = scratch.keep(members.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+        pairs = scratch.keep(_met(rooted, _pairs(floor, most), "a long, b long, more boolean", _last_of(2)), "pairs")
+        new = _shares(pairs, sets).where(F.col("o") / F.col("u") >= floor).select("a", "b")
+        past, edges, most = edges, scratch.keep(edges.unionAll(new), "links"), most * MORE
+        more = not pairs.where("more").isEmpty()
+        scratch.drop(past, rooted, pairs)
+        if not more:
             break
-        order = Window.partitionBy("key").orderBy("part", F.desc("degree"), "fp")  # the smallest components first, as they have most to be compared with
-        chosen = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
-        chosen = scratch.keep(chosen.select("key", *[F.col(c).alias(x) for c, x in (("fp", "p"), ("n", "pn"), ("m", "pm"), ("centre", "pc"), ("o", "po"), ("root", "pr"))]), "pivots")
-        new = _shares(members.join(chosen, "key").where(fits).select(*pair).distinct(), sets).where(F.col("o") / F.col("u") >= floor).select("a", "b")
-        past, edges = edges, scratch.keep(edges.unionAll(new), "links")
-        rest = members.join(chosen.select("key", F.col("p").alias("fp")), ["key", "fp"], "left_anti").select("key", "fp", "n", "m", "degree", "centre", "o")
-        old, members, pivots = members, scratch.keep(rest, "members"), pivots * MORE
-        scratch.drop(past, old, chosen)
     scratch.drop(members, sets)
     return edges
 

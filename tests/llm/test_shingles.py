@@ -109,3 +109,40 @@ def test_similar_sets_meet_by_their_fingerprints(spark):
         for x in g:
             at[x].append(g)
     assert [p for p in pairs if not any(p[1] in g for g in at[p[0]])] == []
+
+
+def test_rows_of_a_large_group_grow_with_its_sets(spark, monkeypatch):
+    rng, kept, keep = random.Random(7), {}, Scratch.keep
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join(words), *copies(rng, words, 199, 0.75, 0.95)]
+
+    def counted(self, df, name):
+        out = keep(self, df, name)
+        kept[name] = max(kept.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    sets, at = [plain(t) for t in texts], list(range(len(texts)))
+    while (new := [min(at[j] for j in range(len(at)) if alike(sets[i], sets[j]) >= 0.8) for i in range(len(at))]) != at:
+        at = new
+    out = shingles.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(set(at))
+    assert len(set(at)) > 1 and max(kept.values()) <= 3 * len(texts), kept
+
+
+def test_bounds_are_never_below_what_sets_share():
+    rng, base = np.random.default_rng(8), np.random.default_rng(9).integers(-(2**63), 2**63 - 1, 9000, dtype=np.int64)
+    for size, gone in ((60, 15), (400, 60), (9000, 8500)):
+        centre = np.sort(base[:size])
+        extra = rng.integers(-(2**63), 2**63 - 1, 12, dtype=np.int64)
+        sets = [centre] + [np.sort(np.concatenate([rng.permutation(centre)[gone if size == 9000 else rng.integers(gone) :], rng.permutation(extra)[: rng.integers(12)]])) for _ in range(40)]
+        names, count = np.unique(np.concatenate(sets), return_counts=True)
+        x = np.zeros(len(sets), shingles._layout(("n", "i4"), ("m", "i4"), ("o", "i4"), ("centre", "i8"), ("lost", "u1", (shingles.BINS,))))
+        for i, s in enumerate(sets):
+            x[i]["n"], x[i]["m"] = len(s), np.isin(s, names[count > 1]).sum()
+            x[i]["o"], x[i]["lost"] = len(np.intersect1d(s, centre)), shingles.lost(centre, s)
+            x[i]["centre"] = i % 7 == 6
+        i, j = np.triu_indices(len(sets), 1)
+        real = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+        most = shingles._share_at_most(x, i, j, 0.0)
+        assert (most >= real).all() and (most < np.minimum(x["m"][i], x["m"][j])).any()
